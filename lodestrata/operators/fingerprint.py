@@ -39,6 +39,8 @@ def compare_fingerprints(before: DataFrame, after: DataFrame, key: str = "table_
         F.when(~F.col(f).eqNullSafe(F.col("_b_" + f)), F.lit(f)) for f in FIELDS]))
     verdict = (F.when(F.col("_b").isNull(), "ONLY_AFTER").when(F.col("_a").isNull(), "ONLY_BEFORE")
                .when(F.size("differs") > 0, "DIFFERENT").otherwise("IDENTICAL"))
+    shared = F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    differs = F.when(shared, differs).otherwise(F.array().cast("array<string>"))
     return both.withColumn("differs", differs).select(key, "differs", verdict.alias("verdict"))
 
 
