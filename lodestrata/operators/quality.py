@@ -236,3 +236,9 @@ def null_amounts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         "status", F.when(F.col("rows") == 0, NOT_EVALUATED).when(F.col("readable") == 0, "ALL_NULL")
         .otherwise("READABLE"))
 
+
+def any_mismatch(df: DataFrame, pairs: Mapping[str, tuple[Column, Column]]) -> DataFrame:
+    """Per rule: rows compared and rows in which its two forms differ, in one scan."""
+    return df.agg(F.array(*[F.struct(
+        F.lit(n).alias("rule"), F.count(F.lit(1)).alias("compared"), F.count_if(~got.eqNullSafe(want)).alias("different"))
+        for n, (got, want) in pairs.items()]).alias("a")).select(F.inline("a"))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestrata.sources import feeds
+
 _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
 
@@ -21,6 +23,11 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
+    def stream(self, name: str) -> DataFrame:
+        """A streaming scan of a table. A stream reads folders; the pattern lets it take a
+        table that is one file as well."""
+        return feeds.stream(self.spark, self.path(name) + "*", getattr(self, name).schema)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
