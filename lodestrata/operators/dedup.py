@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestrata.operators.ordered import first_per_key, same
+from lodestrata.operators.ordered import first_per_key, large_keys, same
 
 RUN_LOCAL = ("batch_id",)
 GRAIN = ("load_dts", "rec_src")
@@ -37,9 +37,14 @@ def key_multiplicity(log: DataFrame, keys: Sequence[str]) -> DataFrame:
                        F.count(F.lit(1)).alias("distinct_keys"))
 
 
-def with_group_size(df: DataFrame, grain: Sequence[str], name: str = "in_group") -> DataFrame:
-    """``count(*) OVER (PARTITION BY grain)`` without gathering a group in one task: the
-    counts combine before the shuffle, and the join back splits where one grain is large."""
+def with_group_size(df: DataFrame, grain: Sequence[str], name: str = "in_group", **skew) -> DataFrame:
+    """``count(*) OVER (PARTITION BY grain)``, as a window while every group is small.
+
+    A large group is not gathered in one task: counts combine before their shuffle, and the
+    join back splits where one grain is large.
+    """
+    if large_keys(df, grain, **skew)[0] is None:
+        return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*grain)))
     sizes = df.groupBy(*[F.col(c).alias("_g_" + c) for c in grain]).agg(F.count(F.lit(1)).alias(name))
     return df.join(sizes, same(df, sizes, grain, "_g_")).select(*df.columns, name)
 
@@ -48,8 +53,7 @@ def ambiguous_groups(log: DataFrame, hk: str, ignore: Sequence[str] = RUN_LOCAL,
                      limit: int | None = 200) -> DataFrame:
     """Rows of one key, load and source whose contents differ, whole groups first.
 
-    Copies collapse before anything is counted, and the count is an aggregate joined back
-    rather than a window, so no group is gathered in one task. ``limit`` bounds the report.
+    Copies collapse before anything is counted. ``limit`` bounds the report.
     """
     grain = [hk, *GRAIN]
     rows = log.drop(*ignore).distinct()
@@ -58,6 +62,23 @@ def ambiguous_groups(log: DataFrame, hk: str, ignore: Sequence[str] = RUN_LOCAL,
     return out.orderBy(*grain, *rest).limit(limit) if limit else out
 
 
+class AmbiguousKeys(ValueError):
+    """A log holds several versions of a key that must have one."""
+
+
+def refuse_ambiguous(log: DataFrame, hk: str, ignore: Sequence[str] = RUN_LOCAL) -> DataFrame:
+    """The log itself, or a refusal naming some ambiguous keys.
+
+    As many distinct keys as rows prove the probe empty, and it is skipped.
+    """
+    n = key_multiplicity(log, [hk]).first()
+    if n["total_rows"] > n["distinct_keys"]:
+        some = ambiguous_groups(log, hk, ignore, limit=5).select(F.lower(F.hex(hk)).alias("k")).collect()
+        if some:
+            raise AmbiguousKeys(f"{hk}: contents differ for {sorted({r['k'] for r in some})}")
+    return log
+
+
 def divergent_groups(df: DataFrame, grain: Sequence[str], payload: Sequence[str]) -> DataFrame:
     """Groups whose copies disagree. Exact copies agree; a NULL and a value do not."""
     distinct = df.groupBy(*grain, *payload).agg(F.count(F.lit(1)).alias("copies"))

@@ -15,7 +15,7 @@ WIDE = "decimal(38,0)"
 
 def parent_as_of(edges: DataFrame, questions: DataFrame, child: str = "child", when: str = "when",
                  points="probe") -> DataFrame:
-    """Each distinct (child, date) asked, with the parent then and a status.
+    """Each distinct (child, date) asked, both present, with the parent then and a status.
 
     Edges are (child, parent, from, to), half-open, NULL for open ends. Status is
     ``backwards`` when any edge of the child ends before it starts, ``none``, ``ambiguous``,
@@ -41,7 +41,7 @@ def parent_as_of(edges: DataFrame, questions: DataFrame, child: str = "child", w
              .agg(F.sum("_open").alias("_open"), F.sum("_id1").cast(WIDE).alias("_id1"),
                   F.sum("_id2").cast(WIDE).alias("_id2"), F.sum("_b").alias("_b"))
              .withColumn("_asked", F.lit(0)))
-    asked = questions.select(F.col(child).alias("child"), F.col(when).alias("_at")).distinct().select(
+    asked = questions.select(F.col(child).alias("child"), F.col(when).alias("_at")).where("child IS NOT NULL AND _at IS NOT NULL").distinct().select(
         "child", "_at", F.lit(0).cast("long").alias("_open"), zero.alias("_id1"), zero.alias("_id2"),
         F.lit(0).cast("long").alias("_b"), F.lit(1).alias("_asked"))
     swept = ordered_scan(marks.unionByName(asked), ["child"], ["_at", "_asked"], points=points, sums={
@@ -49,11 +49,10 @@ def parent_as_of(edges: DataFrame, questions: DataFrame, child: str = "child", w
     answers = swept.where("_asked = 1")
     names = e.groupBy(F.col("child").alias("_child"), F.col("_id1").alias("_i1"), F.col("_id2").alias("_i2")).agg(
         F.min("parent").alias("_parent"))
-    one = (answers["_n"] == 1) & answers["_at"].isNotNull()
+    one = answers["_n"] == 1
     found = answers.join(names, one & (answers["child"] == names["_child"]) & (answers["_p1"] == names["_i1"])
                          & (answers["_p2"] == names["_i2"]), "left")
-    asked_at = F.col("_at").isNotNull()
-    status = (F.when(F.col("_backs") > 0, "backwards").when(~asked_at | (F.col("_n") == 0), "none")
+    status = (F.when(F.col("_backs") > 0, "backwards").when(F.col("_n") == 0, "none")
               .when(F.col("_n") > 1, "ambiguous").when(strip("_parent") == "", "blank_parent").otherwise("ok"))
     return found.select(F.col("child").alias(child), F.col("_at").alias(when),
                         F.when(status == "ok", F.col("_parent")).alias("parent"), status.alias("status"))
@@ -63,9 +62,11 @@ def rollup(edges: DataFrame, facts: DataFrame, child: str, when: str, points="pr
     """Facts with ``rollup_key``: the parent on the fact's date, else the child itself."""
     found = parent_as_of(edges, facts, child, when, points).select(
         F.col(child).alias("_c"), F.col(when).alias("_w"), "parent", F.col("status").alias("parent_status"))
-    out = facts.join(found, facts[child].eqNullSafe(found["_c"]) & facts[when].eqNullSafe(found["_w"]), "left")
+    out = facts.join(found, (facts[child] == found["_c"]) & (facts[when] == found["_w"]), "left")
+    # Every child and date has an answer; only a missing child or date has none.
+    out = out.drop("_c", "_w").withColumn("parent_status", F.coalesce("parent_status", F.lit("none")))
     usable = F.col("parent_status").isin("ok", "none")
-    return out.drop("_c", "_w").withColumn(
+    return out.withColumn(
         "rollup_key", F.when(usable, F.coalesce("parent", F.col(child).cast("string"))))
 
 

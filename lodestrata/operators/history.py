@@ -102,6 +102,12 @@ def newest_of(frames: Sequence[DataFrame], hk: str, tie: Sequence[str] = ()) ->
     return first_per_key(union_feeds(frames), [hk], F.desc("load_dts"), *[F.desc(c) for c in tie])
 
 
+def snapshot_spine(keys: DataFrame, hk: str, start: str, stop: str, days: int, at: str = "snapshot_dts") -> DataFrame:
+    """Every key at every snapshot date."""
+    dates = F.sequence(F.lit(start).cast("timestamp"), F.lit(stop).cast("timestamp"), F.expr(f"interval {days} days"))
+    return keys.select(hk).distinct().select(hk, F.explode(dates).alias(at))
+
+
 def point_in_time(spine: DataFrame, sats: Mapping[str, DataFrame], hk: str, at: str = "snapshot_dts",
                   points="probe") -> DataFrame:
     """For every (key, date) of the spine, the version of each satellite in force then.
@@ -109,22 +115,23 @@ def point_in_time(spine: DataFrame, sats: Mapping[str, DataFrame], hk: str, at:
     Versions and dates are merged into one ordered pass per satellite, so the work grows
     with their sum and not with versions times dates.
     """
-    out = spine.select(hk, at).distinct()
+    asked_for = spine.select(hk, at).where(F.col(hk).isNotNull() & F.col(at).isNotNull()).distinct()
+    out = asked_for
     for name, sat in sats.items():
         version = F.struct("applied_dts", "load_dts", "sub_seq")
         rows = sat.select(hk, F.col("applied_dts").alias("_at"), F.lit(0).alias("_asked"), version.alias("_v"))
-        asked = spine.select(hk, F.col(at).alias("_at")).distinct().select(
-            hk, "_at", F.lit(1).alias("_asked"), F.lit(None).cast(rows.schema["_v"].dataType).alias("_v"))
+        asked = asked_for.select(
+            hk, F.col(at).alias("_at"), F.lit(1).alias("_asked"), F.lit(None).cast(rows.schema["_v"].dataType).alias("_v"))
         marks = rows.groupBy(hk, "_at", "_asked").agg(F.max("_v").alias("_v")).unionByName(asked)
         swept = ordered_scan(marks, [hk], ["_at", "_asked"], maxima={"_last": F.col("_v")}, points=points)
         found = swept.where("_asked = 1").select(
             F.col(hk).alias("_hk"), F.col("_at").alias("_d"),
             F.col("_last.load_dts").alias(f"{name}_load_dts"), F.col("_last.sub_seq").alias(f"{name}_sub_seq"))
-        out = out.join(found, out[hk].eqNullSafe(found["_hk"]) & out[at].eqNullSafe(found["_d"]), "left").drop("_hk", "_d")
+        out = out.join(found, (out[hk] == found["_hk"]) & (out[at] == found["_d"]), "left").drop("_hk", "_d")
     return out
 
 
 def seeded_by_latest(rows: DataFrame, latest: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Rows with the stored latest value of their key beside them; NULL where none is stored."""
     seed = latest.select(*[F.col(k).alias("_l_" + k) for k in keys], F.col(value).alias("latest_" + value))
-    return rows.join(seed, same(rows, seed, keys, "_l_"), "left").drop(*["_l_" + k for k in keys])
+    return rows.join(seed, same(rows, seed, keys, "_l_", keys[1:]), "left").drop(*["_l_" + k for k in keys])

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.functions.rules import strip
 from lodestrata.operators.ordered import ordered_scan, same
 
 
@@ -27,9 +29,10 @@ def invoice_verdicts(lines: DataFrame, ledger: DataFrame, invoice: Sequence[str]
     issued = ledger.groupBy(*[F.col(c).alias("_i_" + c) for c in invoice]).agg(
         F.max("line_number").alias("last_number"), F.min("invoice_date").alias("_first"),
         F.max("invoice_date").alias("_final"))
-    out = offered.join(issued, same(offered, issued, invoice, "_i_"), "left")
+    out = offered.join(issued, same(offered, issued, invoice, "_i_", ()), "left")
+    blank = reduce(lambda a, b: a | b, [strip(c) == "" for c in invoice])
     refusal = (
-        F.when(F.col("_copies") > 1, "duplicate line reference")
+        F.when(blank, "blank invoice key").when(F.col("_copies") > 1, "duplicate line reference")
         .when(F.col("_first") != F.col("_final"), "several issued dates")
         .when(F.col("_first").isNull() & (F.col("_lo") != F.col("_hi")), "several supplied dates")
         .when(F.col("_first").isNotNull() & ((F.col("_lo") != F.col("_first")) | (F.col("_hi") != F.col("_first"))),
@@ -48,9 +51,9 @@ def issue_lines(lines: DataFrame, ledger: DataFrame, invoice: Sequence[str], ref
     verdicts = invoice_verdicts(lines, ledger, invoice, ref, date).where("refusal IS NULL")
     held = ledger.select(*[F.col(c).alias("_h_" + c) for c in invoice], F.col("line_reference").alias("_h_ref"))
     todo = lines.select(*invoice, ref).join(
-        held, same(lines, held, invoice, "_h_") & (lines[ref] == held["_h_ref"]), "left_anti")
+        held, same(lines, held, invoice, "_h_", ()) & (lines[ref] == held["_h_ref"]), "left_anti")
     v = verdicts.select(*[F.col(c).alias("_v_" + c) for c in invoice], "frozen_date", "last_number")
-    allowed = todo.join(v, same(todo, v, invoice, "_v_")).select(*invoice, ref, "frozen_date", "last_number")
+    allowed = todo.join(v, same(todo, v, invoice, "_v_", ())).select(*invoice, ref, "frozen_date", "last_number")
     numbered = ordered_scan(allowed, invoice, [ref], sums={"_n": F.lit(1)}, points=points)
     return numbered.select(*invoice, F.col(ref).alias("line_reference"),
                            (F.col("last_number") + F.col("_n")).cast("int").alias("line_number"),

@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.functions.keys import zero_key
-from lodestrata.operators.dedup import first_write
-from lodestrata.operators.ordered import first_per_key, ordered_scan, same, split_points
+from lodestrata.operators.dedup import first_write, refuse_ambiguous
+from lodestrata.operators.ordered import first_per_key, large_keys, ordered_scan, same, split_points
 
 GHOST_DTS = "1900-01-01 00:00:00"
+# The order of a key's versions: by load, within a load by the source's clock.
+VERSION = ["load_dts", "applied_dts", "hashdiff"]
 
 
 def union_feeds(frames: Sequence[DataFrame]) -> DataFrame:
@@ -24,16 +26,23 @@ def union_feeds(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def absent_from(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose (null-safe) key the target does not hold."""
+def absent_from(rows: DataFrame, target: DataFrame, keys: Sequence[str],
+                nullable: Sequence[str] | None = None) -> DataFrame:
+    """Rows whose key the target does not hold; null-safe in the ``nullable`` columns (all by
+    default)."""
     held = target.select(*[F.col(k).alias("_t_" + k) for k in keys])
-    return rows.join(held, same(rows, held, keys, "_t_"), "left_anti")
+    return rows.join(held, same(rows, held, keys, "_t_", nullable), "left_anti")
 
 
 def load_keyed(log: DataFrame, target: DataFrame | None, hk: str, tie: Sequence[str] = ()) -> DataFrame:
     """Rows to insert into a hub, link or transactional link. The first write wins for good."""
     firsts = first_write(log, hk, tie)
-    return firsts if target is None else absent_from(firsts, target, [hk])
+    return firsts if target is None else absent_from(firsts, target, [hk], ())
+
+
+def load_unambiguous(log: DataFrame, target: DataFrame | None, hk: str) -> DataFrame:
+    """``load_keyed`` for links: a log whose copies of a key disagree is refused first."""
+    return load_keyed(refuse_ambiguous(log, hk), target, hk)
 
 
 def latest_version(target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -43,7 +52,7 @@ def latest_version(target: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def collapse_copies(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per version delivered, with the number of its copies."""
-    grain = [*keys, "load_dts", "applied_dts", "hashdiff"]
+    grain = [*keys, *VERSION]
     rest = [c for c in log.columns if c not in grain]
     return (log.groupBy(*grain)
             .agg(F.min(F.struct(*rest)).alias("_rest"), F.count(F.lit(1)).alias("_copies"))
@@ -57,32 +66,56 @@ def load_satellite(log: DataFrame, target: DataFrame | None, hk: str, mas_key: s
     A row is compared with its predecessor in the whole log, and the first of a key with
     the stored latest, so A, B, A stores three rows. ``sub_seq`` numbers the versions of a
     key within one load by source clock. ``drop_replayed`` leaves out log rows whose version
-    an earlier load already delivered. ``skew`` is passed to ``split_points``.
+    an earlier load already delivered. ``skew`` is passed to ``large_keys``.
     """
     keys = [hk] + ([mas_key] if mas_key else [])
-    version = ["load_dts", "applied_dts", "hashdiff"]
     if drop_replayed:
         log = first_per_key(log, [*keys, "applied_dts", "hashdiff"], "load_dts", "rec_src")
-    points = split_points(log, keys, version, **skew)
-    if points is not None:
-        # A large key may be large because of copies, which no cut can separate.
-        log = collapse_copies(log, keys)
-        points = split_points(log, keys, version, **skew)
-    else:
-        log = log.withColumn("_copies", F.lit(1))
-    within_load = split_points(log, [*keys, "load_dts"], version[1:], **skew) if points is not None else None
-    compared = ordered_scan(log, keys, version, prev={"_prev": F.col("hashdiff")}, points=points)
-    numbered = ordered_scan(compared, [*keys, "load_dts"], version[1:],
-                            sums={"_upto": F.col("_copies")}, points=within_load)
+    large = [large_keys(df, keys, **skew)[0] for df in (log, target) if df is not None]
+    if all(k is None for k in large):
+        return _changed_in_one_pass(log, target, keys)
+    return _changed_with_large_keys(log, target, keys, skew)
+
+
+def _changed_in_one_pass(log: DataFrame, target: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Log and stored versions meet in one shuffle by key, where windows answer all three
+    questions: what came before, what is stored last, and whether the row is stored."""
+    both = log.withColumn("_stored", F.lit(False))
+    if target is not None:
+        held = target.select(*keys, "hashdiff", "load_dts", "sub_seq").withColumn("_stored", F.lit(True))
+        both = both.unionByName(held, allowMissingColumns=True)
+    side = Window.partitionBy(*keys, "_stored").orderBy(*VERSION)
+    in_load = Window.partitionBy(*keys, "_stored", "load_dts").orderBy(*VERSION[1:])
+    rows = both.select("*", F.lag("hashdiff").over(side).alias("_prev"),
+                       F.row_number().over(in_load).alias("_nr"))
+    rows = rows.withColumn("sub_seq", F.when(F.col("_stored"), F.col("sub_seq")).otherwise(F.col("_nr") - 1).cast("int"))
+    if target is None:
+        return rows.where(~F.col("hashdiff").eqNullSafe(F.col("_prev"))).select(*log.columns)
+    newest = F.max(F.when(F.col("_stored"), F.struct("load_dts", "sub_seq", "hashdiff")))
+    rows = rows.withColumn("_latest", newest.over(Window.partitionBy(*keys))["hashdiff"])
+    changed = rows.where(F.col("_stored") | ~F.col("hashdiff").eqNullSafe(F.coalesce("_prev", "_latest")))
+    grain = Window.partitionBy(*keys, "load_dts", "sub_seq")
+    return (changed.withColumn("_held", F.max("_stored").over(grain))
+            .where("not _stored AND not _held").select(*log.columns))
+
+
+def _changed_with_large_keys(log: DataFrame, target: DataFrame | None, keys: list[str], skew: dict) -> DataFrame:
+    """The same where a key is too large for one task. Copies collapse first, since no cut can
+    separate them; then the key is scanned in chunks, and the target is met by joins."""
+    versions = collapse_copies(log, keys)
+    points = split_points(versions, keys, VERSION, **skew)
+    within = split_points(versions, [*keys, "load_dts"], VERSION[1:], **skew)
+    compared = ordered_scan(versions, keys, VERSION, prev={"_prev": F.col("hashdiff")}, points=points)
+    numbered = ordered_scan(compared, [*keys, "load_dts"], VERSION[1:], sums={"_upto": F.col("_copies")}, points=within)
     rows = numbered.withColumn("sub_seq", (F.col("_upto") - F.col("_copies")).cast("int"))
     if target is None:
-        changed = rows.where(~F.col("hashdiff").eqNullSafe(F.col("_prev")))
-        return changed.drop("_prev", "_upto", "_copies")
+        return rows.where(~F.col("hashdiff").eqNullSafe(F.col("_prev"))).select(*log.columns)
+    nullable = keys[1:]
     seed = latest_version(target.select(*keys, "hashdiff", "load_dts", "sub_seq"), keys).select(
         *[F.col(k).alias("_l_" + k) for k in keys], F.col("hashdiff").alias("_latest"))
-    joined = rows.join(seed, same(rows, seed, keys, "_l_"), "left")
-    changed = joined.where(~F.col("hashdiff").eqNullSafe(F.coalesce("_prev", "_latest")))
-    return absent_from(changed.select(*log.drop("_copies").columns), target, [*keys, "load_dts", "sub_seq"])
+    joined = rows.join(seed, same(rows, seed, keys, "_l_", nullable), "left")
+    changed = joined.where(~F.col("hashdiff").eqNullSafe(F.coalesce("_prev", "_latest"))).select(*log.columns)
+    return absent_from(changed, target, [*keys, "load_dts", "sub_seq"], nullable)
 
 
 def without_earlier(log: DataFrame, since: str) -> DataFrame:
@@ -102,9 +135,15 @@ def ghost(df: DataFrame, rec_src: str = "SYSTEM") -> DataFrame:
     return df.sparkSession.range(1).select(*cols)
 
 
+def missing_ghost(df: DataFrame, hk: str) -> DataFrame:
+    """The ghost row, unless the table holds it."""
+    held = df.where(F.col(hk) == zero_key()).limit(1).agg(F.count(F.lit(1)))
+    return ghost(df).where(held.scalar() == 0)
+
+
 def with_ghost(df: DataFrame, hk: str) -> DataFrame:
     """The table and its ghost row, added once however often this runs."""
-    return df.unionByName(absent_from(ghost(df), df, [hk]))
+    return df.unionByName(missing_ghost(df, hk))
 
 
 def empty_like(df: DataFrame) -> DataFrame:
@@ -128,6 +167,13 @@ def discards_keyed(log: DataFrame, target: DataFrame, hk: str) -> DataFrame:
     ).alias("a")).select(F.inline("a"))
 
 
+def discards_versioned(log: DataFrame, inserted: DataFrame) -> DataFrame:
+    """Log rows a satellite load left out because nothing changed: (reason, row_count)."""
+    sides = (log.select(F.lit(1).alias("n")).unionByName(inserted.select(F.lit(-1).alias("n"))))
+    return sides.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count")).select(
+        F.lit("unchanged_hashdiff").alias("reason"), "row_count")
+
+
 def load_arithmetic(loads: DataFrame, discards: DataFrame) -> DataFrame:
     """Every audit row with the verdict on its own sum: staged - accepted = what was discarded."""
     summed = discards.groupBy("job_run_id", "table_name").agg(F.sum("discarded").alias("discarded"))

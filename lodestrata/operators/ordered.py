@@ -12,62 +12,76 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SHARE = 0.001
+SHARE = 0.0001
 FLOOR = 1_000_000
 PROBE = 0.01
 POINTS_PER_CHUNK = 40
+STRIDE = 64
 
 
-def same(left: DataFrame, right: DataFrame, names: Sequence[str], prefix: str = "") -> Column:
-    """Null-safe equality of the named columns of two frames."""
-    return reduce(lambda a, b: a & b,
-                  [left[n].eqNullSafe(right[prefix + n]) for n in names])
+def same(left: DataFrame, right: DataFrame, names: Sequence[str], prefix: str = "",
+         nullable: Sequence[str] | None = None) -> Column:
+    """Equality of the named columns of two frames, null-safe for the ``nullable`` ones (all
+    by default). Plain equality lets a join use the partitioning its input already has."""
+    null_safe = names if nullable is None else nullable
+    return reduce(lambda a, b: a & b, [
+        left[n].eqNullSafe(right[prefix + n]) if n in null_safe else left[n] == right[prefix + n]
+        for n in names])
 
 
-def split_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
-                 share: float = SHARE, floor: int = FLOOR, probe: float = PROBE) -> DataFrame | None:
-    """Cut points of the keys above ``share`` of all rows (and ``floor`` rows), or None.
+def large_keys(df: DataFrame, keys: Sequence[str], *, share: float = SHARE, floor: int = FLOOR,
+               probe: float = PROBE) -> tuple[DataFrame | None, float]:
+    """(keys above ``share`` of all rows and above ``floor`` rows or None, that many rows).
 
-    Samples decide only where to cut; no row is dropped by it. The result is collected and
-    rebuilt from literals so that every use of it sees the same points.
+    Counted on a sample, which decides on a plan and on no row. At most ``1 / share`` keys
+    can be above the limit, so they are collected and rebuilt as literals, prefixed ``_k_``.
     """
-    spark = df.sparkSession
     sampled = df.select(*keys).sample(probe, 7) if probe < 1 else df.select(*keys)
-    most = int(1 / share)
-    top = (sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .orderBy(F.desc("_n")).limit(most).collect())
-    if not top or top[0]["_n"] < floor * probe:
-        return None
-    total = sampled.count()
-    limit = max(floor * probe, share * total)
-    hot = [row for row in top if row["_n"] > limit]
-    if not hot:
-        return None
-    key_schema = df.select(*keys).schema
-    hot_keys = spark.createDataFrame(
-        [tuple(row[k] for k in keys) for row in hot],
-        T.StructType([T.StructField("_k_" + f.name, f.dataType) for f in key_schema]))
-    chunks = max(1.0, total / limit)
-    fraction = min(1.0, POINTS_PER_CHUNK * chunks / (total / probe))
-    points = df.select(*keys, F.struct(*order).alias("_at"))
-    if fraction < 1:
-        points = points.sample(fraction, 11)
-    cut = (points.join(F.broadcast(hot_keys), same(points, hot_keys, keys, "_k_"), "left_semi")
-           .groupBy(*keys).agg(F.array_sort(F.collect_list("_at")).alias("_all"))
-           .select(*keys, F.expr(
-               f"filter(_all, (x, i) -> i > 0 AND i % {POINTS_PER_CHUNK} = 0)").alias("_cuts"))
-           .where(F.size("_cuts") > 0))
-    rows = cut.collect()
-    if not rows:
+    counts = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    seen = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.coalesce(F.max("_n"), F.lit(0)).alias("top")).first()
+    limit = max(floor * probe, share * seen["total"])
+    if seen["top"] <= limit:
+        return None, limit / probe
+    rows = counts.where(F.col("_n") > limit).select(*keys).collect()
+    return literal_rows(df, rows, keys), limit / probe
+
+
+def literal_rows(df: DataFrame, rows: list[Row], keys: Sequence[str], *more: T.StructField) -> DataFrame:
+    fields = [T.StructField("_k_" + f.name, f.dataType) for f in df.select(*keys).schema]
+    return df.sparkSession.createDataFrame([tuple(r) for r in rows], T.StructType([*fields, *more]))
+
+
+def split_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, share: float = SHARE,
+                 floor: int = FLOOR, probe: float = PROBE) -> DataFrame | None:
+    """Cut points of the large keys in their own order, or None when no key is large.
+
+    The points come from a sample of the large keys' rows, about ``POINTS_PER_CHUNK`` per
+    chunk to be cut off, of which the last becomes a cut.
+    """
+    large, chunk_rows = large_keys(df, keys, share=share, floor=floor, probe=probe)
+    if large is None:
         return None
-    return spark.createDataFrame(
-        [tuple(row) for row in rows],
-        T.StructType([T.StructField("_k_" + f.name, f.dataType) for f in cut.schema[:-1]]
-                     + [T.StructField("_cuts", cut.schema["_cuts"].dataType)]))
+    rows = df.select(*keys, F.struct(*order).alias("_at"))
+    if chunk_rows > POINTS_PER_CHUNK:
+        rows = rows.sample(POINTS_PER_CHUNK / chunk_rows, 11)
+    cuts = (rows.join(F.broadcast(large), same(rows, large, keys, "_k_"), "left_semi")
+            .groupBy(*keys).agg(F.array_sort(F.collect_list("_at")).alias("_all"))
+            .select(*keys, F.expr(f"filter(_all, (x, i) -> i > 0 AND i % {POINTS_PER_CHUNK} = 0)").alias("_cuts"))
+            .where(F.size("_cuts") > 0))
+    found = cuts.collect()
+    return literal_rows(df, found, keys, T.StructField("_cuts", cuts.schema["_cuts"].dataType)) if found else None
+
+
+def chunk_number(at: Column) -> Column:
+    """How many of a key's ``_cuts`` lie at or before a row: the block first, then within it."""
+    firsts = F.expr(f"filter(_cuts, (x, i) -> i % {STRIDE} = 0)")
+    block = F.size(F.filter(firsts, lambda p: p <= at)) - 1
+    inside = F.slice("_cuts", F.greatest(block, F.lit(0)) * STRIDE + 1, F.lit(STRIDE))
+    return F.when(block < 0, 0).otherwise(block * STRIDE + F.size(F.filter(inside, lambda p: p <= at)))
 
 
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
@@ -95,8 +109,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
     at = F.struct(*order)
     cut = (df.join(F.broadcast(points), same(df, points, keys, "_k_"), "left")
            .withColumn("_cut", F.col("_cuts").isNotNull())
-           .withColumn("_chunk", F.when(F.col("_cut"), F.size(
-               F.filter("_cuts", lambda p: p <= at))).otherwise(0)))
+           .withColumn("_chunk", F.when(F.col("_cut"), chunk_number(at)).otherwise(0)))
     base = cut.select(*df.columns, "_cut", "_chunk",
                       *[c.alias("_s_" + n) for n, c in sums.items()],
                       *[c.alias("_m_" + n) for n, c in maxima.items()],

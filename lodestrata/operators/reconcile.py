@@ -7,8 +7,6 @@ disagrees (or a three-valued verdict) as rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,7 +63,7 @@ def line_gaps(lines: DataFrame, journal: str, order_col: str) -> DataFrame:
 def violations(df: DataFrame, condition: Column, order: Sequence[str], sample: int = 25) -> DataFrame:
     """The number of violating rows beside a bounded, ordered sample of them."""
     bad = df.where(condition)
-    return bad.orderBy(*order).limit(sample).crossJoin(bad.agg(F.count(F.lit(1)).alias("violations")))
+    return bad.orderBy(*order).limit(sample).withColumn("violations", bad.agg(F.count(F.lit(1))).scalar())
 
 
 def orphan_lines(lines: DataFrame, parents: DataFrame, hk: str) -> DataFrame:
@@ -161,13 +159,11 @@ def expected_keys(feed: DataFrame, dedup_by: Sequence[str]) -> DataFrame:
 def landing_variance(feed: DataFrame, dedup_by: Sequence[str], landed: DataFrame, hk: str,
                      quarantined: DataFrame, superseded: DataFrame) -> DataFrame:
     """Signed difference between the keys the feed holds and those that arrived somewhere."""
-    def n(df, name):
-        return df.agg(F.count(F.lit(1)).alias(name))
+    def n(df):
+        return df.agg(F.count(F.lit(1))).scalar()
     real = landed.where(F.col("load_dts") > F.lit(AFTER_GHOST).cast("timestamp"))
-    parts = [expected_keys(feed, dedup_by), n(real.select(hk).distinct(), "landed"),
-             n(quarantined, "quarantined"), n(superseded, "superseded")]
-    # Four single-row aggregates.
-    out = reduce(DataFrame.crossJoin, parts)
+    out = expected_keys(feed, dedup_by).withColumns({
+        "landed": n(real.select(hk).distinct()), "quarantined": n(quarantined), "superseded": n(superseded)})
     variance = F.col("expected") - (F.col("landed") + F.col("quarantined") - F.col("superseded"))
     return out.withColumn("variance", variance).withColumn(
         "status", F.when(F.col("expected") == 0, NOT_EVALUATED).when(variance == 0, PASSED).otherwise(FAILED))

@@ -32,12 +32,11 @@ def union_findings(inventory: DataFrame, pattern: str, required: Sequence[str],
     none = tables.agg(F.count(F.lit(1)).alias("n")).where("n = 0").select(
         F.lit("NO_TABLES").alias("finding"), F.lit(None).cast("string").alias("table_name"),
         F.lit(pattern).alias("detail"))
-    wanted = spark.createDataFrame([(c, c.lower()) for c in required], "detail string, _c string")
     have = covered.select("table_name", F.lower("column_name").alias("_c")).distinct()
-    # A handful of declared columns against the list of tables.
-    missing = tables.crossJoin(F.broadcast(wanted)).join(have, ["table_name", "_c"], "left_anti").select(
+    wanted = tables.select("table_name", F.explode(F.array(*map(F.lit, required))).alias("detail")).withColumn("_c", F.lower("detail"))
+    missing = wanted.join(have, ["table_name", "_c"], "left_anti").select(
         F.lit("MISSING_REQUIRED").alias("finding"), "table_name", "detail")
-    names = spark.createDataFrame([(a,) for a in aliases], "a string")
-    clash = names.groupBy(F.lower("a").alias("detail")).count().where("count > 1").select(
+    clash = spark.createDataFrame([(a,) for a in aliases], "a string").groupBy(F.lower("a").alias("detail")).count().where(
+        "count > 1").select(
         F.lit("ALIAS_CLASH").alias("finding"), F.lit(None).cast("string").alias("table_name"), "detail")
     return none.unionByName(missing).unionByName(clash)

@@ -110,14 +110,14 @@ def vlt3(t: Tables):
     """Each order delivered twice, half of them loaded already."""
     log = log_of(t, "link_order_customer")
     held = staged(t, "link_order_customer").where("o_orderkey % 2 = 0").select("link_order_customer_hk")
-    return load.load_keyed(load.union_feeds([log, log]), held, "link_order_customer_hk").select(
+    return load.load_unambiguous(load.union_feeds([log, log]), held, "link_order_customer_hk").select(
         "link_order_customer_hk", "hub_order_hk", "hub_customer_hk")
 
 
 @query("vlt3_nhl", f"""
 SELECT {S_LINE} AS nhl_order_line_hk, {S_LINE_ORDER} AS hub_order_hk, l_linenumber, cast({s_money('l_extendedprice')} as double) AS l_extendedprice FROM lineitem""")
 def vlt3_nhl(t: Tables):
-    return load.load_keyed(log_of(t, "nhl_order_line"), None, "nhl_order_line_hk").select(
+    return load.load_unambiguous(log_of(t, "nhl_order_line"), None, "nhl_order_line_hk").select(
         "nhl_order_line_hk", "hub_order_hk", "l_linenumber", "l_extendedprice")
 
 
@@ -325,9 +325,7 @@ def vlt16(t: Tables):
     """Weekly point-in-time rows of every user over two satellites."""
     users = user_log(t)
     tiers = activity_log(t).withColumn("mas_key", F.lit("ALL"))
-    days = users.select(F.col("load_dts").alias("snapshot_dts")).distinct().where(F.dayofmonth("snapshot_dts") % 7 == 1)
-    # A handful of snapshot dates for each key is the spine itself.
-    spine = users.select("hub_user_hk").distinct().crossJoin(F.broadcast(days))
+    spine = history.snapshot_spine(users, "hub_user_hk", "2024-01-01 00:00:00", "2024-01-29 00:00:00", 7)
     return history.point_in_time(spine, {
         "user": load.load_satellite(users, None, "hub_user_hk"),
         "activity": load.load_satellite(tiers, None, "hub_user_hk", "mas_key")}, "hub_user_hk")
@@ -393,6 +391,4 @@ SELECT 'unchanged_hashdiff' AS reason, (SELECT count(*) FROM ulog) - (SELECT cou
 def agg15_satellite(t: Tables):
     """Log rows a satellite load leaves out because nothing changed."""
     log = user_log(t)
-    rows = log.agg(F.count(F.lit(1)).alias("n")).crossJoin(
-        load.load_satellite(log, None, "hub_user_hk").agg(F.count(F.lit(1)).alias("kept")))
-    return rows.select(F.lit("unchanged_hashdiff").alias("reason"), (F.col("n") - F.col("kept")).alias("row_count"))
+    return load.discards_versioned(log, load.load_satellite(log, None, "hub_user_hk"))
