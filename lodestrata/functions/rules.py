@@ -17,11 +17,17 @@ FEE_FREE = ("ES",)
 TENANT_LENGTH = 4
 
 _EDGES = r"^\s+|\s+$"
+_ANY_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 
-def strip(c: str | Column) -> Column:
-    """Trim every kind of whitespace, where ``trim`` removes spaces only."""
-    return F.regexp_replace(F.coalesce(as_col(c).cast("string"), F.lit("")), _EDGES, "")
+def strip(c: str | Column, edges: str = _EDGES) -> Column:
+    """Trim tabs and line ends too, where ``trim`` removes spaces only; NULL becomes blank."""
+    return F.regexp_replace(F.coalesce(as_col(c).cast("string"), F.lit("")), edges, "")
+
+
+def bare(c: str | Column) -> Column:
+    """Trim whitespace of any script, no-break and ideographic spaces included."""
+    return strip(c, _ANY_EDGES)
 
 
 def worker_name(last: str | Column, first: str | Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lodestrata.functions.rules import strip
+from lodestrata.functions.rules import bare
 
 # Accepted booleans and the number texts that are no amount.
 BOOLEAN_TEXTS = ("0", "1", "FALSE", "N", "TRUE", "Y")
@@ -14,7 +14,7 @@ DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
 
 
 def blank(c: str | Column) -> Column:
-    return strip(c) == ""
+    return bare(c) == ""
 
 
 def present(c: str | Column) -> Column:
@@ -23,15 +23,15 @@ def present(c: str | Column) -> Column:
 
 def numeric(c: str | Column) -> Column:
     """Finite decimal numbers of any length; a shape test, so no digit count is too long."""
-    return blank(c) | F.translate(strip(c), "_", "").rlike(NUMBER_SHAPE)
+    return blank(c) | F.translate(bare(c), "_", "").rlike(NUMBER_SHAPE)
 
 
 def iso_date(c: str | Column) -> Column:
     """``YYYY-MM-DD`` in shape and a day of the calendar."""
-    text = strip(c)
+    text = bare(c)
     real = text.rlike(DATE_SHAPE) & text.try_cast("date").isNotNull() & (F.left(text, F.lit(4)) != "0000")
     return blank(c) | F.coalesce(real, F.lit(False))
 
 
 def boolean(c: str | Column) -> Column:
-    return blank(c) | F.upper(strip(c)).isin(*BOOLEAN_TEXTS)
+    return blank(c) | F.upper(bare(c)).isin(*BOOLEAN_TEXTS)

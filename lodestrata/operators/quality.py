@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.functions import validity
-from lodestrata.functions.rules import strip
+from lodestrata.functions.rules import bare
 
 Rules = Sequence[tuple[str, Column]]
 
@@ -100,12 +100,12 @@ def validate_fields(df: DataFrame, field_rules: Mapping[str, Sequence[str]], ref
     parts = []
     if aggregates:
         parts.append(df.agg(F.array(*aggregates).alias("a")).select(F.inline("a")))
-    known = (refs.select(F.col("type").alias("_type"), strip("value").alias("_value"))
+    known = (refs.select(F.col("type").alias("_type"), bare("value").alias("_value"))
              .where("_value <> ''").distinct())
     if member:
         cells = df.select(F.explode(F.array(*[
             F.struct(F.lit(r).alias("rule"), F.lit(reference_types[r]).alias("type"),
-                     strip(f).alias("value")) for r, f in member])).alias("c")).select("c.*")
+                     bare(f).alias("value")) for r, f in member])).alias("c")).select("c.*")
         values = (cells.where("value <> ''").groupBy("rule", "type", "value")
                   .agg(F.count(F.lit(1)).alias("n")))
         parts.append(
@@ -138,9 +138,9 @@ def validate_fields(df: DataFrame, field_rules: Mapping[str, Sequence[str]], ref
 
 def membership(df: DataFrame, refs: DataFrame, type_col: str, value_col: str) -> DataFrame:
     """Per type: values checked, values unknown, and a status that is never a pass on no reference."""
-    cells = (df.select(F.col(type_col).alias("type"), strip(value_col).alias("value"))
+    cells = (df.select(F.col(type_col).alias("type"), bare(value_col).alias("value"))
              .groupBy("type", "value").agg(F.count(F.lit(1)).alias("n")))
-    known = refs.select(F.col("type").alias("_type"), strip("value").alias("_value")).where(
+    known = refs.select(F.col("type").alias("_type"), bare("value").alias("_value")).where(
         "_value <> ''").distinct()
     sized = known.groupBy("_type").agg(F.count(F.lit(1)).alias("reference_values"))
     hit = known.withColumnRenamed("_type", "_t")

@@ -10,7 +10,7 @@ from lodestrata.operators.staging import declared_columns, mandatory_rules
 from lodestrata.plans.registry import Tables, query
 from lodestrata.plans.warehouse import MODEL, staged
 
-LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
 
 
 def order_lines_as_vault(t: Tables) -> DataFrame:
@@ -29,7 +29,7 @@ def order_lines_as_vault(t: Tables) -> DataFrame:
 
 @query("flagship", """
 SELECT 'nhl_order_line' AS entity, *, expected - (landed + quarantined - superseded) AS variance, 'PASSED' AS status FROM (
-  SELECT count(DISTINCT (l_orderkey, l_partkey, l_suppkey, l_linenumber)) AS expected, count(DISTINCT CASE WHEN l_quantity <= 45 THEN (l_orderkey, l_partkey, l_suppkey, l_linenumber) END) AS landed,
+  SELECT count(DISTINCT (l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate)) AS expected, count(DISTINCT CASE WHEN l_quantity <= 45 THEN (l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate) END) AS landed,
   count(*) FILTER (l_quantity > 45) AS quarantined, cast(0 as bigint) AS superseded FROM lineitem) UNION ALL
 SELECT 'hub_order', n, n, 0, 0, 0, 'PASSED' FROM (SELECT count(DISTINCT o_orderkey) AS n FROM orders)""")
 def flagship(t: Tables) -> DataFrame:

@@ -60,7 +60,7 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, {S_LINE} AS nhl_order_lin
 def key5(t: Tables):
     return t.lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-        link_key([["l_orderkey"], ["l_partkey"], [F.lit("srm"), "l_suppkey"]], ["l_linenumber"], "SALES")
+        link_key([["l_orderkey"], ["l_partkey"], [F.lit("srm"), "l_suppkey"]], ["l_linenumber", "l_shipdate"], "SALES")
         .alias("nhl_order_line_hk"))
 
 

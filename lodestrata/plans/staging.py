@@ -136,7 +136,7 @@ def prj5(t: Tables):
 
 @query("prj6", f"""
 SELECT {S_LINE} AS nhl_order_line_hk, {S_LINE_ORDER} AS hub_order_hk, {s_key(['l_partkey'])} AS hub_part_hk,
-       {S_LINE_SUPPLIER} AS hub_supplier_hk, l_linenumber,
+       {S_LINE_SUPPLIER} AS hub_supplier_hk, l_linenumber, cast(l_shipdate as varchar) AS l_shipdate,
        {', '.join(f'cast({e} as double) AS {c}' if 'decimal' in e else c for c, e in zip(LINE_PAYLOAD, S_LINE_MONEY))},
        '{LOAD}' AS load_dts, cast(l_shipdate as varchar) AS applied_dts, 'SALES' AS rec_src, 'b1' AS batch_id, l_returnflag AS manifest_id
 FROM lineitem""")

@@ -42,7 +42,7 @@ MODEL = Model(
            parents=(Parent("hub_order"), Parent("hub_part"), Parent("hub_supplier")), bindings=(
                Binding("lineitem", "SALES",
                        parent_keys={"hub_order": ("l_orderkey",), "hub_part": ("l_partkey",), "hub_supplier": ("l_suppkey",)},
-                       txn_keys=("l_linenumber",), payload=LINE_PAYLOAD, casts=LINE_MONEY, applied="l_shipdate",
+                       txn_keys=("l_linenumber", "l_shipdate"), payload=LINE_PAYLOAD, casts=LINE_MONEY, applied="l_shipdate",
                        manifest="l_returnflag"),)),
     Entity("hal_customer_group", "hal", scope="CRM",
            parents=(Parent("hub_customer", "parent"), Parent("hub_customer", "child")), bindings=(
@@ -110,7 +110,7 @@ S_LINE_ORDER = s_key(["l_orderkey"], "SALES")
 S_CUSTOMER = s_key(["o_custkey"], "CRM")
 S_USER = s_key(["user_id"], "WEB")
 S_LINE_SUPPLIER = s_key(["'srm'", "l_suppkey"])
-S_LINE = s_key(["l_orderkey", "l_partkey", "'srm'", "l_suppkey", "l_linenumber"], "SALES")
+S_LINE = s_key(["l_orderkey", "l_partkey", "'srm'", "l_suppkey", "l_linenumber", "l_shipdate"], "SALES")
 S_LINK = s_key(["o_orderkey", "o_custkey"], "SALES")
 S_TIER = f"({TIER})"
 S_LINE_MONEY = [f"cast({c} as decimal(18,2))" if c in LINE_MONEY else c for c in LINE_PAYLOAD]
