@@ -84,6 +84,9 @@ def _changed_in_one_pass(log: DataFrame, target: DataFrame | None, keys: list[st
     if target is not None:
         held = target.select(*keys, "hashdiff", "load_dts", "sub_seq").withColumn("_stored", F.lit(True))
         both = both.unionByName(held, allowMissingColumns=True)
+        # Widest grouping first: the windows after it find their rows together already.
+        newest = F.max(F.when(F.col("_stored"), F.struct("load_dts", "sub_seq", "hashdiff")))
+        both = both.withColumn("_latest", newest.over(Window.partitionBy(*keys))["hashdiff"])
     side = Window.partitionBy(*keys, "_stored").orderBy(*VERSION)
     in_load = Window.partitionBy(*keys, "_stored", "load_dts").orderBy(*VERSION[1:])
     rows = both.select("*", F.lag("hashdiff").over(side).alias("_prev"),
@@ -91,8 +94,6 @@ def _changed_in_one_pass(log: DataFrame, target: DataFrame | None, keys: list[st
     rows = rows.withColumn("sub_seq", F.when(F.col("_stored"), F.col("sub_seq")).otherwise(F.col("_nr") - 1).cast("int"))
     if target is None:
         return rows.where(~F.col("hashdiff").eqNullSafe(F.col("_prev"))).select(*log.columns)
-    newest = F.max(F.when(F.col("_stored"), F.struct("load_dts", "sub_seq", "hashdiff")))
-    rows = rows.withColumn("_latest", newest.over(Window.partitionBy(*keys))["hashdiff"])
     changed = rows.where(F.col("_stored") | ~F.col("hashdiff").eqNullSafe(F.coalesce("_prev", "_latest")))
     grain = Window.partitionBy(*keys, "load_dts", "sub_seq")
     return (changed.withColumn("_held", F.max("_stored").over(grain))
