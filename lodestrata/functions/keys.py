@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 # Part of the stored keys, never to change.
 DELIMITER = "||"
@@ -84,10 +85,7 @@ def link_key(parent_cols: Sequence[Sequence[str | Column]], txn_cols: Sequence[s
 def payload_text(cols: Sequence[str | Column]) -> Column:
     if not cols:
         raise ValueError("a payload needs at least one column")
-    text = F.concat_ws(DELIMITER, *[norm(c, upper=False) for c in cols])
-    # The regular expression costs far more than the search that shows it has nothing to do.
-    return F.when(text.contains(DELIMITER + NULL_TOKEN),
-                  F.regexp_replace(text, TRAILING_NULLS, "")).otherwise(text)
+    return F.regexp_replace(F.concat_ws(DELIMITER, *[norm(c, upper=False) for c in cols]), TRAILING_NULLS, "")
 
 
 def hashdiff(cols: Sequence[str | Column]) -> Column:
@@ -101,7 +99,7 @@ def hex_key(c: str | Column) -> Column:
 
 def row_digest(cols: Sequence[str | Column], hk_cols: Sequence[str | Column] = ()) -> Column:
     """Content digest of a whole row; binary keys are read as hexadecimal text."""
-    return F.lower(F.hex(hashdiff([hex_key(k) for k in hk_cols] + list(cols))))
+    return F.sha2(payload_text([hex_key(k) for k in hk_cols] + list(cols)), 256)
 
 
 def line_reference(cols: Sequence[str | Column]) -> Column:
@@ -113,15 +111,22 @@ def zero_key(width: int = KEY_BYTES) -> Column:
     return F.unhex(F.repeat(F.lit("00"), F.lit(width)))
 
 
-def key_rules(cols: Sequence[str], mandatory: bool = True) -> list[tuple[str, Column]]:
-    """Rules a key component must meet: present, no delimiter inside, not the null token."""
-    rules = []
+def key_rules(cols: Sequence[str], mandatory: bool = True,
+              schema: StructType | None = None) -> list[tuple[str, Column]]:
+    """Rules a key component must meet: present, no delimiter inside, not the null token.
+
+    With a ``schema``, components that are no text are only asked to be present: a number or
+    a date can hold neither a delimiter nor the token.
+    """
+    rules, sure = [], F.lit(True)
     for name in cols:
+        textual = schema is None or isinstance(schema[name].dataType, StringType)
         text = F.col(name).cast("string")
         if mandatory:
-            rules.append((f"key_present_{name}", F.col(name).isNotNull() & (F.trim(text) != "")))
+            there = F.col(name).isNotNull()
+            rules.append((f"key_present_{name}", there & (F.trim(text) != "") if textual else there))
         rules.append((f"key_no_delimiter_{name}",
-                      F.coalesce(F.instr(text, DELIMITER), F.lit(0)) == 0))
+                      F.coalesce(F.instr(text, DELIMITER), F.lit(0)) == 0 if textual else sure))
         rules.append((f"key_not_null_token_{name}",
-                      F.coalesce(F.trim(text) != NULL_TOKEN, F.lit(True))))
+                      F.coalesce(F.trim(text) != NULL_TOKEN, sure) if textual else sure))
     return rules

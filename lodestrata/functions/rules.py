@@ -16,18 +16,19 @@ MODULES = ("TS", "ES", "MI")
 FEE_FREE = ("ES",)
 TENANT_LENGTH = 4
 
-_EDGES = r"^\s+|\s+$"
-_ANY_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The whitespace a rule ignores, and whitespace of any script.
+SPACES = " \t\n\x0b\f\r"
+ANY_SPACES = SPACES + "\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200b))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
-def strip(c: str | Column, edges: str = _EDGES) -> Column:
+def strip(c: str | Column, spaces: str = SPACES) -> Column:
     """Trim tabs and line ends too, where ``trim`` removes spaces only; NULL becomes blank."""
-    return F.regexp_replace(F.coalesce(as_col(c).cast("string"), F.lit("")), edges, "")
+    return F.btrim(F.coalesce(as_col(c).cast("string"), F.lit("")), F.lit(spaces))
 
 
 def bare(c: str | Column) -> Column:
     """Trim whitespace of any script, no-break and ideographic spaces included."""
-    return strip(c, _ANY_EDGES)
+    return strip(c, ANY_SPACES)
 
 
 def worker_name(last: str | Column, first: str | Column) -> Column:
@@ -52,8 +53,9 @@ def line_type(source_type: str | Column) -> Column:
 def task_number(task_code: str | Column) -> Column:
     """What follows the first pipe, without closing parentheses; the whole code without one."""
     code = strip(task_code)
-    after = F.regexp_replace(code, "^[^|]*[|]", "")
-    return F.when(code != "", strip(F.regexp_replace(after, "[)]+$", "")))
+    pipe = F.instr(code, "|")
+    after = F.when(pipe > 0, F.substr(code, pipe + 1)).otherwise(code)
+    return F.when(code != "", strip(F.rtrim(after, F.lit(")"))))
 
 
 def module_value(line_type_col: str | Column, ts: Column, es: Column, mi: Column) -> Column:

@@ -71,10 +71,12 @@ def load_satellite(log: DataFrame, target: DataFrame | None, hk: str, mas_key: s
     keys = [hk] + ([mas_key] if mas_key else [])
     if drop_replayed:
         log = first_per_key(log, [*keys, "applied_dts", "hashdiff"], "load_dts", "rec_src")
-    large = [large_keys(df, keys, **skew)[0] for df in (log, target) if df is not None]
-    if all(k is None for k in large):
+    in_log = large_keys(log, keys, **skew)
+    if in_log[0] is None and (target is None or large_keys(target, keys, **skew)[0] is None):
         return _changed_in_one_pass(log, target, keys)
-    return _changed_with_large_keys(log, target, keys, skew)
+    points = split_points(log, keys, VERSION, known=in_log)
+    within = split_points(log, [*keys, "load_dts"], VERSION[1:], **skew)
+    return _changed_with_large_keys(log, target, keys, points, within)
 
 
 def _changed_in_one_pass(log: DataFrame, target: DataFrame | None, keys: list[str]) -> DataFrame:
@@ -100,12 +102,11 @@ def _changed_in_one_pass(log: DataFrame, target: DataFrame | None, keys: list[st
             .where("not _stored AND not _held").select(*log.columns))
 
 
-def _changed_with_large_keys(log: DataFrame, target: DataFrame | None, keys: list[str], skew: dict) -> DataFrame:
+def _changed_with_large_keys(log: DataFrame, target: DataFrame | None, keys: list[str],
+                             points: DataFrame | None, within: DataFrame | None) -> DataFrame:
     """The same where a key is too large for one task. Copies collapse first, since no cut can
     separate them; then the key is scanned in chunks, and the target is met by joins."""
     versions = collapse_copies(log, keys)
-    points = split_points(versions, keys, VERSION, **skew)
-    within = split_points(versions, [*keys, "load_dts"], VERSION[1:], **skew)
     compared = ordered_scan(versions, keys, VERSION, prev={"_prev": F.col("hashdiff")}, points=points)
     numbered = ordered_scan(compared, [*keys, "load_dts"], VERSION[1:], sums={"_upto": F.col("_copies")}, points=within)
     rows = numbered.withColumn("sub_seq", (F.col("_upto") - F.col("_copies")).cast("int"))

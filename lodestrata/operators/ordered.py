@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SHARE = 0.0001
-FLOOR = 1_000_000
+FLOOR = 10_000_000
 PROBE = 0.01
 POINTS_PER_CHUNK = 40
 STRIDE = 64
@@ -56,13 +56,14 @@ def literal_rows(df: DataFrame, rows: list[Row], keys: Sequence[str], *more: T.S
 
 
 def split_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, share: float = SHARE,
-                 floor: int = FLOOR, probe: float = PROBE) -> DataFrame | None:
+                 floor: int = FLOOR, probe: float = PROBE,
+                 known: tuple[DataFrame | None, float] | None = None) -> DataFrame | None:
     """Cut points of the large keys in their own order, or None when no key is large.
 
-    The points come from a sample of the large keys' rows, about ``POINTS_PER_CHUNK`` per
+    ``known`` is what ``large_keys`` found, where it was asked before. The points come from a sample of the large keys' rows, about ``POINTS_PER_CHUNK`` per
     chunk to be cut off, of which the last becomes a cut.
     """
-    large, chunk_rows = large_keys(df, keys, share=share, floor=floor, probe=probe)
+    large, chunk_rows = known or large_keys(df, keys, share=share, floor=floor, probe=probe)
     if large is None:
         return None
     rows = df.select(*keys, F.struct(*order).alias("_at"))

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lodestrata.functions.keys import (
     DELIMITER, as_col, hash_key, hashdiff, key_rules, norm, parent_key,
@@ -123,7 +124,10 @@ def stage(df: DataFrame, model: Model, entity: Entity, binding: Binding, *, load
     df = conform(df, binding.row_filter, binding.derived)
     if binding.dedup_by:
         if binding.dedup_order and not df.isStreaming:
-            df = first_per_key(df, binding.dedup_by, *[F.expr(o).desc() for o in binding.dedup_order])
+            # Rows the declared order leaves equal are told apart by content, so that a
+            # second run keeps the same survivor.
+            df = first_per_key(df, binding.dedup_by, *[F.expr(o).desc_nulls_last() for o in binding.dedup_order],
+                               F.xxhash64(*df.columns))
         else:
             df = df.dropDuplicates(list(binding.dedup_by))
     df = cast_declared(df, binding.casts)
@@ -171,20 +175,25 @@ def kept_operations(df: DataFrame) -> DataFrame:
     return df.where(F.col("cdc_op").isin(*KEPT_OPERATIONS))
 
 
-def mandatory_rules(entity: Entity, binding: Binding) -> list[tuple[str, Column]]:
-    """Rules every row of a kind must meet. Parent components are guarded as well as own keys:
-    a digest of NULLs is never NULL, so only the components can show that one is missing."""
+def mandatory_rules(entity: Entity, binding: Binding, schema: StructType | None = None) -> list[tuple[str, Column]]:
+    """Rules every staged row of a kind must meet.
+
+    Parent components are guarded as well as own keys, because a digest of NULLs is never
+    NULL. For the same reason the digests that ``stage`` derives are present without looking,
+    and computing them only to test them would double the work.
+    """
     rules: list[tuple[str, Column]] = []
+    by_stage = F.lit(True)
     if entity.kind == "hub":
-        rules += key_rules(list(entity.keys))
+        rules += key_rules(list(entity.keys), schema=schema)
     guarded = [c for p in entity.parents for c in binding.parent_keys[p.name]] + list(binding.txn_keys)
     if guarded:
-        rules += key_rules(list(dict.fromkeys(guarded)))
+        rules += key_rules(list(dict.fromkeys(guarded)), schema=schema)
     if entity.kind in KEYED_KINDS:
-        rules.append((f"{entity.hk}_present", F.col(entity.hk).isNotNull()))
-    rules += [(f"{p.name}_hk_present", F.col(f"{p.name}_hk").isNotNull()) for p in entity.parents]
+        rules.append((f"{entity.hk}_present", by_stage))
+    rules += [(f"{p.name}_hk_present", by_stage) for p in entity.parents]
     if entity.kind in VERSIONED_KINDS:
-        rules.append(("hashdiff_present", F.col("hashdiff").isNotNull()))
+        rules.append(("hashdiff_present", by_stage))
     if entity.kind == "msat":
         rules.append(("mas_key_present", F.col("mas_key").isNotNull() & (F.trim("mas_key") != "")))
     return rules

@@ -16,8 +16,9 @@ LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
 def order_lines_as_vault(t: Tables) -> DataFrame:
     """Per hub or link: keys expected, landed, quarantined, and the signed variance."""
     line, order = MODEL["nhl_order_line"], MODEL["hub_order"]
-    rules = quality.merge_rules(mandatory_rules(line, line.bindings[0]), [("quantity_sane", F.expr("l_quantity <= 45"))])
-    valid, rejected = quality.split(staged(t, "nhl_order_line"), rules)
+    rows = staged(t, "nhl_order_line")
+    rules = quality.merge_rules(mandatory_rules(line, line.bindings[0], rows.schema), [("quantity_sane", F.expr("l_quantity <= 45"))])
+    valid, rejected = quality.split(rows, rules)
     lines = load.load_keyed(valid.select(*declared_columns(line, line.bindings[0])), None, line.hk)
     orders = load.load_keyed(staged(t, "hub_order").select(*declared_columns(order, order.bindings[0])), None, order.hk)
     none = rejected.where("1 = 0")

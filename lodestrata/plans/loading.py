@@ -265,8 +265,10 @@ IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def key_values(t: Tables, ids=IDS):
-    rows = t.lineitem.withColumns({"l_quantity": F.col("l_quantity").cast("decimal(18,2)"), "l_extendedprice": F.col("l_extendedprice").cast("decimal(18,2)"),
-                                   "l_returnflag": F.nullif("l_returnflag", F.lit("N"))})
+    rows = t.lineitem.withColumns({
+        "hk": hash_key(["l_orderkey", "l_partkey", F.lit("srm"), "l_suppkey", "l_linenumber", "l_shipdate"], "SALES"),
+        "l_quantity": F.col("l_quantity").cast("decimal(18,2)"), "l_extendedprice": F.col("l_extendedprice").cast("decimal(18,2)"),
+        "l_returnflag": F.nullif("l_returnflag", F.lit("N"))})
     return history.unpivot_fields(rows, ids, FIELDS)
 
 
@@ -275,9 +277,7 @@ SELECT {S_LINE} AS hk, cast({s_money('l_quantity')} as double) AS quantity, l_li
        2 AS promoted_fields FROM lineitem""")
 def vlt12(t: Tables):
     """Registered fields back as typed columns; a value that is not of the type is not promoted."""
-    kv = key_values(t, [*IDS, "l_shipdate"]).select(
-        hash_key(["l_orderkey", "l_partkey", F.lit("srm"), "l_suppkey", "l_linenumber", "l_shipdate"], "SALES").alias("hk"), "field_name", "field_value")
-    return history.promote_fields(kv, {"l_quantity": ("quantity", "decimal(18,2)"), "l_linestatus": ("status", "string"),
+    return history.promote_fields(key_values(t, ["hk"]), {"l_quantity": ("quantity", "decimal(18,2)"), "l_linestatus": ("status", "string"),
                                        "l_returnflag": ("flag_number", "int")}, "hk")
 
 

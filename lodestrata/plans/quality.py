@@ -48,6 +48,10 @@ def dirty_stage(t: Tables):
     return stage(t.lineitem, MODEL, NHL, DIRTY_BINDING, load_dts=LOAD, batch_id="b1")
 
 
+def dirty_rules(t: Tables):
+    return mandatory_rules(NHL, DIRTY_BINDING, dirty_stage(t).schema)
+
+
 S_FIRST = f"CASE {' '.join(f'WHEN NOT {e} THEN {chr(39)}{n}{chr(39)}' for n, e in S_SAFE.items())} END"
 
 
@@ -56,7 +60,7 @@ SELECT count(*) AS row_count, {', '.join(f"count(*) FILTER (NOT {e}) AS {n}" for
        cast(0 as bigint) AS nhl_order_line_hk_present, 3 * 4 + 4 AS rules_applied FROM ({S_DIRTY})""")
 def dq2(t: Tables):
     """Failures per mandatory rule; the parents' components are guarded too."""
-    rules = mandatory_rules(NHL, DIRTY_BINDING)
+    rules = dirty_rules(t)
     shown = [r for r in rules if r[0] in {*S_SAFE, "nhl_order_line_hk_present"}]
     return dirty_stage(t).agg(F.count(F.lit(1)).alias("row_count"), *[
         F.count_if(~F.coalesce(rule, F.lit(False))).alias(n) for n, rule in shown]).withColumn(
@@ -99,7 +103,7 @@ SELECT 'valid' AS half, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM ({S_
 UNION ALL SELECT 'quarantined', l_orderkey, l_linenumber, l_partkey, l_suppkey FROM ({S_DIRTY}) WHERE NOT (({S_FIRST}) IS NULL AND l_shipdate >= timestamp '1996-01-01')""")
 def dq5(t: Tables):
     """Complementary halves; the configured rule reads a column the target does not keep."""
-    rules = quality.merge_rules(mandatory_rules(NHL, DIRTY_BINDING), [("shipped", F.expr("l_shipdate >= timestamp_ntz'1996-01-01 00:00:00'"))])
+    rules = quality.merge_rules(dirty_rules(t), [("shipped", F.expr("l_shipdate >= timestamp_ntz'1996-01-01 00:00:00'"))])
     valid, bad = quality.split(dirty_stage(t), rules)
     cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     return valid.select(F.lit("valid").alias("half"), *cols).unionByName(bad.select(F.lit("quarantined").alias("half"), *cols))
@@ -117,13 +121,13 @@ SELECT {S_DIRTY_LINE} AS nhl_order_line_hk, {s_key(['code'], 'SALES')} AS hub_or
 FROM ({S_DIRTY}) WHERE ({S_FIRST}) IS NOT NULL""")
 def dq6(t: Tables):
     """The quarantine twin: the target's shape plus why."""
-    return quality.quarantine(dirty_stage(t), mandatory_rules(NHL, DIRTY_BINDING), declared_columns(NHL, DIRTY_BINDING))
+    return quality.quarantine(dirty_stage(t), dirty_rules(t), declared_columns(NHL, DIRTY_BINDING))
 
 
 @query("dq7", f"""
 SELECT {S_FIRST} AS failure_rule, count(*) AS rejected FROM ({S_DIRTY}) WHERE ({S_FIRST}) IS NOT NULL GROUP BY 1""")
 def dq7(t: Tables):
-    return quality.reject_counts(quality.split(dirty_stage(t), mandatory_rules(NHL, DIRTY_BINDING))[1])
+    return quality.reject_counts(quality.split(dirty_stage(t), dirty_rules(t))[1])
 
 
 # Each nation is a dataset; its rules come from customers' segments.

@@ -17,7 +17,7 @@ def run_folder(spark: SparkSession, name: str) -> str:
 
     Only a local session may fall back to a folder of its own machine.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")

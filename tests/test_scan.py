@@ -159,7 +159,7 @@ def parent_then(edges, child, when):
 def test_parent_as_of_against_brute_force(spark, chunked, monkeypatch):
     edges, asked, e, q = edges_and_questions(spark)
     if chunked:
-        monkeypatch.setattr("lodestrata.operators.ordered.split_points.__kwdefaults__", SKEW)
+        monkeypatch.setattr("lodestrata.operators.ordered.split_points.__kwdefaults__", {**SKEW, "known": None})
     got = hierarchy.parent_as_of(e, q).select("child", F.datediff("when", F.lit("2026-01-01").cast("date")), "parent", "status")
     want = {(c, w, *parent_then(edges, c, w)) for c, w in asked}
     assert rows_of(got) == sorted(want, key=lambda r: tuple((x is None, str(x)) for x in r))
@@ -169,7 +169,7 @@ def test_parent_as_of_against_brute_force(spark, chunked, monkeypatch):
 @pytest.mark.parametrize("chunked", [False, True])
 def test_issue_lines_against_brute_force(spark, chunked, monkeypatch):
     if chunked:
-        monkeypatch.setattr("lodestrata.operators.ordered.split_points.__kwdefaults__", SKEW)
+        monkeypatch.setattr("lodestrata.operators.ordered.split_points.__kwdefaults__", {**SKEW, "known": None})
     rng = random.Random(4)
     lines, held = [], []
     refs = {}

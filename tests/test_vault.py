@@ -207,3 +207,41 @@ def test_derivation_verdict_prefers_the_most_serious(spark):
       UNION ALL SELECT 'D', 'E', {old}, {new}, null, true, null UNION ALL SELECT 'D', 'D', null, null, null, true, null UNION ALL SELECT 'D', 'E', null, {new}, null, true, null""")
     got = [(r.verdict, r.fails) for r in reconcile.derivation_verdict(df).collect()]
     assert sorted(got) == [("EXTENDED", False), ("MATCHED", False), ("RE_KEYED", True), ("UNMAPPED", True)]
+
+
+def test_a_vault_loads_once_and_survives_a_bad_table(spark, tmp_path):
+    from lodestrata.vault import Vault
+    model = Model(
+        Entity("hub_a", "hub", ("code",), "SYS", bindings=(Binding("f", "S1", {"code": "a"}),)),
+        Entity("hub_b", "hub", ("code",), "SYS", bindings=(Binding("f", "S1", {"code": "b"}),)),
+        Entity("link_ab", "link", scope="SYS", parents=(Parent("hub_a"), Parent("hub_b")), bindings=(
+            Binding("f", "S1", parent_keys={"hub_a": ("a",), "hub_b": ("b",)}, manifest="m"),)),
+        Entity("sat_a", "sat", parents=(Parent("hub_a"),), bindings=(
+            Binding("f", "S1", parent_keys={"hub_a": ("a",)}, payload=("v",), applied="at"),)))
+    vault = Vault(spark, str(tmp_path), model)
+    schema = "a string, b string, m string, v string, at timestamp"
+    rules = spark.createDataFrame([("hub_a", "short", "length(code) < 3", True, "drop")], "dataset string, rule_name string, rule_sql string, is_current boolean, severity string")
+    vault.stage({"f": spark.createDataFrame([("1", "x", "m1", "p", day(1)), ("1", "x", "m1", "q", day(2)), ("long", None, "m1", "p", day(1))], schema)}, "2026-01-05 00:00:00", "b1", rules=rules)
+    assert vault.load("r1", "2026-01-05 00:00:00") == {}
+    counts = {r.table_name: r.row_count for r in vault.counts().collect()}
+    assert counts == {"hub_a": 2, "hub_b": 2, "link_ab": 2, "sat_a_s1": 4}
+    assert {r.table_name: r.row_count for r in vault.counts("qtn").collect()} == {"hub_a": 1, "hub_b": 1, "link_ab": 1, "sat_a_s1": 0}
+    assert vault.load("r2", "2026-01-06 00:00:00") == {}
+    assert vault.load("r2", "2026-01-06 00:00:00") == {}
+    audit = load.load_arithmetic(spark.read.parquet(vault.path("audit", "aud_table_load")), spark.read.parquet(vault.path("audit", "aud_table_discard")))
+    assert audit.count() == 8 and audit.where("not balanced").count() == 0 and audit.where("job_run_id = 'r2' AND accepted <> 0").count() == 0
+    assert "sat_a_s1_v1" in vault.views() and spark.table("sat_a_s1_v1").where("is_current AND rec_src = 'S1'").count() == 2
+    # The same link key with another manifest in one load is ambiguous; the other tables still load.
+    vault.stage({"f": spark.createDataFrame([("1", "x", "m2", "z", day(3)), ("7", "y", "m2", "z", day(3))], schema)}, "2026-01-05 00:00:00", "b2")
+    problems = vault.load("r3", "2026-01-07 00:00:00")
+    assert set(problems) == {"link_ab"}
+    assert {r.table_name: r.row_count for r in vault.counts().collect()}["hub_a"] == 3
+    runs = spark.read.parquet(vault.path("audit", "aud_load_run"))
+    assert rows_of(runs.where("job_run_id = 'r3'").select("phase")) == [("opened",)]
+
+
+def test_declared_order_picks_one_survivor(spark):
+    entity = Entity("hub_a", "hub", ("code",), bindings=(Binding("f", "S", {"code": "a"}, dedup_by=("a",), dedup_order=("n",)),))
+    feed = spark.createDataFrame([("1", 1, "x"), ("1", 2, "y"), ("1", 2, "z"), ("2", None, "w")], "a string, n int, v string")
+    got = [rows_of(stage(feed.repartition(p), Model(entity), entity, entity.bindings[0], load_dts="2026-01-01 00:00:00").select("a", "n", "v")) for p in (1, 3)]
+    assert got[0] == got[1] and [r[:2] for r in got[0]] == [("1", 2), ("2", None)]
