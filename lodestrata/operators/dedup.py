@@ -37,13 +37,14 @@ def key_multiplicity(log: DataFrame, keys: Sequence[str]) -> DataFrame:
                        F.count(F.lit(1)).alias("distinct_keys"))
 
 
-def with_group_size(df: DataFrame, grain: Sequence[str], name: str = "in_group", **skew) -> DataFrame:
+def with_group_size(df: DataFrame, grain: Sequence[str], name: str = "in_group",
+                    probe_on: DataFrame | None = None, **skew) -> DataFrame:
     """``count(*) OVER (PARTITION BY grain)``, as a window while every group is small.
 
     A large group is not gathered in one task: counts combine before their shuffle, and the
     join back splits where one grain is large.
     """
-    if large_keys(df, grain, **skew)[0] is None:
+    if large_keys(df if probe_on is None else probe_on, grain, **skew)[0] is None:
         return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*grain)))
     sizes = df.groupBy(*[F.col(c).alias("_g_" + c) for c in grain]).agg(F.count(F.lit(1)).alias(name))
     return df.join(sizes, same(df, sizes, grain, "_g_")).select(*df.columns, name)
@@ -57,7 +58,7 @@ def ambiguous_groups(log: DataFrame, hk: str, ignore: Sequence[str] = RUN_LOCAL,
     """
     grain = [hk, *GRAIN]
     rows = log.drop(*ignore).distinct()
-    out = with_group_size(rows, grain, "variants").where("variants > 1")
+    out = with_group_size(rows, grain, "variants", probe_on=log).where("variants > 1")
     rest = [c for c in rows.columns if c not in grain]
     return out.orderBy(*grain, *rest).limit(limit) if limit else out
 

@@ -44,7 +44,10 @@ def parent_as_of(edges: DataFrame, questions: DataFrame, child: str = "child", w
     asked = questions.select(F.col(child).alias("child"), F.col(when).alias("_at")).where("child IS NOT NULL AND _at IS NOT NULL").distinct().select(
         "child", "_at", F.lit(0).cast("long").alias("_open"), zero.alias("_id1"), zero.alias("_id2"),
         F.lit(0).cast("long").alias("_b"), F.lit(1).alias("_asked"))
-    swept = ordered_scan(marks.unionByName(asked), ["child"], ["_at", "_asked"], points=points, sums={
+    # An edge leaves at most two marks, a question one.
+    once = edges.select("child")
+    bound = once.unionByName(once).unionByName(questions.select(F.col(child).alias("child")))
+    swept = ordered_scan(marks.unionByName(asked), ["child"], ["_at", "_asked"], points=points, probe_on=bound, sums={
         "_n": F.col("_open"), "_p1": F.col("_id1"), "_p2": F.col("_id2"), "_backs": F.col("_b")})
     answers = swept.where("_asked = 1")
     names = e.groupBy(F.col("child").alias("_child"), F.col("_id1").alias("_i1"), F.col("_id2").alias("_i2")).agg(

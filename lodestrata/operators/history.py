@@ -13,14 +13,15 @@ from lodestrata.functions import rules
 HISTORY_ORDER = ("applied_dts", "load_dts", "sub_seq")
 
 
-def type2(sat: DataFrame, hk: str, mas_key: str | None = None, points="probe") -> DataFrame:
+def type2(sat: DataFrame, hk: str, mas_key: str | None = None, points="probe",
+          probe_on: DataFrame | None = None) -> DataFrame:
     """``valid_from``, ``valid_to`` (half-open) and ``is_current`` by the source's clock.
 
     Current is the row nothing follows, which stays one row per key where a clock is missing.
     """
     keys = [hk] + ([mas_key] if mas_key else [])
     nexts = {"valid_to": F.col("applied_dts"), "_more": F.lit(True)}
-    out = ordered_scan(sat, keys, HISTORY_ORDER, following=nexts, points=points)
+    out = ordered_scan(sat, keys, HISTORY_ORDER, following=nexts, points=points, probe_on=probe_on)
     return out.withColumns({"valid_from": F.col("applied_dts"), "is_current": F.col("_more").isNull()}).drop("_more")
 
 
@@ -30,10 +31,10 @@ def current(sat: DataFrame, hk: str, mas_key: str | None = None) -> DataFrame:
 
 
 def effectivity(edges: DataFrame, driving_key: Sequence[str], tie: Sequence[str] = (),
-                points="probe") -> DataFrame:
+                points="probe", probe_on: DataFrame | None = None) -> DataFrame:
     """Intervals of a relationship in which each driving key has at most one open edge."""
     order = ["applied_dts", "load_dts", *tie]
-    out = ordered_scan(edges, driving_key, order, points=points,
+    out = ordered_scan(edges, driving_key, order, points=points, probe_on=probe_on,
                        following={"effective_to": F.col("applied_dts"), "_more": F.lit(True)})
     return out.withColumns({"effective_from": F.col("applied_dts"), "is_open": F.col("_more").isNull()}).drop("_more")
 
@@ -109,10 +110,10 @@ def snapshot_spine(keys: DataFrame, hk: str, start: str, stop: str, days: int, a
 
 
 def point_in_time(spine: DataFrame, sats: Mapping[str, DataFrame], hk: str, at: str = "snapshot_dts",
-                  points="probe") -> DataFrame:
+                  points="probe", probe_on: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """For every (key, date) of the spine, the version of each satellite in force then.
 
-    Versions and dates are merged into one ordered pass per satellite, so the work grows
+    ``probe_on`` may name, per satellite, the log it was loaded from. Versions and dates are merged into one ordered pass per satellite, so the work grows
     with their sum and not with versions times dates.
     """
     asked_for = spine.select(hk, at).where(F.col(hk).isNotNull() & F.col(at).isNotNull()).distinct()
@@ -123,7 +124,8 @@ def point_in_time(spine: DataFrame, sats: Mapping[str, DataFrame], hk: str, at:
         asked = asked_for.select(
             hk, F.col(at).alias("_at"), F.lit(1).alias("_asked"), F.lit(None).cast(rows.schema["_v"].dataType).alias("_v"))
         marks = rows.groupBy(hk, "_at", "_asked").agg(F.max("_v").alias("_v")).unionByName(asked)
-        swept = ordered_scan(marks, [hk], ["_at", "_asked"], maxima={"_last": F.col("_v")}, points=points)
+        bound = (probe_on or sats)[name].select(hk).unionByName(spine.select(hk))
+        swept = ordered_scan(marks, [hk], ["_at", "_asked"], maxima={"_last": F.col("_v")}, points=points, probe_on=bound)
         found = swept.where("_asked = 1").select(
             F.col(hk).alias("_hk"), F.col("_at").alias("_d"),
             F.col("_last.load_dts").alias(f"{name}_load_dts"), F.col("_last.sub_seq").alias(f"{name}_sub_seq"))

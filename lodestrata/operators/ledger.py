@@ -54,7 +54,7 @@ def issue_lines(lines: DataFrame, ledger: DataFrame, invoice: Sequence[str], ref
         held, same(lines, held, invoice, "_h_", ()) & (lines[ref] == held["_h_ref"]), "left_anti")
     v = verdicts.select(*[F.col(c).alias("_v_" + c) for c in invoice], "frozen_date", "last_number")
     allowed = todo.join(v, same(todo, v, invoice, "_v_", ())).select(*invoice, ref, "frozen_date", "last_number")
-    numbered = ordered_scan(allowed, invoice, [ref], sums={"_n": F.lit(1)}, points=points)
+    numbered = ordered_scan(allowed, invoice, [ref], sums={"_n": F.lit(1)}, points=points, probe_on=lines)
     return numbered.select(*invoice, F.col(ref).alias("line_reference"),
                            (F.col("last_number") + F.col("_n")).cast("int").alias("line_number"),
                            F.col("frozen_date").alias("invoice_date"))

@@ -88,15 +88,18 @@ def chunk_number(at: Column) -> Column:
 def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
                  sums: dict[str, Column] | None = None, maxima: dict[str, Column] | None = None,
                  prev: dict[str, Column] | None = None, following: dict[str, Column] | None = None,
-                 points: DataFrame | None | str = "probe") -> DataFrame:
+                 points: DataFrame | None | str = "probe", probe_on: DataFrame | None = None) -> DataFrame:
     """Adds, per key and in ascending ``order``: running sums and maxima up to and with the
     row, values of the row before, and values of the row after.
 
     ``order`` must tell the rows of a key apart as far as the values asked for differ.
+    ``probe_on`` is a frame that is cheaper to read and holds each key at least as often;
+    when no key is large there, none is large here.
     """
     sums, maxima, prev, following = sums or {}, maxima or {}, prev or {}, following or {}
     if isinstance(points, str):
-        points = split_points(df, keys, order)
+        small = probe_on is not None and large_keys(probe_on, keys)[0] is None
+        points = None if small else split_points(df, keys, order)
     if points is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

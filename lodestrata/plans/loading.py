@@ -190,7 +190,7 @@ SELECT driving, hk, cast(applied_dts as varchar) AS effective_from, cast(lead(ap
 FROM added WINDOW w AS (PARTITION BY driving ORDER BY applied_dts, load_dts, hk)""")
 def vlt7(t: Tables):
     """At most one open edge per customer."""
-    return history.effectivity(edge_sat(t), ["driving"], ["hk"]).select("driving", "hk", "effective_from", "effective_to", "is_open")
+    return history.effectivity(edge_sat(t), ["driving"], ["hk"], probe_on=edge_log(t)).select("driving", "hk", "effective_from", "effective_to", "is_open")
 
 
 S_TYPE2 = "cast(applied_dts as varchar) AS valid_from, cast(lead(applied_dts) OVER w as varchar) AS valid_to, lead(load_dts) OVER w IS NULL AS is_current"
@@ -201,7 +201,7 @@ WITH {S_USER_LOG}, {s_load('ulog', 'hk', 'added')}
 SELECT hk AS hub_user_hk, event_type, tier, sub_seq, {S_TYPE2} FROM added WINDOW w AS (PARTITION BY hk ORDER BY applied_dts, load_dts, sub_seq)""")
 def vlt8(t: Tables):
     sat = load.load_satellite(user_log(t), None, "hub_user_hk")
-    return history.type2(sat, "hub_user_hk").select("hub_user_hk", "event_type", "tier", "sub_seq", "valid_from", "valid_to", "is_current")
+    return history.type2(sat, "hub_user_hk", probe_on=user_log(t)).select("hub_user_hk", "event_type", "tier", "sub_seq", "valid_from", "valid_to", "is_current")
 
 
 @query("vlt8_multi_active", f"""
@@ -209,7 +209,7 @@ WITH {S_ACTIVITY_LOG}, {s_load('alog', 'hk, mas_key', 'added')}
 SELECT hk AS hub_user_hk, mas_key, tier, {S_TYPE2} FROM added WINDOW w AS (PARTITION BY hk, mas_key ORDER BY applied_dts, load_dts, sub_seq)""")
 def vlt8_multi_active(t: Tables):
     sat = load.load_satellite(activity_log(t), None, "hub_user_hk", "mas_key")
-    return history.type2(sat, "hub_user_hk", "mas_key").select("hub_user_hk", "mas_key", "tier", "valid_from", "valid_to", "is_current")
+    return history.type2(sat, "hub_user_hk", "mas_key", probe_on=activity_log(t)).select("hub_user_hk", "mas_key", "tier", "valid_from", "valid_to", "is_current")
 
 
 @query("vlt9", f"""
@@ -329,7 +329,7 @@ def vlt16(t: Tables):
     spine = history.snapshot_spine(users, "hub_user_hk", "2024-01-01 00:00:00", "2024-01-29 00:00:00", 7)
     return history.point_in_time(spine, {
         "user": load.load_satellite(users, None, "hub_user_hk"),
-        "activity": load.load_satellite(tiers, None, "hub_user_hk", "mas_key")}, "hub_user_hk")
+        "activity": load.load_satellite(tiers, None, "hub_user_hk", "mas_key")}, "hub_user_hk", probe_on={"user": users, "activity": tiers})
 
 
 @query("agg13", f"""

@@ -20,7 +20,9 @@ from pyspark.sql.utils import AnalysisException
 from lodestrata.model import KEYED_KINDS, VERSIONED_KINDS, Binding, Entity, Model, active_bindings
 from lodestrata.operators.dedup import refuse_ambiguous
 from lodestrata.operators.history import type2
-from lodestrata.operators.load import discards_keyed, empty_like, load_keyed, load_satellite, with_ghost
+from lodestrata.operators.load import (
+    discards_keyed, empty_like, load_keyed, load_satellite, with_ghost, without_earlier,
+)
 from lodestrata.operators.quality import configured_rules, merge_rules, quarantine, split
 from lodestrata.operators.staging import declared_columns, kept_operations, mandatory_rules, project, stage
 
@@ -54,6 +56,18 @@ class Vault:
     def append(self, df: DataFrame, layer: str, table: str) -> None:
         df.write.mode("append").parquet(self.path(layer, table))
 
+    def append_log(self, df: DataFrame, table: str) -> None:
+        """Staging logs are partitioned by load day, so that a load can leave out old days."""
+        (df.withColumn("_load_day", F.to_date("load_dts")).write.mode("append").partitionBy("_load_day")
+         .parquet(self.path("stg", table)))
+
+    def log(self, table: str, since: str | None = None) -> DataFrame | None:
+        """A staging log, or its loads after ``since``."""
+        log = self.read("stg", table)
+        if log is not None and since is not None:
+            log = without_earlier(log.where(F.col("_load_day") >= F.to_date(F.lit(since))), since)
+        return None if log is None else log.drop("_load_day")
+
     @staticmethod
     def table_of(entity: Entity, binding: Binding) -> str:
         """Keyed entities have one table for all their sources, satellites one per source."""
@@ -83,7 +97,7 @@ class Vault:
                     valid = kept_operations(valid)
                 elif entity.kind == "nhl":
                     valid = valid.dropDuplicates([entity.hk])
-                self.append(project(valid, entity, b), "stg", table)
+                self.append_log(project(valid, entity, b), table)
                 self.append(quarantine(rows, checks, declared_columns(entity, b)), "qtn", table)
 
         with ThreadPoolExecutor(self.at_a_time) as pool:
@@ -91,15 +105,20 @@ class Vault:
 
     # Loading
 
-    def load(self, job_run_id: str, recorded_at: str, wanted: Sequence[str] | None = None) -> dict[str, str]:
+    def load(self, job_run_id: str, recorded_at: str, wanted: Sequence[str] | None = None,
+             since: str | None = None) -> dict[str, str]:
         """Every table from its log. Returns table -> what went wrong; a table that fails does
-        not keep the others from loading."""
+        not keep the others from loading.
+
+        ``since`` restricts the logs to later loads. What came before must be loaded already;
+        the tables themselves then stand in for it, and the work grows with what is new.
+        """
         problems = {}
         tables = self.tables(wanted)
         sources = ",".join(sorted({b.rec_src for _, bs in tables.values() for b in bs}))
         self._phase(job_run_id, "opened", sources, recorded_at)
         with ThreadPoolExecutor(self.at_a_time) as pool:
-            loads = {t: pool.submit(self._load_one, t, entity) for t, (entity, _) in tables.items()}
+            loads = {t: pool.submit(self._load_one, t, entity, since) for t, (entity, _) in tables.items()}
             for table, future in loads.items():
                 try:
                     counted = future.result()
@@ -121,9 +140,9 @@ class Vault:
         """Audit rows but for their time, as one file."""
         return self.spark.createDataFrame(rows, schema.rpartition(",")[0]).coalesce(1)
 
-    def _load_one(self, table: str, entity: Entity) -> tuple[int, int, list[tuple[str, int]]] | None:
+    def _load_one(self, table: str, entity: Entity, since: str | None) -> tuple[int, int, list[tuple[str, int]]] | None:
         """(staged, accepted, discards) of one table, or None without a log."""
-        log = self.read("stg", table)
+        log = self.log(table, since)
         if log is None:
             return None
         target = self.read("raw", table)

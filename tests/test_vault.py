@@ -231,11 +231,19 @@ def test_a_vault_loads_once_and_survives_a_bad_table(spark, tmp_path):
     audit = load.load_arithmetic(spark.read.parquet(vault.path("audit", "aud_table_load")), spark.read.parquet(vault.path("audit", "aud_table_discard")))
     assert audit.count() == 8 and audit.where("not balanced").count() == 0 and audit.where("job_run_id = 'r2' AND accepted <> 0").count() == 0
     assert "sat_a_s1_v1" in vault.views() and spark.table("sat_a_s1_v1").where("is_current AND rec_src = 'S1'").count() == 2
+    # A load of what is new since the last one finds the same as a load of the whole log.
+    vault.stage({"f": spark.createDataFrame([("1", "x", "m1", "q", day(4)), ("1", "x", "m1", "r", day(5)), ("8", "x", "m1", "r", day(5))], schema)}, "2026-01-06 00:00:00", "b2", ["sat_a/S1", "hub_a/S1"])
+    assert vault.load("r2b", "2026-01-06 12:00:00", ["sat_a/S1", "hub_a/S1"], since="2026-01-05 00:00:00") == {}
+    assert {r.table_name: r.row_count for r in vault.counts().collect()} == {"hub_a": 3, "hub_b": 2, "link_ab": 2, "sat_a_s1": 6}
+    assert vault.load("r2c", "2026-01-06 13:00:00", ["sat_a/S1", "hub_a/S1"]) == {}
     # The same link key with another manifest in one load is ambiguous; the other tables still load.
     vault.stage({"f": spark.createDataFrame([("1", "x", "m2", "z", day(3)), ("7", "y", "m2", "z", day(3))], schema)}, "2026-01-05 00:00:00", "b2")
     problems = vault.load("r3", "2026-01-07 00:00:00")
     assert set(problems) == {"link_ab"}
-    assert {r.table_name: r.row_count for r in vault.counts().collect()}["hub_a"] == 3
+    assert {r.table_name: r.row_count for r in vault.counts().collect()}["hub_a"] == 4
+    new = spark.read.parquet(vault.path("audit", "aud_table_load")).where("job_run_id IN ('r2b', 'r2c')")
+    assert rows_of(new.select("job_run_id", "table_name", "staged", "accepted")) == [
+        ("r2b", "hub_a", 3, 1), ("r2b", "sat_a_s1", 3, 2), ("r2c", "hub_a", 5, 0), ("r2c", "sat_a_s1", 6, 0)]
     runs = spark.read.parquet(vault.path("audit", "aud_load_run"))
     assert rows_of(runs.where("job_run_id = 'r3'").select("phase")) == [("opened",)]
 
