@@ -74,7 +74,11 @@ def split_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, sh
             .select(*keys, F.expr(f"filter(_all, (x, i) -> i > 0 AND i % {POINTS_PER_CHUNK} = 0)").alias("_cuts"))
             .where(F.size("_cuts") > 0))
     found = cuts.collect()
-    return literal_rows(df, found, keys, T.StructField("_cuts", cuts.schema["_cuts"].dataType)) if found else None
+    if not found:
+        return None
+    # Sorted once more: clocks can lose their order on the way through the driver's time zone.
+    return literal_rows(df, found, keys, T.StructField("_cuts", cuts.schema["_cuts"].dataType)).withColumn(
+        "_cuts", F.array_sort("_cuts"))
 
 
 def chunk_number(at: Column) -> Column:
