@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from lodestrata.operators.ordered import first_per_key, large_keys, same
@@ -67,12 +67,14 @@ class AmbiguousKeys(ValueError):
     """A log holds several versions of a key that must have one."""
 
 
-def refuse_ambiguous(log: DataFrame, hk: str, ignore: Sequence[str] = RUN_LOCAL) -> DataFrame:
+def refuse_ambiguous(log: DataFrame, hk: str, ignore: Sequence[str] = RUN_LOCAL,
+                     counted: Row | None = None) -> DataFrame:
     """The log itself, or a refusal naming some ambiguous keys.
 
-    As many distinct keys as rows prove the probe empty, and it is skipped.
+    As many distinct keys as rows prove the probe empty, and it is skipped. ``counted`` is
+    the row of ``key_multiplicity``, where it was taken before.
     """
-    n = key_multiplicity(log, [hk]).first()
+    n = counted or key_multiplicity(log, [hk]).first()
     if n["total_rows"] > n["distinct_keys"]:
         some = ambiguous_groups(log, hk, ignore, limit=5).select(F.lower(F.hex(hk)).alias("k")).collect()
         if some:

@@ -101,23 +101,23 @@ def agg9(t: Tables):
     return reconcile.expected_keys(rows, ["o_custkey", "a", "b"])
 
 
-# Rejected and landed rows of the same content: the digest covers status and priority.
-S_DIGEST = s_diff([S_ORDER.replace("o_orderkey", "o_custkey"), "o_orderstatus", "o_orderpriority"])
-S_DIGESTS = f"""d AS (SELECT CASE WHEN o_custkey % 13 > 0 THEN cast(o_custkey % 50 as varchar) END AS manifest_id, {S_DIGEST} AS digest, o_orderkey FROM orders),
-landed AS (SELECT manifest_id, digest, count(*) AS landed FROM d WHERE o_orderkey % 3 = 0 GROUP BY 1, 2), quarantined AS (SELECT manifest_id, digest, count(*) AS quarantined FROM d WHERE o_orderkey % 3 = 1 GROUP BY 1, 2),
-recorded AS (SELECT manifest_id, digest, count(*) FILTER (o_orderkey % 4 > 0) AS recorded, count(*) FILTER (o_orderkey % 4 = 0) AS stale FROM d WHERE o_orderkey % 9 = 1 OR o_orderkey % 50 = 0 GROUP BY 1, 2)"""
+# Landed, rejected and pending rows of the same content: the digest covers customer, year and priority.
+S_DIGEST = s_diff([S_ORDER.replace("o_orderkey", "o_custkey"), "year(o_orderdate)", "o_orderpriority"])
+S_DIGESTS = f"""d AS (SELECT CASE WHEN o_custkey % 13 > 0 THEN cast(o_custkey % 50 as varchar) END AS manifest_id, {S_DIGEST} AS digest, o_orderstatus, o_totalprice FROM orders),
+landed AS (SELECT manifest_id, digest, count(*) AS landed FROM d WHERE o_orderstatus = 'F' GROUP BY 1, 2), quarantined AS (SELECT manifest_id, digest, count(*) AS quarantined FROM d WHERE o_orderstatus = 'O' GROUP BY 1, 2),
+recorded AS (SELECT manifest_id, digest, count(*) FILTER (o_totalprice < 300000) AS recorded, count(*) FILTER (o_totalprice >= 300000) AS stale FROM d WHERE o_totalprice > 200000 GROUP BY 1, 2)"""
 
 
 def digests(t: Tables):
     """(landed, quarantined, recorded) counts per manifest and digest."""
     rows = t.orders.select(
         F.when(F.expr("o_custkey % 13 > 0"), (F.col("o_custkey") % 50).cast("string")).alias("manifest_id"),
-        hash_key(["o_custkey"], "SALES").alias("hk"), "o_orderstatus", "o_orderpriority", "o_orderkey")
-    cols, hks = ["o_orderstatus", "o_orderpriority"], ["hk"]
-    records = rows.where("o_orderkey % 9 = 1 OR o_orderkey % 50 = 0").select("manifest_id", row_digest(cols, hks).alias("digest"), F.when(
-        F.expr("o_orderkey % 4 = 0"), "1").otherwise("2").alias("rulebook_version"))
-    return (reconcile.digest_counts(rows.where("o_orderkey % 3 = 0"), cols, hks, "landed"),
-            reconcile.digest_counts(rows.where("o_orderkey % 3 = 1"), cols, hks, "quarantined"), reconcile.current_records(records, "2"))
+        hash_key(["o_custkey"], "SALES").alias("hk"), F.year("o_orderdate").alias("year"), "o_orderpriority", "o_orderstatus", "o_totalprice")
+    cols, hks = ["year", "o_orderpriority"], ["hk"]
+    records = rows.where("o_totalprice > 200000").select("manifest_id", row_digest(cols, hks).alias("digest"), F.when(
+        F.expr("o_totalprice >= 300000"), "1").otherwise("2").alias("rulebook_version"))
+    return (reconcile.digest_counts(rows.where("o_orderstatus = 'F'"), cols, hks, "landed"),
+            reconcile.digest_counts(rows.where("o_orderstatus = 'O'"), cols, hks, "quarantined"), reconcile.current_records(records, "2"))
 
 
 @query("agg10", f"""
@@ -148,34 +148,38 @@ def agg16(t: Tables):
     return reports.unbalanced_audit(audit_loads(t), audit_discards(t))
 
 
-# Run phases: every day opens; some days never complete, some only complete.
-S_RUNS = """SELECT concat('run', dayofyear(ts)) AS job_run_id, concat('t', user_id % 3) AS target, CASE WHEN event_type IN ('click', 'view') THEN 'opened' ELSE 'completed' END AS phase, ts AS recorded_at
-FROM events WHERE NOT (day(ts) % 5 = 0 AND event_type NOT IN ('click', 'view')) AND NOT (day(ts) % 7 = 0 AND event_type IN ('click', 'view')) AND day(ts) <> 11"""
+# Run phases: a run per day and user, opened by clicks and views, completed by purchases.
+S_RUNS = """SELECT concat('run', dayofyear(ts), '/', user_id) AS job_run_id, concat('t', user_id % 3) AS target, CASE WHEN event_type = 'purchase' THEN 'completed' ELSE 'opened' END AS phase, ts AS recorded_at
+FROM events WHERE event_type IN ('click', 'view', 'purchase')"""
+S_RUN_LOADS = "SELECT DISTINCT concat('run', dayofyear(ts), '/', user_id) AS job_run_id FROM events"
+
+
+def run_of_event():
+    return F.concat(F.lit("run"), F.dayofyear("ts"), F.lit("/"), "user_id")
 
 
 def run_phases(t: Tables):
-    opening = F.col("event_type").isin("click", "view")
-    day = F.dayofmonth("ts")
-    return t.events.where(~((day % 5 == 0) & ~opening) & ~((day % 7 == 0) & opening) & (day != 11)).select(
-        F.concat(F.lit("run"), F.dayofyear("ts")).alias("job_run_id"), F.concat(F.lit("t"), F.col("user_id") % 3).alias("target"),
-        F.when(opening, "opened").otherwise("completed").alias("phase"), F.col("ts").alias("recorded_at"))
+    return t.events.where(F.col("event_type").isin("click", "view", "purchase")).select(
+        run_of_event().alias("job_run_id"), F.concat(F.lit("t"), F.col("user_id") % 3).alias("target"),
+        F.when(F.col("event_type") == "purchase", "completed").otherwise("opened").alias("phase"), F.col("ts").alias("recorded_at"))
 
 
 @query("agg17", f"""
-WITH r AS ({S_RUNS}), l AS (SELECT DISTINCT job_run_id FROM ({S_LOADS})),
+WITH r AS ({S_RUNS}), l AS ({S_RUN_LOADS}),
 m AS (SELECT job_run_id, concat_ws(';', CASE WHEN job_run_id NOT IN (SELECT job_run_id FROM r WHERE phase = 'completed') THEN 'completed' END, CASE WHEN job_run_id NOT IN (SELECT job_run_id FROM r WHERE phase = 'opened') THEN 'opened' END) AS missing_phases FROM l)
 SELECT * FROM m WHERE missing_phases <> ''""")
 def agg17(t: Tables):
-    return reports.unclosed_runs(audit_loads(t), run_phases(t))
+    return reports.unclosed_runs(t.events.select(run_of_event().alias("job_run_id")), run_phases(t))
 
 
 @query("agg18", """
-WITH last AS (SELECT user_id % 40 AS k, max(ts) AS last_loaded FROM events WHERE user_id % 40 <> 3 GROUP BY 1), sla AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE c_custkey % 48 END AS sla_hours FROM customer WHERE c_custkey < 45)
+WITH last AS (SELECT user_id AS k, max(ts) AS last_loaded FROM events GROUP BY 1), sla AS (SELECT c_custkey AS k, CASE WHEN c_mktsegment = 'BUILDING' THEN 0 ELSE c_custkey % 48 + 1 END AS sla_hours FROM customer)
 SELECT concat('t', k) AS table_name, cast(sla_hours as bigint) AS sla_hours, cast(last_loaded as varchar) AS last_loaded, CASE WHEN sla_hours = 0 THEN 'EXEMPT' WHEN last_loaded IS NULL THEN 'NOT_EVALUATED'
   WHEN epoch(date_trunc('second', timestamp '2024-01-31 00:00:00')) - epoch(date_trunc('second', last_loaded)) > sla_hours * 3600 THEN 'STALE' ELSE 'FRESH' END AS status FROM sla LEFT JOIN last USING (k)""")
 def agg18(t: Tables):
-    audit = t.events.where("user_id % 40 <> 3").select(F.concat(F.lit("t"), F.col("user_id") % 40).alias("table_name"), F.col("ts").alias("recorded_at"))
-    sla = t.customer.where("c_custkey < 45").select(F.concat(F.lit("t"), "c_custkey").alias("table_name"), F.expr("CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE c_custkey % 48 END AS sla_hours"))
+    """Every customer's table; those without an event were never loaded."""
+    audit = t.events.select(F.concat(F.lit("t"), "user_id").alias("table_name"), F.col("ts").alias("recorded_at"))
+    sla = t.customer.select(F.concat(F.lit("t"), "c_custkey").alias("table_name"), F.expr("CASE WHEN c_mktsegment = 'BUILDING' THEN 0 ELSE c_custkey % 48 + 1 END AS sla_hours"))
     return reports.freshness(audit, sla, "2024-01-31 00:00:00").drop("age_seconds")
 
 
@@ -246,17 +250,17 @@ def agg24_volume(t: Tables):
 
 
 # Invoices: the gross of a third is the sum of the lines, of the others the order's total; some have two.
-S_GROSS = f"""sums AS (SELECT l_orderkey AS inv, sum({s_money('l_extendedprice')}) AS line_total, count(*) AS line_count FROM lineitem WHERE l_orderkey % 17 > 0 GROUP BY 1),
+S_GROSS = f"""sums AS (SELECT l_orderkey AS inv, sum({s_money('l_extendedprice')}) AS line_total, count(*) AS line_count FROM lineitem GROUP BY 1),
 heads AS (SELECT o_orderkey AS inv, CASE WHEN o_orderkey % 3 = 0 THEN coalesce(line_total, 1) ELSE {s_money('o_totalprice')} END AS gross FROM orders LEFT JOIN sums ON inv = o_orderkey
-  UNION ALL SELECT o_orderkey, 7.00 FROM orders WHERE o_orderkey % 6 = 3)"""
+  UNION ALL SELECT o_orderkey, 7.00 FROM orders WHERE o_orderstatus = 'P')"""
 
 
 def invoice_heads(t: Tables):
-    lines = t.lineitem.where("l_orderkey % 17 > 0").select(F.col("l_orderkey").alias("inv"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
+    lines = t.lineitem.select(F.col("l_orderkey").alias("inv"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
     sums = lines.groupBy("inv").agg(F.sum("amount").cast("decimal(18,2)").alias("total"))
     heads = t.orders.withColumn("inv", F.col("o_orderkey")).join(sums, "inv", "left").select("inv", F.when(
         F.expr("inv % 3 = 0"), F.coalesce("total", F.lit(1).cast("decimal(18,2)"))).otherwise(F.col("o_totalprice").cast("decimal(18,2)")).alias("gross"))
-    return lines, heads.unionByName(t.orders.where("o_orderkey % 6 = 3").select(F.col("o_orderkey").alias("inv"), F.lit("7.00").cast("decimal(18,2)").alias("gross")))
+    return lines, heads.unionByName(t.orders.where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("inv"), F.lit("7.00").cast("decimal(18,2)").alias("gross")))
 
 
 @query("agg25", f"""
@@ -268,8 +272,8 @@ def agg25(t: Tables):
     return invoices.invoice_release(lines, heads, ["inv"], "amount", "gross")
 
 
-S_FILES = """h AS (SELECT CASE WHEN o_orderkey % 50 = 0 THEN ' ' WHEN o_orderkey % 41 = 0 THEN 'X1' ELSE cast(o_orderkey as varchar) END AS inv FROM orders WHERE o_orderkey % 23 > 0),
-l AS (SELECT CASE WHEN l_orderkey % 61 = 0 THEN NULL ELSE cast(l_orderkey as varchar) END AS inv, CASE WHEN l_partkey % 97 = 0 THEN '' ELSE cast(l_linenumber as varchar) END AS ref FROM lineitem WHERE l_orderkey % 4 > 0),
+S_FILES = """h AS (SELECT CASE WHEN o_orderkey % 50 = 0 THEN ' ' WHEN o_orderkey % 41 = 0 THEN 'X1' ELSE cast(o_orderkey as varchar) END AS inv FROM orders WHERE o_orderstatus <> 'P'),
+l AS (SELECT CASE WHEN l_orderkey % 61 = 0 THEN NULL ELSE cast(l_orderkey as varchar) END AS inv, CASE WHEN l_partkey % 97 = 0 THEN '' ELSE cast(l_linenumber as varchar) END AS ref FROM lineitem),
 hn AS (SELECT trim(inv) AS inv, count(*) AS n FROM h GROUP BY 1), ln AS (SELECT coalesce(trim(inv), '') AS inv, trim(ref) AS ref, count(*) AS n FROM l GROUP BY 1, 2),
 li AS (SELECT inv, cast(sum(n) as bigint) AS n, sum(CASE WHEN ref <> '' THEN n END) AS named FROM ln GROUP BY 1)"""
 
@@ -281,8 +285,8 @@ SELECT 'ORPHAN_LINE', inv, NULL, n FROM li WHERE inv <> '' AND inv NOT IN (SELEC
 SELECT 'DUPLICATE_LINE_REFERENCE', inv, ref, n FROM ln WHERE ref <> '' AND n > 1 UNION ALL
 SELECT 'HEADER_WITHOUT_LINES', inv, NULL, 1 FROM hn WHERE inv <> '' AND inv NOT IN (SELECT inv FROM li WHERE named > 0)""")
 def agg26(t: Tables):
-    headers = t.orders.where("o_orderkey % 23 > 0").select(F.expr("CASE WHEN o_orderkey % 50 = 0 THEN ' ' WHEN o_orderkey % 41 = 0 THEN 'X1' ELSE cast(o_orderkey AS string) END AS inv"))
-    lines = t.lineitem.where("l_orderkey % 4 > 0").select(
+    headers = t.orders.where("o_orderstatus <> 'P'").select(F.expr("CASE WHEN o_orderkey % 50 = 0 THEN ' ' WHEN o_orderkey % 41 = 0 THEN 'X1' ELSE cast(o_orderkey AS string) END AS inv"))
+    lines = t.lineitem.select(
         F.expr("CASE WHEN l_orderkey % 61 = 0 THEN NULL ELSE cast(l_orderkey AS string) END AS inv"), F.expr("CASE WHEN l_partkey % 97 = 0 THEN '' ELSE cast(l_linenumber AS string) END AS ref"))
     return invoices.join_findings(headers, lines, "inv", "ref")
 

@@ -131,14 +131,14 @@ def dq7(t: Tables):
 
 
 # Each nation is a dataset; its rules come from customers' segments.
-S_RULES = "SELECT DISTINCT c_nationkey AS dataset, c_mktsegment AS rule_name, c_mktsegment <> 'BUILDING' AS is_current FROM customer WHERE c_nationkey % 3 > 0"
+S_RULES = "SELECT DISTINCT c_nationkey AS dataset, c_mktsegment AS rule_name, c_mktsegment <> 'BUILDING' AS is_current FROM customer WHERE c_acctbal > 9900"
 S_TABLES = "SELECT n_nationkey AS table_name FROM nation"
 S_PER_TABLE = f"SELECT t.table_name, count(e.rule_name) AS rules_declared FROM ({S_TABLES}) t LEFT JOIN ({S_RULES}) e ON e.dataset = t.table_name AND e.is_current GROUP BY 1"
 
 
 def coverage_inputs(t: Tables):
     model = t.nation.groupBy("n_regionkey").agg(F.collect_list("n_nationkey").alias("generated_tables"))
-    rules = t.customer.where("c_nationkey % 3 > 0").select(
+    rules = t.customer.where("c_acctbal > 9900").select(
         F.col("c_nationkey").alias("dataset"), F.col("c_mktsegment").alias("rule_name"),
         (F.col("c_mktsegment") != "BUILDING").alias("is_current")).distinct()
     return model, rules
@@ -294,13 +294,13 @@ def dq18(t: Tables):
     return quality.missing_columns(*inventories(t))
 
 
-S_LOSSY = "SELECT c_nationkey AS table_name, c_mktsegment AS column_name, count(*) FILTER (c_acctbal < -500) AS lost FROM customer WHERE c_nationkey % 2 = 0 GROUP BY ALL"
+S_LOSSY = "SELECT c_nationkey AS table_name, c_mktsegment AS column_name, count(*) FILTER (c_acctbal < -980) AS lost FROM customer WHERE c_acctbal < -900 GROUP BY ALL"
 
 
 def lossy_found(t: Tables):
-    return t.customer.where("c_nationkey % 2 = 0").groupBy(
+    return t.customer.where("c_acctbal < -900").groupBy(
         F.col("c_nationkey").alias("table_name"), F.col("c_mktsegment").alias("column_name")).agg(
-            F.count_if(F.col("c_acctbal") < -500).alias("lost"))
+            F.count_if(F.col("c_acctbal") < -980).alias("lost"))
 
 
 @query("dq19", f"""

@@ -8,7 +8,7 @@ from lodestrata.operators.ordered import ordered_scan
 from lodestrata.plans.registry import Tables, query, s_money
 from lodestrata.plans.loading import CODING, S_CODED, coded_lines
 from lodestrata.plans.warehouse import (
-    HALF, S_LINE_ORDER, S_USER_LOG, log_of, s_load, staged, stored_users, user_log,
+    HALF, S_LINE_ORDER, S_USER_LOG, before_half, log_of, s_load, staged, user_log,
 )
 
 
@@ -28,12 +28,12 @@ def jn2(t: Tables):
 
 
 @query("jn3", f"""
-WITH {S_USER_LOG}, {s_load('ulog', 'hk', 'stored', f"load_dts < timestamp '{HALF}' AND substr(hk, 1, 1) < '8'")},
+WITH {S_USER_LOG}, {s_load('ulog', 'hk', 'stored', f"load_dts < timestamp '{HALF}' AND tier = 'high'")},
 latest AS (SELECT hk, hd FROM stored QUALIFY row_number() OVER (PARTITION BY hk ORDER BY load_dts DESC, sub_seq DESC) = 1)
 SELECT ulog.hk AS hub_user_hk, cast(applied_dts as varchar) AS applied_dts, latest.hd AS latest_hashdiff FROM ulog LEFT JOIN latest ON latest.hk = ulog.hk""")
 def jn3(t: Tables):
     """Every log row beside the stored latest version of its key, where there is one."""
-    held = stored_users(t).where("lower(left(hex(hub_user_hk), 1)) < '8'")
+    held = load.load_satellite(before_half(user_log(t)).where("tier = 'high'"), None, "hub_user_hk")
     latest = load.latest_version(held, ["hub_user_hk"])
     return history.seeded_by_latest(user_log(t).select("hub_user_hk", "applied_dts"), latest, ["hub_user_hk"], "hashdiff")
 
@@ -85,10 +85,10 @@ def jn6(t: Tables):
 
 
 # Manifests: one per customer, approving its orders; 'P' orders were rejected, some of those superseded.
-S_MANIFEST = "SELECT cast(c_custkey as varchar) AS manifest_id, c_custkey % 20 AS approved_count FROM customer WHERE c_custkey % 11 > 0"
+S_MANIFEST = "SELECT cast(c_custkey as varchar) AS manifest_id, c_custkey % 20 AS approved_count FROM customer WHERE c_acctbal > 0"
 S_SIDES = """landed AS (SELECT cast(o_custkey as varchar) AS manifest_id FROM orders WHERE o_orderstatus <> 'P'),
 rejected AS (SELECT cast(o_custkey as varchar) AS manifest_id FROM orders WHERE o_orderstatus = 'P'),
-superseded AS (SELECT cast(o_custkey as varchar) AS manifest_id FROM orders WHERE o_orderpriority = '1-URGENT' OR o_custkey % 10 = 0)"""
+superseded AS (SELECT cast(o_custkey as varchar) AS manifest_id FROM orders WHERE o_orderpriority = '1-URGENT' OR o_totalprice > 400000)"""
 S_COUNTS = f"""counts AS (SELECT m.*, (SELECT count(*) FROM landed x WHERE x.manifest_id = m.manifest_id) AS landed,
  (SELECT count(*) FROM rejected x WHERE x.manifest_id = m.manifest_id) AS quarantined, (SELECT count(*) FROM superseded x WHERE x.manifest_id = m.manifest_id) AS superseded FROM manifest m)"""
 S_MANIFESTS = f"manifest AS ({S_MANIFEST}), {S_SIDES}, {S_COUNTS}"
@@ -96,10 +96,10 @@ S_MANIFESTS = f"manifest AS ({S_MANIFEST}), {S_SIDES}, {S_COUNTS}"
 
 def manifests(t: Tables):
     o = t.orders.withColumn("manifest_id", F.col("o_custkey").cast("string"))
-    manifest = t.customer.where("c_custkey % 11 > 0").select(
+    manifest = t.customer.where("c_acctbal > 0").select(
         F.col("c_custkey").cast("string").alias("manifest_id"), (F.col("c_custkey") % 20).alias("approved_count"))
     return (manifest, o.where("o_orderstatus <> 'P'").select("manifest_id"), o.where("o_orderstatus = 'P'").select("manifest_id"),
-            o.where("o_orderpriority = '1-URGENT' OR o_custkey % 10 = 0").select("manifest_id"))
+            o.where("o_orderpriority = '1-URGENT' OR o_totalprice > 400000").select("manifest_id"))
 
 
 @query("jn7", f"WITH {S_MANIFESTS} SELECT * FROM counts")

@@ -56,8 +56,8 @@ def win6(t: Tables):
 
 # Two thirds of the invoices carry one date; the others state several, and a ledger date conflicts.
 S_DAY = "CASE WHEN invoice % 3 = 0 THEN day WHEN invoice % 3 = 1 THEN date '2002-01-31' END"
-S_OFFERED = f"SELECT tenant, invoice, line_reference, {S_DAY} AS day, l_linestatus FROM ({S_LINES}) WHERE invoice % 31 > 0"
-S_HELD = f"SELECT *, CASE WHEN invoice % 10 = 3 AND line_number = 2 THEN date '2003-01-31' ELSE invoice_date END AS d FROM ({S_LEDGER}) WHERE invoice % 5 > 0"
+S_OFFERED = f"SELECT tenant, invoice, line_reference, {S_DAY} AS day, l_linestatus FROM ({S_LINES})"
+S_HELD = f"SELECT *, CASE WHEN invoice % 10 = 3 AND line_number = 2 THEN date '2003-01-31' ELSE invoice_date END AS d FROM ({S_LEDGER})"
 S_VERDICTS = f"""offered AS ({S_OFFERED}), held AS ({S_HELD}),
 o AS (SELECT tenant, invoice, min(day) AS lo, max(day) AS hi, count(*) > count(DISTINCT line_reference) AS doubled FROM offered GROUP BY 1, 2),
 h AS (SELECT tenant, invoice, min(d) AS first, max(d) AS final, max(line_number) AS last_number FROM held GROUP BY 1, 2),
@@ -66,12 +66,12 @@ verdicts AS (SELECT tenant, invoice, coalesce(first, lo) AS frozen_date, coalesc
 
 
 def offered_lines(t: Tables):
-    rows = invoice_lines(t).where("invoice % 31 > 0")
+    rows = invoice_lines(t)
     return rows.withColumn("day", F.expr("CASE WHEN invoice % 3 = 0 THEN day WHEN invoice % 3 = 1 THEN date'2002-01-31' END"))
 
 
 def held_ledger(t: Tables):
-    return issued_ledger(t).where("invoice % 5 > 0").withColumn("invoice_date", F.expr(
+    return issued_ledger(t).withColumn("invoice_date", F.expr(
         "CASE WHEN invoice % 10 = 3 AND line_number = 2 THEN date'2003-01-31' ELSE invoice_date END"))
 
 

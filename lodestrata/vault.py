@@ -18,10 +18,10 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from lodestrata.model import KEYED_KINDS, VERSIONED_KINDS, Binding, Entity, Model, active_bindings
-from lodestrata.operators.dedup import refuse_ambiguous
+from lodestrata.operators.dedup import key_multiplicity, refuse_ambiguous
 from lodestrata.operators.history import type2
 from lodestrata.operators.load import (
-    discards_keyed, empty_like, load_keyed, load_satellite, with_ghost, without_earlier,
+    empty_like, load_keyed, load_satellite, with_ghost, without_earlier,
 )
 from lodestrata.operators.quality import configured_rules, merge_rules, quarantine, split
 from lodestrata.operators.staging import declared_columns, kept_operations, mandatory_rules, project, stage
@@ -149,19 +149,21 @@ class Vault:
         if target is None:
             self.append(with_ghost(empty_like(log), self._ghost_key(entity)), "raw", table)
             target = self.read("raw", table)
-        before, staged = target.count(), log.count()
-        if entity.kind in KEYED_KINDS:
+        before = target.count()
+        if entity.kind in VERSIONED_KINDS:
+            staged = log.count()
+            new = load_satellite(log, target, self._ghost_key(entity), "mas_key" if entity.kind == "msat" else None)
+        else:
+            counted = key_multiplicity(log, [entity.hk]).first()
+            staged, distinct = counted["total_rows"], counted["distinct_keys"]
             if entity.kind != "hub":
-                refuse_ambiguous(log, entity.hk)
-            lost = discards_keyed(log, target, entity.hk).where("reason <> 'accepted'").collect()
+                refuse_ambiguous(log, entity.hk, counted=counted)
             new = load_keyed(log, target, entity.hk)
-        else:
-            lost = None
-            new = load_satellite(log, target, self._ghost_key(entity), "mas_key" if entity.kind == "msat" else None)
         self.append(new, "raw", table)
         accepted = self.read("raw", table).count() - before
-        return staged, accepted, ([(r["reason"], r["row_count"]) for r in lost] if lost is not None
-                                  else [("unchanged_hashdiff", staged - accepted)])
+        if entity.kind in VERSIONED_KINDS:
+            return staged, accepted, [("unchanged_hashdiff", staged - accepted)]
+        return staged, accepted, [("duplicate_in_batch", staged - distinct), ("already_present", distinct - accepted)]
 
     @staticmethod
     def _ghost_key(entity: Entity) -> str:
