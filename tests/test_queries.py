@@ -78,3 +78,15 @@ def test_a_satellite_load_shuffles_log_and_target_once(spark):
 def test_entry(spark):
     rows = entry.entry(spark).collect()
     assert {(r.entity, r.status) for r in rows} == {("nhl_order_line", "PASSED"), ("hub_order", "PASSED")}
+
+
+@pytest.mark.parametrize("key, shuffles", [("vlt2", 2), ("vlt3", 2), ("vlt4", 2), ("vlt8", 1), ("win5", 1)])
+def test_loads_shuffle_each_side_once(spark, key, shuffles):
+    """With joins by shuffle, as for tables too large to broadcast."""
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES[key](spark, DATA))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == shuffles
