@@ -7,8 +7,9 @@ import pytest
 
 from conftest import DATA, TABLES
 import __spark_entry__ as entry
+from lodestrata.plans import catalog
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = {k: q for k, q in entry.queries().items() if k in catalog.queries()}, catalog.oracles()
 ROWS_ONLY = {"key9_xxhash64", "fn5_crc32", "agg27_crc32"}
 
 
