@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import chat, exact, urls
+from lodestrata.llm import chat, exact, simhash, tokens, toxicity, urls
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+TOKENIZER = "byte_bpe_50k.json"
 SAY = "<|im_end|><|im_start|>assistant ok"
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,6 +78,29 @@ def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return out.select(F.col("page").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    out = toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return out.withColumnRenamed("doc", "doc_id")
+
+
+@query("op4_simhash")
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    out = simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, radius=2)
+    return out.select(F.col("doc").alias("doc_id"), simhash.as_hex("fingerprint").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.encoded(table(spark, folder, "documents"), tokenizer_path()).withColumnRenamed("doc", "doc_id")
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where the installed public tokenizers have a file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
