@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import chat, exact, simhash, tokens, toxicity, urls
+from lodestrata.llm import chat, decontamination, exact, mixing, pages, simhash, tokens, toxicity, urls
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+TARGETS = {"high": 0.95, "low": 0.05}
 TOKENIZER = "byte_bpe_50k.json"
 SAY = "<|im_end|><|im_start|>assistant ok"
 
@@ -53,6 +54,17 @@ def op5_chat_examples(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.examples(turns.unionByName(extra))).withColumnRenamed("conv", "conv_id")
 
 
+@query("op6_mixing")
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    out = mixing.mix(table(spark, folder, "documents"), domains(spark, folder), TARGETS, keep=("source",))
+    return out.select(F.col("doc").alias("doc_id"), "source", "n_tokens", *[F.get("posteriors", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(TARGETS)], "rate", "copies")
+
+
+def domains(spark: SparkSession, folder: str) -> DataFrame:
+    """The labelled table's domains: documents of high and of low quality."""
+    return table(spark, folder, "labels").select("doc_id", F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low").alias("domain"))
+
+
 @query("op7_exact_dedup", sql=r"""
 with squeezed as (
   select doc_id, length(coalesce(text, '')) as chars, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) as text_sha256 from documents),
@@ -78,12 +90,23 @@ def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return out.select(F.col("page").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+@query("op1_decontamination")
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    out = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return out.select(F.col("doc").alias("doc_id"), "contaminated", "n_items", "overlap", F.array_join("items", ",").alias("items"))
+
+
 @query("op2_toxicity")
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     out = toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return out.withColumnRenamed("doc", "doc_id")
 
 
+@query("op3_main_text")
+def op3_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages")).withColumnRenamed("page", "page_id")
+
+
 @query("op4_simhash")
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, radius=2)
