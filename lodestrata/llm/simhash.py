@@ -79,7 +79,7 @@ def within(values: np.ndarray, bucket: np.ndarray, radius: int) -> Iterator[tupl
     row_at[lane_at] = np.arange(len(values))
     used = np.packbits(row_at >= 0, bitorder="little").view("<u8")
     bits = np.unpackbits(lanes.view(np.uint8).reshape(-1, 64, 8), axis=2, bitorder="little")  # block, lane, bit
-    planes = np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little").view("<u8")[:, :, 0]  # bit, block
+    planes = np.ascontiguousarray(np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little")).view("<u8")[:, :, 0]  # bit, block
     ahead = blocks_of[owner] - place // 64  # a value meets its own block and those after it
     query = np.repeat(np.arange(len(values)), ahead)
     block = np.repeat(lane_at // 64, ahead) + np.arange(len(query)) - np.repeat(np.cumsum(ahead) - ahead, ahead)
