@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import chat, decontamination, exact, mixing, pages, simhash, tokens, toxicity, urls
+from lodestrata.llm import chat, decontamination, exact, mixing, pages, repeats, simhash, tokens, toxicity, urls
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -76,6 +76,12 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select(F.col("doc").alias("doc_id"), F.col("keep").alias("keep_id"), "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+@query("op9_repeats")
+def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    out = repeats.without_repeats(table(spark, folder, "documents"))
+    return out.select(F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op10_url_rules", sql="""
 with parts as (
   select page_id, translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,

@@ -52,3 +52,12 @@ def sifted(df: DataFrame, key: str, of: tuple[DataFrame, int], flag: str) -> Dat
 
 def _position(key: Column, bits: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(1 << bits))
+
+
+def without(docs: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows whose ``column`` is not among the ids (one column, not null). Rows without an id stay. Rows that the
+    sieve clears are not shuffled, so only those that may have to go meet the ids in a join."""
+    ids = saved(ids.toDF("_gone").where("_gone is not null").distinct(), "ids")
+    marked = sifted(docs, column, sieve(ids, "_gone"), "_maybe")
+    maybe = marked.where("_maybe")
+    return marked.where(~F.col("_maybe")).drop("_maybe").unionByName(maybe.join(ids, maybe[column] == ids["_gone"], "left_anti").drop("_maybe"))
