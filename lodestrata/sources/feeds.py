@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -16,7 +14,7 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
 def stream(spark: SparkSession, path: str, schema: StructType | None = None, fmt: str = "parquet",
            max_files: int = 1000) -> DataFrame:
     """Streaming scan of a directory. The schema comes from a static read when not given,
-    and ``max_files`` bounds what one micro-batch takes on."""
+    and ``max_files`` bounds what one micro-batch takes on; no flow's result depends on it."""
     if schema is None:
         schema = spark.read.format(fmt).load(path).schema
     return (spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files).load(path))
@@ -30,6 +28,13 @@ def landed(df: DataFrame, source_system: str, batch_id: str, ingest_ts: str | No
         "_batch_id": F.lit(batch_id), "_dup_flag": F.lit(None).cast("boolean")})
 
 
+def arrived(spark: SparkSession, path: str, fmt: str = "json", known: StructType | None = None) -> StructType:
+    """The schema a stream starts with: the columns known so far and those that deliveries brought since.
+    A flow that is started again with it goes on from its checkpoint and takes the new columns on."""
+    found = spark.read.format(fmt).load(path).schema
+    return found if known is None else widest(known, found)
+
+
 def widest(*schemas: StructType) -> StructType:
     """The columns of several deliveries, in order of first appearance."""
     fields = {}
@@ -37,8 +42,3 @@ def widest(*schemas: StructType) -> StructType:
         for f in schema:
             fields.setdefault(f.name.lower(), f)
     return StructType(list(fields.values()))
-
-
-def tolerant(deliveries: list[DataFrame]) -> DataFrame:
-    """Deliveries of one source whose columns grew over time."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), deliveries)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -13,15 +12,10 @@ MAPPED, UNMAPPED, UNRESOLVED = "mapped", "unmapped", "unresolved"
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared one the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a folder of its own machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """A new folder under the shared one the cluster names in ``spark.checkpoint.dir``."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="lodestrata-")
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
