@@ -10,7 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql import types as T
+from pyspark.sql.types import StructType
 
 # Part of the stored keys, never to change.
 DELIMITER = "||"
@@ -111,16 +112,19 @@ def zero_key(width: int = KEY_BYTES) -> Column:
     return F.unhex(F.repeat(F.lit("00"), F.lit(width)))
 
 
+SAFE_TYPES = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+
+
 def key_rules(cols: Sequence[str], mandatory: bool = True,
               schema: StructType | None = None) -> list[tuple[str, Column]]:
     """Rules a key component must meet: present, no delimiter inside, not the null token.
 
-    With a ``schema``, components that are no text are only asked to be present: a number or
-    a date can hold neither a delimiter nor the token.
+    With a ``schema``, numbers, dates, clocks and booleans are only asked to be present: they can hold neither a
+    delimiter nor the token. Components of all other types, binary ones too, are read as text.
     """
     rules, sure = [], F.lit(True)
     for name in cols:
-        textual = schema is None or isinstance(schema[name].dataType, StringType)
+        textual = schema is None or not isinstance(schema[name].dataType, SAFE_TYPES)
         text = F.col(name).cast("string")
         if mandatory:
             there = F.col(name).isNotNull()

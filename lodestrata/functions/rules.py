@@ -38,12 +38,13 @@ def worker_name(last: str | Column, first: str | Column) -> Column:
 
 
 def line_description(last, first, week_ending, line_ref, invoice_id=None) -> Column:
-    """Worker, week ending and line reference; led by the invoice id when given."""
+    """Worker, week ending and line reference; led by the invoice id when given. A missing part leaves nothing
+    that could name the line."""
     name = worker_name(last, first)
     parts = [name, as_col(week_ending).cast("string"), as_col(line_ref).cast("string")]
     if invoice_id is not None:
         parts.insert(0, as_col(invoice_id).cast("string"))
-    return F.when(name.isNotNull(), F.concat_ws("|", *parts))
+    return F.concat(parts[0], *[x for p in parts[1:] for x in (F.lit("|"), p)])
 
 
 def line_type(source_type: str | Column) -> Column:

@@ -51,10 +51,10 @@ def with_group_size(df: DataFrame, grain: Sequence[str], name: str = "in_group",
 
 
 def ambiguous_groups(log: DataFrame, hk: str, ignore: Sequence[str] = RUN_LOCAL,
-                     limit: int | None = 200) -> DataFrame:
+                     limit: int | None = None) -> DataFrame:
     """Rows of one key, load and source whose contents differ, whole groups first.
 
-    Copies collapse before anything is counted. ``limit`` bounds the report.
+    Copies collapse before anything is counted. The report is whole unless ``limit`` bounds it.
     """
     grain = [hk, *GRAIN]
     rows = log.drop(*ignore).distinct()

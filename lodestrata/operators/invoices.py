@@ -14,16 +14,18 @@ from lodestrata.operators.ordered import first_per_key
 def invoice_release(lines: DataFrame, invoices: DataFrame, key: Sequence[str], amount: str, gross: str) -> DataFrame:
     """Per invoice, whether its lines sum exactly to its one gross value, and if not why.
 
-    Decimal equality without a tolerance. An invoice without lines is never released.
+    Decimal equality without a tolerance. An invoice without lines is never released, nor one with a line whose
+    amount is missing. A missing gross value is a value of its own beside any other.
     """
-    sums = lines.groupBy(*key).agg(F.sum(amount).alias("line_total"), F.count(F.lit(1)).alias("line_count"))
-    heads = invoices.groupBy(*key).agg(F.countDistinct(gross).alias("gross_values"), F.min(gross).alias("gross"))
+    sums = lines.groupBy(*key).agg(F.sum(amount).alias("line_total"), F.count(F.lit(1)).alias("line_count"), F.count(amount).alias("_amounts"))
+    missing = F.max(F.when(F.col(gross).isNull(), 1).otherwise(0))
+    heads = invoices.groupBy(*key).agg((F.countDistinct(gross) + missing).alias("gross_values"), F.min(gross).alias("gross"))
     out = heads.join(sums, list(key), "left").na.fill(0, ["line_count"])
-    reason = (F.when(F.col("line_count") == 0, "no lines").when(F.col("gross_values") == 0, "no gross value")
-              .when(F.col("gross_values") > 1, "several gross values")
-              .when(F.col("line_total").isNull(), "no line amounts")
+    reason = (F.when(F.col("line_count") == 0, "no lines").when(F.col("gross_values") > 1, "several gross values")
+              .when(F.col("gross").isNull(), "no gross value").when(F.col("_amounts") == 0, "no line amounts")
+              .when(F.col("_amounts") < F.col("line_count"), "a line without an amount")
               .when(F.col("line_total") != F.col("gross"), "lines do not sum to gross"))
-    return out.withColumns({"reason": reason, "released": reason.isNull()})
+    return out.withColumns({"reason": reason, "released": reason.isNull()}).drop("_amounts")
 
 
 def join_findings(headers: DataFrame, lines: DataFrame, invoice: str, line_ref: str) -> DataFrame:

@@ -25,14 +25,14 @@ def invoice_verdicts(lines: DataFrame, ledger: DataFrame, invoice: Sequence[str]
     per_ref = lines.groupBy(*invoice, ref).agg(
         F.count(F.lit(1)).alias("_n"), F.min(date).alias("_lo"), F.max(date).alias("_hi"))
     offered = per_ref.groupBy(*invoice).agg(
-        F.max("_n").alias("_copies"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+        F.max("_n").alias("_copies"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.max(strip(ref) == "").alias("_unnamed"))
     issued = ledger.groupBy(*[F.col(c).alias("_i_" + c) for c in invoice]).agg(
         F.max("line_number").alias("last_number"), F.min("invoice_date").alias("_first"),
         F.max("invoice_date").alias("_final"))
     out = offered.join(issued, same(offered, issued, invoice, "_i_", ()), "left")
     blank = reduce(lambda a, b: a | b, [strip(c) == "" for c in invoice])
     refusal = (
-        F.when(blank, "blank invoice key").when(F.col("_copies") > 1, "duplicate line reference")
+        F.when(blank, "blank invoice key").when(F.col("_unnamed"), "blank line reference").when(F.col("_copies") > 1, "duplicate line reference")
         .when(F.col("_first") != F.col("_final"), "several issued dates")
         .when(F.col("_first").isNull() & (F.col("_lo") != F.col("_hi")), "several supplied dates")
         .when(F.col("_first").isNotNull() & ((F.col("_lo") != F.col("_first")) | (F.col("_hi") != F.col("_first"))),

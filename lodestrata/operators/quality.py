@@ -185,8 +185,8 @@ def missing_columns(required: DataFrame, present: DataFrame) -> DataFrame:
 def conformance(required: DataFrame, present: DataFrame, lossy: DataFrame | None) -> DataFrame:
     """Verdict per contracted table: ABSENT, NON_CONFORMANT, NOT_EVALUATED or CONFORMANT.
 
-    ``lossy`` is (table_name, column_name, lost) for the tables whose casts were probed. The
-    counts are read from the findings, so the two cannot disagree.
+    ``lossy`` is (table_name, column_name, lost) for the columns whose casts were probed; a table conforms only if
+    all its required columns were. The counts are read from the findings, so the two cannot disagree.
     """
     tables = required.select("table_name").distinct()
     existing = present.select("table_name").distinct().withColumn("_exists", F.lit(True))
@@ -197,7 +197,10 @@ def conformance(required: DataFrame, present: DataFrame, lossy: DataFrame | None
         findings = findings.unionByName(lossy.where("lost > 0").select(
             "table_name", F.concat(F.lit("LOSSY_CAST: "), "column_name", F.lit(" loses "),
                                    F.col("lost").cast("string")).alias("finding")))
-        probed = lossy.select("table_name").distinct().withColumn("_probed", F.lit(True))
+        measured = lossy.select("table_name", F.lower("column_name").alias("_c")).distinct()
+        asked = required.select("table_name", F.lower("column_name").alias("_c")).distinct()
+        unmeasured = asked.join(measured, ["table_name", "_c"], "left_anti").select("table_name").distinct()
+        probed = tables.join(unmeasured, "table_name", "left_anti").withColumn("_probed", F.lit(True))
     listed = findings.groupBy("table_name").agg(F.array_sort(F.collect_list("finding")).alias("findings"))
     out = tables.join(existing, "table_name", "left").join(listed, "table_name", "left")
     out = out.join(probed, "table_name", "left") if lossy is not None else out.withColumn(

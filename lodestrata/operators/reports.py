@@ -125,14 +125,14 @@ def unclosed_runs(loads: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def freshness(audit: DataFrame, sla: DataFrame, now: str) -> DataFrame:
-    """STALE, FRESH, EXEMPT (SLA of 0) or NOT_EVALUATED (never loaded) per table.
+    """STALE, FRESH, EXEMPT (SLA of 0) or NOT_EVALUATED (no SLA declared, or never loaded) per table.
 
     ``sla`` is (table_name, sla_hours); ``now`` is a parameter, so a report can be repeated.
     """
     last = audit.groupBy("table_name").agg(F.max("recorded_at").alias("last_loaded"))
     out = sla.join(last, "table_name", "left")
     age = F.unix_timestamp(F.lit(now).cast("timestamp")) - F.unix_timestamp(F.col("last_loaded").cast("timestamp"))
-    status = (F.when(F.col("sla_hours") == 0, "EXEMPT").when(F.col("last_loaded").isNull(), "NOT_EVALUATED")
+    status = (F.when(F.col("sla_hours") == 0, "EXEMPT").when(F.col("sla_hours").isNull() | F.col("last_loaded").isNull(), "NOT_EVALUATED")
               .when(age > F.col("sla_hours") * 3600, "STALE").otherwise("FRESH"))
     return out.withColumns({"age_seconds": age, "status": status})
 

@@ -27,19 +27,21 @@ def snapshot_effectivity(prev: DataFrame, cur: DataFrame, fetched: Sequence[str]
 
     ``fetched`` names the types this snapshot asked for, because a type without values
     leaves no row to say so; such a type is refused and not compared, or every value it had
-    would read as withdrawn. Types that were not fetched are left alone.
+    would read as withdrawn. For the same reason a type with a blank value on either side is refused: a blank one
+    before would read as withdrawn as well. Types that were not fetched are left alone.
     """
     spark = cur.sparkSession
     asked = spark.createDataFrame([(t,) for t in sorted(set(fetched))], "type string")
     now = cur.select("type", F.col("value").cast("string").alias("value")).distinct()
-    blanks = now.where(strip("value") == "").select("type").distinct().withColumn("_blank", F.lit(True))
+    before = prev.select("type", F.col("value").cast("string").alias("value")).distinct()
+    sides = now.withColumn("_now", F.lit(True)).unionByName(before.withColumn("_now", F.lit(False)))
+    blanks = sides.where(strip("value") == "").groupBy("type").agg(F.max("_now").alias("_blank"))
     sized = now.groupBy("type").agg(F.count(F.lit(1)).alias("_n"))
     verdict = asked.join(sized, "type", "left").join(blanks, "type", "left")
-    refused = verdict.where("_n IS NULL OR _blank").select(
+    refused = verdict.where("_n IS NULL OR _blank IS NOT NULL").select(
         "type", F.lit(None).cast("string").alias("value"), F.lit("REFUSED").alias("reference_status"),
-        F.when(F.col("_n").isNull(), "no values").otherwise("blank value").alias("reason"))
+        F.when(F.col("_n").isNull(), "no values").when(F.col("_blank"), "blank value").otherwise("blank value before").alias("reason"))
     usable = verdict.where("_n IS NOT NULL AND _blank IS NULL").select("type")
-    before = prev.select("type", F.col("value").cast("string").alias("value")).distinct()
     both = now.withColumn("_now", F.lit(True)).join(before.withColumn("_was", F.lit(True)), ["type", "value"], "full_outer")
     moved = (both.where("_now IS NULL OR _was IS NULL").join(usable, "type", "left_semi")
              .select("type", "value", F.when(F.col("_was").isNull(), "OFFERED").otherwise("WITHDRAWN").alias("reference_status"),

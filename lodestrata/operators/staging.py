@@ -178,22 +178,17 @@ def kept_operations(df: DataFrame) -> DataFrame:
 def mandatory_rules(entity: Entity, binding: Binding, schema: StructType | None = None) -> list[tuple[str, Column]]:
     """Rules every staged row of a kind must meet.
 
-    Parent components are guarded as well as own keys, because a digest of NULLs is never
-    NULL. For the same reason the digests that ``stage`` derives are present without looking,
-    and computing them only to test them would double the work.
+    Parent components and the sub-keys of multi-active rows are guarded as well as own keys,
+    because a digest of NULLs is never NULL and a missing sub-key would make siblings one.
+    For the same reason the presence of a digest that ``stage`` derives is no rule: it is
+    there by construction, and deriving it once more to test it would double the work.
     """
     rules: list[tuple[str, Column]] = []
-    by_stage = F.lit(True)
     if entity.kind == "hub":
         rules += key_rules(list(entity.keys), schema=schema)
     guarded = [c for p in entity.parents for c in binding.parent_keys[p.name]] + list(binding.txn_keys)
+    if entity.kind == "msat":
+        guarded += binding.mas_keys
     if guarded:
         rules += key_rules(list(dict.fromkeys(guarded)), schema=schema)
-    if entity.kind in KEYED_KINDS:
-        rules.append((f"{entity.hk}_present", by_stage))
-    rules += [(f"{p.name}_hk_present", by_stage) for p in entity.parents]
-    if entity.kind in VERSIONED_KINDS:
-        rules.append(("hashdiff_present", by_stage))
-    if entity.kind == "msat":
-        rules.append(("mas_key_present", F.col("mas_key").isNotNull() & (F.trim("mas_key") != "")))
     return rules

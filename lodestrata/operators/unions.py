@@ -24,8 +24,9 @@ def mixed_types(inventory: DataFrame) -> DataFrame:
 
 
 def union_findings(inventory: DataFrame, pattern: str, required: Sequence[str], aliases: Sequence[str]) -> DataFrame:
-    """What stops a declared union: no table, a required column missing, or aliases that are
-    one name to a case-insensitive reader. ``inventory`` is (table_name, column_name, ...)."""
+    """What stops a declared union: no table, a required column missing, or aliases that are one name to a
+    case-insensitive reader, among themselves or with a column of a covered table. ``inventory`` is (table_name,
+    column_name, ...)."""
     spark = inventory.sparkSession
     covered = inventory.where(F.col("table_name").like(pattern))
     tables = covered.select("table_name").distinct()
@@ -36,7 +37,7 @@ def union_findings(inventory: DataFrame, pattern: str, required: Sequence[str],
     wanted = tables.select("table_name", F.explode(F.array(*map(F.lit, required))).alias("detail")).withColumn("_c", F.lower("detail"))
     missing = wanted.join(have, ["table_name", "_c"], "left_anti").select(
         F.lit("MISSING_REQUIRED").alias("finding"), "table_name", "detail")
-    clash = spark.createDataFrame([(a,) for a in aliases], "a string").groupBy(F.lower("a").alias("detail")).count().where(
-        "count > 1").select(
-        F.lit("ALIAS_CLASH").alias("finding"), F.lit(None).cast("string").alias("table_name"), "detail")
-    return none.unionByName(missing).unionByName(clash)
+    named = spark.createDataFrame([(a,) for a in aliases], "a string").groupBy(F.lower("a").alias("detail")).count()
+    clash = named.where("count > 1").select(F.lit("ALIAS_CLASH").alias("finding"), F.lit(None).cast("string").alias("table_name"), "detail")
+    taken = have.join(named, have["_c"] == named["detail"]).select(F.lit("ALIAS_CLASH").alias("finding"), "table_name", "detail")
+    return none.unionByName(missing).unionByName(clash).unionByName(taken)

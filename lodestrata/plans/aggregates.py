@@ -45,11 +45,18 @@ def agg2(t: Tables):
     return reconcile.control_totals(journal_lines(t), both, "journal", "debit", "credit", "control_total")
 
 
-@query("agg3", """
-SELECT l_orderkey AS journal, count(*) AS line_count, count(DISTINCT l_linenumber) AS distinct_numbers, max(l_linenumber) AS highest FROM lineitem GROUP BY 1
-HAVING count(*) <> count(DISTINCT l_linenumber) OR max(l_linenumber) <> count(DISTINCT l_linenumber)""")
+# Line numbers as text; some are missing and some are no numbers.
+NUMBER = "CASE WHEN l_orderkey % 11 = 0 AND l_linenumber = 2 THEN NULL WHEN l_orderkey % 13 = 0 AND l_linenumber = 1 THEN 'first' ELSE cast(l_linenumber as {text}) END"
+
+
+@query("agg3", f"""
+SELECT journal, count(*) AS line_count, count(DISTINCT n) AS distinct_numbers, max(n) AS highest FROM (SELECT l_orderkey AS journal, try_cast({NUMBER.format(text='varchar')} as int) AS n FROM lineitem) GROUP BY 1
+HAVING count(*) <> count(DISTINCT n) OR coalesce(max(n), 0) <> count(*)""")
 def agg3(t: Tables):
-    return reconcile.line_gaps(journal_lines(t), "journal", "l_linenumber")
+    """Beside the journals stands the ghost, which has no number and is no line."""
+    lines = t.lineitem.select(F.col("l_orderkey").alias("journal"), F.expr(NUMBER.format(text="string")).alias("number"), F.lit("SALES").alias("rec_src"))
+    ghost = t.spark.range(1).select(F.lit(-1).cast("long").alias("journal"), F.lit(None).cast("string").alias("number"), F.lit("SYSTEM").alias("rec_src"))
+    return reconcile.line_gaps(lines.unionByName(ghost), "journal", "number")
 
 
 @query("agg4", """
@@ -173,13 +180,13 @@ def agg17(t: Tables):
 
 
 @query("agg18", """
-WITH last AS (SELECT user_id AS k, max(ts) AS last_loaded FROM events GROUP BY 1), sla AS (SELECT c_custkey AS k, CASE WHEN c_mktsegment = 'BUILDING' THEN 0 ELSE c_custkey % 48 + 1 END AS sla_hours FROM customer)
-SELECT concat('t', k) AS table_name, cast(sla_hours as bigint) AS sla_hours, cast(last_loaded as varchar) AS last_loaded, CASE WHEN sla_hours = 0 THEN 'EXEMPT' WHEN last_loaded IS NULL THEN 'NOT_EVALUATED'
+WITH last AS (SELECT user_id AS k, max(ts) AS last_loaded FROM events GROUP BY 1), sla AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_mktsegment = 'BUILDING' THEN 0 ELSE c_custkey % 48 + 1 END AS sla_hours FROM customer)
+SELECT concat('t', k) AS table_name, cast(sla_hours as bigint) AS sla_hours, cast(last_loaded as varchar) AS last_loaded, CASE WHEN sla_hours = 0 THEN 'EXEMPT' WHEN sla_hours IS NULL OR last_loaded IS NULL THEN 'NOT_EVALUATED'
   WHEN epoch(date_trunc('second', timestamp '2024-01-31 00:00:00')) - epoch(date_trunc('second', last_loaded)) > sla_hours * 3600 THEN 'STALE' ELSE 'FRESH' END AS status FROM sla LEFT JOIN last USING (k)""")
 def agg18(t: Tables):
-    """Every customer's table; those without an event were never loaded."""
+    """Every customer's table; those without an event were never loaded, and some declare no SLA."""
     audit = t.events.select(F.concat(F.lit("t"), "user_id").alias("table_name"), F.col("ts").alias("recorded_at"))
-    sla = t.customer.select(F.concat(F.lit("t"), "c_custkey").alias("table_name"), F.expr("CASE WHEN c_mktsegment = 'BUILDING' THEN 0 ELSE c_custkey % 48 + 1 END AS sla_hours"))
+    sla = t.customer.select(F.concat(F.lit("t"), "c_custkey").alias("table_name"), F.expr("CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_mktsegment = 'BUILDING' THEN 0 ELSE c_custkey % 48 + 1 END AS sla_hours"))
     return reports.freshness(audit, sla, "2024-01-31 00:00:00").drop("age_seconds")
 
 
@@ -250,22 +257,26 @@ def agg24_volume(t: Tables):
 
 
 # Invoices: the gross of a third is the sum of the lines, of the others the order's total; some have two.
-S_GROSS = f"""sums AS (SELECT l_orderkey AS inv, sum({s_money('l_extendedprice')}) AS line_total, count(*) AS line_count FROM lineitem GROUP BY 1),
-heads AS (SELECT o_orderkey AS inv, CASE WHEN o_orderkey % 3 = 0 THEN coalesce(line_total, 1) ELSE {s_money('o_totalprice')} END AS gross FROM orders LEFT JOIN sums ON inv = o_orderkey
-  UNION ALL SELECT o_orderkey, 7.00 FROM orders WHERE o_orderstatus = 'P')"""
+# Some lines have no amount, some orders no gross, some a gross and none.
+AMOUNT = "CASE WHEN l_orderkey % 29 = 0 OR l_orderkey % 12 = 0 AND l_linenumber = 1 THEN NULL ELSE l_extendedprice END"
+S_GROSS = f"""sums AS (SELECT l_orderkey AS inv, sum({s_money(AMOUNT)}) AS line_total, count(*) AS line_count, count({AMOUNT}) AS amounts FROM lineitem GROUP BY 1),
+heads AS (SELECT o_orderkey AS inv, CASE WHEN o_orderkey % 31 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN coalesce(line_total, 1) ELSE {s_money('o_totalprice')} END AS gross FROM orders LEFT JOIN sums ON inv = o_orderkey
+  UNION ALL SELECT o_orderkey, 7.00 FROM orders WHERE o_orderstatus = 'P' UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey % 21 = 0)"""
 
 
 def invoice_heads(t: Tables):
-    lines = t.lineitem.select(F.col("l_orderkey").alias("inv"), F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
+    lines = t.lineitem.select(F.col("l_orderkey").alias("inv"), F.expr(AMOUNT).cast("decimal(18,2)").alias("amount"))
     sums = lines.groupBy("inv").agg(F.sum("amount").cast("decimal(18,2)").alias("total"))
-    heads = t.orders.withColumn("inv", F.col("o_orderkey")).join(sums, "inv", "left").select("inv", F.when(
+    heads = t.orders.withColumn("inv", F.col("o_orderkey")).join(sums, "inv", "left").select("inv", F.when(F.expr("inv % 31 = 0"), F.lit(None)).when(
         F.expr("inv % 3 = 0"), F.coalesce("total", F.lit(1).cast("decimal(18,2)"))).otherwise(F.col("o_totalprice").cast("decimal(18,2)")).alias("gross"))
-    return lines, heads.unionByName(t.orders.where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("inv"), F.lit("7.00").cast("decimal(18,2)").alias("gross")))
+    return lines, heads.unionByName(t.orders.where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("inv"), F.lit("7.00").cast("decimal(18,2)").alias("gross"))).unionByName(
+            t.orders.where("o_orderkey % 21 = 0").select(F.col("o_orderkey").alias("inv"), F.lit(None).cast("decimal(18,2)").alias("gross")))
 
 
 @query("agg25", f"""
-WITH {S_GROSS}, h AS (SELECT inv, count(DISTINCT gross) AS gross_values, min(gross) AS gross FROM heads GROUP BY 1),
-r AS (SELECT h.*, line_total, coalesce(line_count, 0) AS line_count, CASE WHEN line_count IS NULL THEN 'no lines' WHEN gross_values > 1 THEN 'several gross values' WHEN line_total <> gross THEN 'lines do not sum to gross' END AS reason FROM h LEFT JOIN sums USING (inv))
+WITH {S_GROSS}, h AS (SELECT inv, count(DISTINCT gross) + max(CASE WHEN gross IS NULL THEN 1 ELSE 0 END) AS gross_values, min(gross) AS gross FROM heads GROUP BY 1),
+r AS (SELECT h.*, line_total, coalesce(line_count, 0) AS line_count, CASE WHEN line_count IS NULL THEN 'no lines' WHEN gross_values > 1 THEN 'several gross values' WHEN gross IS NULL THEN 'no gross value'
+  WHEN amounts = 0 THEN 'no line amounts' WHEN amounts < line_count THEN 'a line without an amount' WHEN line_total <> gross THEN 'lines do not sum to gross' END AS reason FROM h LEFT JOIN sums USING (inv))
 SELECT inv, gross_values, cast(gross as double) AS gross, cast(line_total as double) AS line_total, line_count, reason, reason IS NULL AS released FROM r""")
 def agg25(t: Tables):
     lines, heads = invoice_heads(t)
@@ -372,31 +383,40 @@ def agg30_verdict(t: Tables):
 
 
 @query("agg31", """
-WITH s AS (SELECT c_nationkey AS table_name, c_mktsegment AS column_name, cast(min(c_custkey) % 4 as int) AS ordinal, concat('t', max(c_custkey) % 2) AS data_type FROM customer WHERE c_nationkey <> 4 AND c_acctbal > 5500 GROUP BY 1, 2),
-d AS (SELECT c_nationkey AS table_name, c_mktsegment AS column_name, cast(min(c_custkey) % 4 as int) AS ordinal, concat('t', max(c_custkey) % 2) AS data_type FROM customer WHERE c_nationkey <> 9 AND c_acctbal < 8500 GROUP BY 1, 2),
+WITH s AS (SELECT c_nationkey AS table_name, c_mktsegment AS column_name, cast(min(c_custkey) % 4 as int) AS ordinal, concat('t', max(c_custkey) % 2) AS data_type FROM customer WHERE c_nationkey <> 4 AND (c_nationkey + length(c_mktsegment)) % 7 <> 0 GROUP BY 1, 2),
+d AS (SELECT c_nationkey AS table_name, c_mktsegment AS column_name, cast((min(c_custkey) + CASE WHEN c_nationkey % 5 = 1 THEN 1 ELSE 0 END) % 4 as int) AS ordinal, concat('t', (max(c_custkey) + CASE WHEN c_nationkey % 6 = 0 THEN 1 ELSE 0 END) % 2) AS data_type
+  FROM customer WHERE c_nationkey <> 9 AND (c_nationkey + length(c_mktsegment)) % 5 <> 0 GROUP BY 1, 2),
 b AS (SELECT coalesce(s.table_name, d.table_name) AS table_name, coalesce(s.column_name, d.column_name) AS column_name, s.ordinal AS so, d.ordinal AS dord, s.data_type AS st, d.data_type AS dt FROM s FULL JOIN d ON s.table_name = d.table_name AND s.column_name = d.column_name),
 f AS (SELECT *, CASE WHEN table_name NOT IN (SELECT table_name FROM s) THEN 'MISSING_TABLE' WHEN table_name NOT IN (SELECT table_name FROM d) THEN 'EXTRA_TABLE' WHEN so IS NULL THEN 'MISSING_COLUMN' WHEN dord IS NULL THEN 'EXTRA_COLUMN' WHEN st <> dt THEN 'TYPE_CHANGED' WHEN so <> dord THEN 'ORDER_CHANGED' END AS finding FROM b)
 SELECT DISTINCT table_name, CASE WHEN finding LIKE '%TABLE' THEN '*' ELSE column_name END AS column_name, finding FROM f WHERE finding IS NOT NULL""")
 def agg31(t: Tables):
-    def inventory(condition):
+    """Tables and columns are absent, moved and retyped by nation and segment, so every finding occurs."""
+    def inventory(condition, moved="false", retyped="false"):
+        shift = [F.when(F.expr(e.replace("c_nationkey", "table_name")), 1).otherwise(0) for e in (moved, retyped)]
         return t.customer.where(condition).groupBy(F.col("c_nationkey").alias("table_name"), F.col("c_mktsegment").alias("column_name")).agg(
-            (F.min("c_custkey") % 4).cast("int").alias("ordinal"), F.concat(F.lit("t"), F.max("c_custkey") % 2).alias("data_type"))
-    return reconcile.schema_drift(inventory("c_nationkey <> 4 AND c_acctbal > 5500"), inventory("c_nationkey <> 9 AND c_acctbal < 8500"))
+            F.min("c_custkey").alias("lo"), F.max("c_custkey").alias("hi")).select(
+            "table_name", "column_name", ((F.col("lo") + shift[0]) % 4).cast("int").alias("ordinal"), F.concat(F.lit("t"), (F.col("hi") + shift[1]) % 2).alias("data_type"))
+    return reconcile.schema_drift(inventory("c_nationkey <> 4 AND (c_nationkey + length(c_mktsegment)) % 7 <> 0"),
+                                  inventory("c_nationkey <> 9 AND (c_nationkey + length(c_mktsegment)) % 5 <> 0", "c_nationkey % 5 = 1", "c_nationkey % 6 = 0"))
 
 
-# Two snapshots of (type, value): the users seen per event type in the first and last days.
-S_SNAPSHOTS = """prev AS (SELECT DISTINCT event_type AS type, cast(user_id as varchar) AS value FROM events WHERE day(ts) < 11),
-cur AS (SELECT DISTINCT event_type AS type, CASE WHEN event_type = 'signup' AND user_id = 3 THEN ' ' ELSE cast(user_id as varchar) END AS value FROM events WHERE day(ts) > 20 AND event_type NOT IN ('view')),
-blank AS (SELECT DISTINCT type FROM cur WHERE trim(value) = '')"""
+# Two snapshots of (type, value): the users seen per event type in either half of the month. 'view' has values
+# only before, 'signup' has blank ones now and 'error' had some before; a tenth of the users comes, a tenth goes.
+S_SNAPSHOTS = """prev AS (SELECT DISTINCT event_type AS type, CASE WHEN event_type = 'error' AND user_id % 7 = 3 THEN ' ' ELSE cast(user_id as varchar) END AS value FROM events WHERE (day(ts) < 16 OR event_type = 'view') AND user_id % 10 <> 1),
+cur AS (SELECT DISTINCT event_type AS type, CASE WHEN event_type = 'signup' AND user_id % 7 = 3 THEN ' ' ELSE cast(user_id as varchar) END AS value FROM events WHERE day(ts) >= 16 AND event_type <> 'view' AND user_id % 10 <> 2),
+blank AS (SELECT type, max(now) AS now FROM (SELECT type, value, 1 AS now FROM cur UNION ALL SELECT type, value, 0 FROM prev) WHERE trim(value) = '' GROUP BY 1)"""
 
 
 @query("agg32", f"""
 WITH {S_SNAPSHOTS}, ok AS (SELECT DISTINCT type FROM cur WHERE type <> 'purchase' AND type NOT IN (SELECT type FROM blank))
 SELECT type, value, 'OFFERED' AS reference_status, cast(NULL as varchar) AS reason, '2026-02-01 00:00:00' AS effective_from FROM cur c WHERE type IN (SELECT type FROM ok) AND NOT EXISTS (SELECT 1 FROM prev p WHERE p.type = c.type AND p.value = c.value) UNION ALL
 SELECT type, value, 'WITHDRAWN', NULL, '2026-02-01 00:00:00' FROM prev p WHERE type IN (SELECT type FROM ok) AND NOT EXISTS (SELECT 1 FROM cur c WHERE p.type = c.type AND p.value = c.value) UNION ALL
-SELECT 'view', NULL, 'REFUSED', 'no values', '2026-02-01 00:00:00' FROM (SELECT count(*) AS n FROM cur) WHERE n > 0 UNION ALL SELECT type, NULL, 'REFUSED', 'blank value', '2026-02-01 00:00:00' FROM blank""")
+SELECT 'view', NULL, 'REFUSED', 'no values', '2026-02-01 00:00:00' FROM (SELECT count(*) AS n FROM cur) WHERE n > 0 UNION ALL
+SELECT type, NULL, 'REFUSED', CASE WHEN now = 1 THEN 'blank value' ELSE 'blank value before' END, '2026-02-01 00:00:00' FROM blank""")
 def agg32(t: Tables):
     """'purchase' was not fetched and is left alone; 'view' came back empty and is refused."""
     e = t.events.select(F.col("event_type").alias("type"), F.col("user_id").cast("string").alias("value"), F.dayofmonth("ts").alias("day"))
-    cur = e.where("day > 20 AND type <> 'view'").withColumn("value", F.expr("CASE WHEN type = 'signup' AND value = '3' THEN ' ' ELSE value END"))
-    return snapshots.snapshot_effectivity(e.where("day < 11"), cur, ["click", "signup", "error", "view"], "2026-02-01 00:00:00")
+    blank = "CASE WHEN type = '{}' AND cast(value AS int) % 7 = 3 THEN ' ' ELSE value END"
+    cur = e.where("day >= 16 AND type <> 'view' AND cast(value AS int) % 10 <> 2").withColumn("value", F.expr(blank.format("signup")))
+    prev = e.where("(day < 16 OR type = 'view') AND cast(value AS int) % 10 <> 1").withColumn("value", F.expr(blank.format("error")))
+    return snapshots.snapshot_effectivity(prev, cur, ["click", "signup", "error", "view"], "2026-02-01 00:00:00")

@@ -54,8 +54,7 @@ S_AMBIGUOUS = f"""SELECT * FROM (SELECT DISTINCT {s_key(['l_orderkey', 'l_linenu
 
 
 @query("ddp5", f"""
-SELECT *, count(*) OVER (PARTITION BY hk, load_dts, rec_src) AS variants FROM ({S_AMBIGUOUS}) QUALIFY variants > 1
-ORDER BY hk, load_dts, rec_src, l_partkey, l_suppkey LIMIT 200""")
+SELECT *, count(*) OVER (PARTITION BY hk, load_dts, rec_src) AS variants FROM ({S_AMBIGUOUS}) QUALIFY variants > 1""")
 def ddp5(t: Tables):
     return dedup.ambiguous_groups(ambiguous_log(t), "hk")
 

@@ -1,5 +1,7 @@
 """Data quality, quarantine, validation, conformance and masks."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from lodestrata.functions import validity
@@ -37,6 +39,19 @@ def dq1(t: Tables):
         F.coalesce(rule, F.lit(False)).alias(n) for n, rule in key_rules(["code"])])
 
 
+S_TYPED = {n.replace("_code", "_code_bytes"): e for n, e in S_SAFE.items()}
+
+
+@query("dq1_typed", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {', '.join(f'{e} AS {n}' for n, e in S_TYPED.items())},
+  l_partkey IS NOT NULL AS key_present_l_partkey, TRUE AS key_no_delimiter_l_partkey, TRUE AS key_not_null_token_l_partkey FROM ({S_DIRTY})""")
+def dq1_typed(t: Tables):
+    """With a schema: a binary component is read as text, a number has only to be there."""
+    rows = dirty_lines(t).withColumn("code_bytes", F.encode("code", "UTF-8"))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *[
+        F.coalesce(rule, F.lit(False)).alias(n) for n, rule in key_rules(["code_bytes", "l_partkey"], schema=rows.schema)])
+
+
 DIRTY_BINDING = Binding(
     "lineitem", "SALES", parent_keys={"hub_order": ("code",), "hub_part": ("l_partkey",), "hub_supplier": ("l_suppkey",)},
     txn_keys=("l_linenumber",), payload=LINE_PAYLOAD, casts=LINE_MONEY, derived={"code": DIRTY}, applied="l_shipdate",
@@ -57,16 +72,32 @@ S_FIRST = f"CASE {' '.join(f'WHEN NOT {e} THEN {chr(39)}{n}{chr(39)}' for n, e i
 
 @query("dq2", f"""
 SELECT count(*) AS row_count, {', '.join(f"count(*) FILTER (NOT {e}) AS {n}" for n, e in S_SAFE.items())},
-       cast(0 as bigint) AS nhl_order_line_hk_present, 3 * 4 + 4 AS rules_applied FROM ({S_DIRTY})""")
+       (SELECT cast(count(*) as int) FROM (VALUES ('code'), ('l_partkey'), ('l_suppkey'), ('l_linenumber')) c(x), (VALUES ('present'), ('no_delimiter'), ('not_null_token')) r(y)) AS rules_applied FROM ({S_DIRTY})""")
 def dq2(t: Tables):
     """Failures per mandatory rule; the parents' components are guarded too."""
     rules = dirty_rules(t)
-    shown = [r for r in rules if r[0] in {*S_SAFE, "nhl_order_line_hk_present"}]
+    shown = [r for r in rules if r[0] in S_SAFE]
     return dirty_stage(t).agg(F.count(F.lit(1)).alias("row_count"), *[
         F.count_if(~F.coalesce(rule, F.lit(False))).alias(n) for n, rule in shown]).withColumn(
             "rules_applied", F.lit(len(rules)))
 
 
+SUB_KEY = "CASE user_id % 6 WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN concat('a||', event_type) WHEN 3 THEN ' ^^' ELSE event_type END"
+S_SUB = f"SELECT event_id, {SUB_KEY} AS sub_key FROM events"
+
+
+@query("dq2_sub_key", f"""
+SELECT event_id, CASE WHEN sub_key IS NULL OR trim(sub_key) = '' THEN 'key_present_sub_key' WHEN strpos(sub_key, '||') > 0 THEN 'key_no_delimiter_sub_key'
+  WHEN trim(sub_key) = '^^' THEN 'key_not_null_token_sub_key' END AS failure_rule FROM ({S_SUB})""")
+def dq2_sub_key(t: Tables):
+    """Sub-keys of a multi-active satellite in every state."""
+    entity = MODEL["msat_user_activity"]
+    binding = replace(entity.bindings[0], derived={**entity.bindings[0].derived, "sub_key": SUB_KEY}, mas_keys=("sub_key",))
+    rows = stage(t.events, MODEL, entity, binding, load_dts=LOAD, batch_id="b1")
+    valid, rejected = quality.split(rows, mandatory_rules(entity, binding, rows.schema))
+    return valid.select("event_id", F.lit(None).cast("string").alias("failure_rule")).unionByName(rejected.select("event_id", "failure_rule"))
+
+
 CONFIGURED = [("orders", "price_positive", "o_totalprice > 1000", True, "drop"),
               ("orders", "status_known", "o_orderstatus IN ('F', 'O')", True, "drop"),
               ("orders", "old_rule", "o_custkey < 0", False, "drop"),
@@ -131,16 +162,16 @@ def dq7(t: Tables):
 
 
 # Each nation is a dataset; its rules come from customers' segments.
-S_RULES = "SELECT DISTINCT c_nationkey AS dataset, c_mktsegment AS rule_name, c_mktsegment <> 'BUILDING' AS is_current FROM customer WHERE c_acctbal > 9900"
+S_RULES = "SELECT DISTINCT c_nationkey AS dataset, c_mktsegment AS rule_name, c_mktsegment <> 'BUILDING' AND c_nationkey % 3 <> 0 AS is_current FROM customer"
 S_TABLES = "SELECT n_nationkey AS table_name FROM nation"
 S_PER_TABLE = f"SELECT t.table_name, count(e.rule_name) AS rules_declared FROM ({S_TABLES}) t LEFT JOIN ({S_RULES}) e ON e.dataset = t.table_name AND e.is_current GROUP BY 1"
 
 
 def coverage_inputs(t: Tables):
     model = t.nation.groupBy("n_regionkey").agg(F.collect_list("n_nationkey").alias("generated_tables"))
-    rules = t.customer.where("c_acctbal > 9900").select(
+    rules = t.customer.select(
         F.col("c_nationkey").alias("dataset"), F.col("c_mktsegment").alias("rule_name"),
-        (F.col("c_mktsegment") != "BUILDING").alias("is_current")).distinct()
+        F.expr("c_mktsegment <> 'BUILDING' AND c_nationkey % 3 <> 0").alias("is_current")).distinct()
     return model, rules
 
 
@@ -278,13 +309,15 @@ def dq17(t: Tables):
 
 # Required columns are read from one table of names, the columns that exist from another.
 S_REQUIRED = "SELECT c_nationkey AS table_name, c_mktsegment AS column_name FROM customer GROUP BY ALL"
-S_PRESENT = "SELECT c_nationkey AS table_name, lower(c_mktsegment) AS column_name FROM customer WHERE c_acctbal > 9000 AND c_nationkey <> 3 GROUP BY ALL"
+# One nation's table is absent, and a quarter of the columns, by nation and segment.
+LEFT_OUT = "(c_nationkey = 3 OR (c_nationkey + length(c_mktsegment)) % 4 = 0)"
+S_PRESENT = f"SELECT c_nationkey AS table_name, lower(c_mktsegment) AS column_name FROM customer WHERE NOT {LEFT_OUT} GROUP BY ALL"
 
 
 def inventories(t: Tables):
-    c = t.customer.select(F.col("c_nationkey").alias("table_name"), F.col("c_mktsegment").alias("column_name"), "c_acctbal")
-    return (c.select("table_name", "column_name").distinct(),
-            c.where("c_acctbal > 9000 AND table_name <> 3").select("table_name", F.lower("column_name").alias("column_name")).distinct())
+    def pairs(rows):
+        return rows.select(F.col("c_nationkey").alias("table_name"), F.col("c_mktsegment").alias("column_name")).distinct()
+    return pairs(t.customer), pairs(t.customer.where(f"NOT {LEFT_OUT}").withColumn("c_mktsegment", F.lower("c_mktsegment")))
 
 
 @query("dq18", f"""
@@ -294,20 +327,22 @@ def dq18(t: Tables):
     return quality.missing_columns(*inventories(t))
 
 
-S_LOSSY = "SELECT c_nationkey AS table_name, c_mktsegment AS column_name, count(*) FILTER (c_acctbal < -980) AS lost FROM customer WHERE c_acctbal < -900 GROUP BY ALL"
+# Every fifth table loses values; of every eighth one cast was not probed.
+UNPROBED = "(c_nationkey % 8 = 1 AND c_mktsegment = 'BUILDING')"
+S_LOSSY = f"SELECT c_nationkey AS table_name, c_mktsegment AS column_name, count(*) FILTER (c_nationkey % 5 = 0 AND c_acctbal < 5000) AS lost FROM customer WHERE NOT {UNPROBED} GROUP BY ALL"
 
 
 def lossy_found(t: Tables):
-    return t.customer.where("c_acctbal < -900").groupBy(
+    return t.customer.where(f"NOT {UNPROBED}").groupBy(
         F.col("c_nationkey").alias("table_name"), F.col("c_mktsegment").alias("column_name")).agg(
-            F.count_if(F.col("c_acctbal") < -980).alias("lost"))
+            F.count_if(F.expr("c_nationkey % 5 = 0 AND c_acctbal < 5000")).alias("lost"))
 
 
 @query("dq19", f"""
 WITH r AS ({S_REQUIRED}), p AS ({S_PRESENT}), l AS ({S_LOSSY}),
 f AS (SELECT r.table_name, 'MISSING_COLUMN: ' || r.column_name AS finding FROM r LEFT JOIN p ON p.table_name = r.table_name AND p.column_name = lower(r.column_name) WHERE p.table_name IS NULL
   UNION ALL SELECT table_name, 'LOSSY_CAST: ' || column_name || ' loses ' || lost FROM l WHERE lost > 0),
-a AS (SELECT d.table_name, d.table_name IN (SELECT table_name FROM p) AS there, d.table_name IN (SELECT table_name FROM l) AS probed,
+a AS (SELECT d.table_name, d.table_name IN (SELECT table_name FROM p) AS there, NOT EXISTS (FROM r ANTI JOIN l USING (table_name, column_name) WHERE r.table_name = d.table_name) AS probed,
   (SELECT count(*) FROM f WHERE f.table_name = d.table_name AND finding LIKE 'MISS%') AS m, (SELECT count(*) FROM f WHERE f.table_name = d.table_name AND finding LIKE 'LOSSY%') AS x,
   (SELECT string_agg(finding, ';' ORDER BY finding) FROM f WHERE f.table_name = d.table_name) AS findings FROM (SELECT DISTINCT table_name FROM r) d)
 SELECT table_name, CASE WHEN NOT there THEN 'ABSENT' WHEN m + x > 0 THEN 'NON_CONFORMANT' WHEN NOT probed THEN 'NOT_EVALUATED' ELSE 'CONFORMANT' END AS status,
@@ -384,8 +419,9 @@ def dq21_privileged(t: Tables):
 
 
 @query("dq22", """
-SELECT 'c_name' AS column_name, count(c_name) AS compared, cast(0 as bigint) AS survived FROM customer UNION ALL
-SELECT 'c_acctbal', count(c_acctbal), 0 FROM customer UNION ALL SELECT 'c_mktsegment', count(c_mktsegment), count(c_mktsegment) FROM customer""")
+WITH seen AS (SELECT c_name, c_acctbal, c_mktsegment, substr(c_name, 1, 1) || '***' AS m_name, cast(NULL as double) AS m_acctbal, c_mktsegment AS m_mktsegment FROM customer)
+SELECT 'c_name' AS column_name, count(c_name) AS compared, count(*) FILTER (c_name = m_name) AS survived FROM seen UNION ALL
+SELECT 'c_acctbal', count(c_acctbal), count(*) FILTER (c_acctbal = m_acctbal) FROM seen UNION ALL SELECT 'c_mktsegment', count(c_mktsegment), count(*) FILTER (c_mktsegment = m_mktsegment) FROM seen""")
 def dq22(t: Tables):
     """One declared column was left out of the masks downstream, and its values survive."""
     published = mask(t.customer, {k: MASKS[k] for k in ("c_name", "c_acctbal")})
@@ -393,7 +429,8 @@ def dq22(t: Tables):
 
 
 @query("dq23", """
-SELECT count(*) AS rows, 'c_acctbal' AS column_name, cast(0 as bigint) AS readable, 'ALL_NULL' AS status FROM customer UNION ALL
-SELECT count(*), 'c_custkey', count(c_custkey), 'READABLE' FROM customer""")
+WITH seen AS (SELECT c_custkey, cast(NULL as double) AS c_acctbal FROM customer), n AS (
+  SELECT count(*) AS rows, 'c_acctbal' AS column_name, count(c_acctbal) AS readable FROM seen UNION ALL SELECT count(*), 'c_custkey', count(c_custkey) FROM seen)
+SELECT *, CASE WHEN rows = 0 THEN 'NOT_EVALUATED' WHEN readable = 0 THEN 'ALL_NULL' ELSE 'READABLE' END AS status FROM n""")
 def dq23(t: Tables):
     return quality.null_amounts(mask(t.customer, MASKS), ["c_acctbal", "c_custkey"])

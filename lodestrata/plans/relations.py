@@ -59,10 +59,10 @@ S_LEDGER = f"SELECT tenant, invoice, line_reference, cast(row_number() OVER (PAR
 INVOICE = ["tenant", "invoice"]
 
 
-def invoice_lines(t: Tables):
+def invoice_lines(t: Tables, *more: str):
     return t.lineitem.select(
         F.concat(F.lit("T"), F.col("l_orderkey") % 4).alias("tenant"), F.col("l_orderkey").alias("invoice"), F.expr(S_REF).alias("line_reference"),
-        F.make_date(F.year("l_shipdate"), F.lit(1), F.lit(31)).alias("day"), "l_linestatus", "l_shipdate")
+        F.make_date(F.year("l_shipdate"), F.lit(1), F.lit(31)).alias("day"), "l_linestatus", "l_shipdate", *more)
 
 
 def issued_ledger(t: Tables):

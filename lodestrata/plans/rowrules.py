@@ -28,10 +28,11 @@ def rule1(t: Tables):
 
 
 @query("rule2", f"""
-SELECT {S_ID}, concat_ws('|', concat(l_returnflag, ', ', l_linestatus), strftime(l_shipdate, '%Y-%m-%d'), l_linenumber) AS line_description,
-  concat_ws('|', l_orderkey, concat(l_returnflag, ', ', l_linestatus), strftime(l_shipdate, '%Y-%m-%d'), l_linenumber) AS description FROM lineitem""")
+SELECT {S_ID}, text AS line_description, l_orderkey || '|' || text AS description FROM (
+  SELECT *, l_returnflag || ', ' || l_linestatus || '|' || CASE WHEN l_orderkey % 9 > 0 THEN strftime(l_shipdate, '%Y-%m-%d') END || '|' || l_linenumber AS text FROM lineitem)""")
 def rule2(t: Tables):
-    rows = t.lineitem.withColumn("week_ending", F.date_format("l_shipdate", "yyyy-MM-dd"))
+    """A line without a week ending has no description."""
+    rows = t.lineitem.withColumn("week_ending", F.when(F.expr("l_orderkey % 9 > 0"), F.date_format("l_shipdate", "yyyy-MM-dd")))
     args = ("l_returnflag", "l_linestatus", "week_ending", "l_linenumber")
     return rows.select(*LINE, rules.line_description(*args).alias("line_description"), rules.line_description(*args, "l_orderkey").alias("description"))
 

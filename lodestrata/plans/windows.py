@@ -55,18 +55,19 @@ def win6(t: Tables):
 
 
 # Two thirds of the invoices carry one date; the others state several, and a ledger date conflicts.
+S_NAMED = "CASE WHEN invoice % 17 = 5 AND l_partkey % 3 = 0 THEN NULL ELSE line_reference END"
 S_DAY = "CASE WHEN invoice % 3 = 0 THEN day WHEN invoice % 3 = 1 THEN date '2002-01-31' END"
-S_OFFERED = f"SELECT tenant, invoice, line_reference, {S_DAY} AS day, l_linestatus FROM ({S_LINES})"
+S_OFFERED = f"SELECT tenant, invoice, {S_NAMED} AS line_reference, {S_DAY} AS day, l_linestatus FROM ({S_LINES.replace('l_shipdate FROM', 'l_shipdate, l_partkey FROM')})"
 S_HELD = f"SELECT *, CASE WHEN invoice % 10 = 3 AND line_number = 2 THEN date '2003-01-31' ELSE invoice_date END AS d FROM ({S_LEDGER})"
 S_VERDICTS = f"""offered AS ({S_OFFERED}), held AS ({S_HELD}),
-o AS (SELECT tenant, invoice, min(day) AS lo, max(day) AS hi, count(*) > count(DISTINCT line_reference) AS doubled FROM offered GROUP BY 1, 2),
+o AS (SELECT tenant, invoice, min(day) AS lo, max(day) AS hi, count(*) > count(DISTINCT line_reference) AS doubled, count(*) > count(line_reference) AS unnamed FROM offered GROUP BY 1, 2),
 h AS (SELECT tenant, invoice, min(d) AS first, max(d) AS final, max(line_number) AS last_number FROM held GROUP BY 1, 2),
-verdicts AS (SELECT tenant, invoice, coalesce(first, lo) AS frozen_date, coalesce(last_number, 0) AS last_number, CASE WHEN doubled THEN 'duplicate line reference' WHEN first <> final THEN 'several issued dates'
+verdicts AS (SELECT tenant, invoice, coalesce(first, lo) AS frozen_date, coalesce(last_number, 0) AS last_number, CASE WHEN unnamed THEN 'blank line reference' WHEN doubled THEN 'duplicate line reference' WHEN first <> final THEN 'several issued dates'
   WHEN first IS NULL AND lo <> hi THEN 'several supplied dates' WHEN first IS NOT NULL AND (lo <> first OR hi <> first) THEN 'supplied date differs from the issued date' WHEN coalesce(first, lo) IS NULL THEN 'no invoice date' END AS refusal FROM o LEFT JOIN h USING (tenant, invoice))"""
 
 
 def offered_lines(t: Tables):
-    rows = invoice_lines(t)
+    rows = invoice_lines(t, "l_partkey").withColumn("line_reference", F.expr(S_NAMED)).drop("l_partkey")
     return rows.withColumn("day", F.expr("CASE WHEN invoice % 3 = 0 THEN day WHEN invoice % 3 = 1 THEN date'2002-01-31' END"))
 
 
@@ -93,10 +94,10 @@ def srt1(t: Tables):
     return t.orders.select("o_custkey", "o_orderkey").orderBy("o_custkey", "o_orderkey").limit(100)
 
 
-@query("srt2", "SELECT o_orderkey, o_orderstatus FROM orders ORDER BY CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END, o_orderkey LIMIT 200")
+@query("srt2", "SELECT o_orderkey, o_orderstatus FROM orders ORDER BY CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END, o_orderkey")
 def srt2(t: Tables):
     """Problems first."""
-    return reports.problems_first(t.orders.select("o_orderkey", "o_orderstatus"), F.col("o_orderstatus") == "F", "o_orderkey").limit(200)
+    return reports.problems_first(t.orders.select("o_orderkey", "o_orderstatus"), F.col("o_orderstatus") == "F", "o_orderkey")
 
 
 @query("set1", """
@@ -108,13 +109,14 @@ def set1(t: Tables):
         "customer": t.customer.select("c_mktsegment", F.col("c_nationkey").alias("nation"), F.col("c_name").alias("name"), "c_acctbal")}, "origin")
 
 
-# An inventory out of the tables: each nation a table, each market segment a column, typed by balance.
-S_INVENTORY = "SELECT concat('n', c_nationkey) AS table_name, CASE WHEN c_nationkey % 2 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END AS column_name, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_nationkey = 7 THEN 'int' ELSE 'string' END AS data_type FROM customer WHERE c_acctbal > 9000 GROUP BY ALL"
+# An inventory out of the tables: each nation a table, each market segment a column, some under another name.
+COLUMN = "CASE WHEN (c_nationkey + length(c_mktsegment)) % 4 = 0 THEN concat('OLD_', c_mktsegment) WHEN c_nationkey % 2 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END"
+S_INVENTORY = f"SELECT concat('n', c_nationkey) AS table_name, {COLUMN} AS column_name, CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_nationkey = 7 THEN 'int' ELSE 'string' END AS data_type FROM customer GROUP BY ALL"
 
 
 def segment_inventory(t: Tables):
-    return t.customer.where("c_acctbal > 9000").select(
-        F.concat(F.lit("n"), "c_nationkey").alias("table_name"), F.expr("CASE WHEN c_nationkey % 2 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END AS column_name"),
+    return t.customer.select(
+        F.concat(F.lit("n"), "c_nationkey").alias("table_name"), F.expr(f"{COLUMN} AS column_name"),
         F.expr("CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_nationkey = 7 THEN 'int' ELSE 'string' END AS data_type")).distinct()
 
 
@@ -127,12 +129,13 @@ def set2(t: Tables):
 @query("set3", f"""
 WITH i AS ({S_INVENTORY}) SELECT 'MISSING_REQUIRED' AS finding, table_name, r AS detail FROM (SELECT DISTINCT table_name FROM i WHERE table_name LIKE 'n1%') CROSS JOIN (VALUES ('Building'), ('FURNITURE')) v(r)
 WHERE concat(table_name, '/', lower(r)) NOT IN (SELECT concat(table_name, '/', lower(column_name)) FROM i)
-UNION ALL SELECT 'ALIAS_CLASH', NULL, 'buyer' FROM (SELECT count(*) AS n FROM i) WHERE n > 0
+UNION ALL SELECT 'ALIAS_CLASH', NULL, lower(a) FROM (VALUES ('buyer'), ('Buyer'), ('rate'), ('Machinery')) v(a) GROUP BY 3 HAVING count(*) > 1
+UNION ALL SELECT DISTINCT 'ALIAS_CLASH', table_name, lower(column_name) FROM i WHERE table_name LIKE 'n1%' AND lower(column_name) IN ('buyer', 'rate', 'machinery')
 UNION ALL SELECT 'NO_TABLES', NULL, 'z%' FROM (SELECT count(*) AS n FROM i) WHERE n > 0""")
 def set3(t: Tables):
     """One union over the tables of a pattern, and one whose pattern matches none."""
     inv = segment_inventory(t)
-    return unions.union_findings(inv, "n1%", ["Building", "FURNITURE"], ["buyer", "Buyer", "rate"]).unionByName(
+    return unions.union_findings(inv, "n1%", ["Building", "FURNITURE"], ["buyer", "Buyer", "rate", "Machinery"]).unionByName(
         unions.union_findings(inv, "z%", ["Building"], []))
 
 
