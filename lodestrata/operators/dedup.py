@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from lodestrata.operators.ordered import first_per_key, large_keys, same
+from lodestrata.operators.ordered import first_per_key, large_keys, same, total_order
 
 RUN_LOCAL = ("batch_id",)
 GRAIN = ("load_dts", "rec_src")
@@ -26,8 +26,10 @@ def latest_wins(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str],
 
 
 def first_write(df: DataFrame, hk: str, tie: Sequence[str | Column] = ()) -> DataFrame:
-    """First row per key by load time, then source."""
-    return first_per_key(df, [hk], "load_dts", "rec_src", *tie)
+    """First row per key by load time, then source, then ``tie``; the other columns decide what is left, so the
+    survivor does not change between runs."""
+    rest = [c for c in df.columns if c not in (hk, "load_dts", "rec_src")]
+    return first_per_key(df, [hk], "load_dts", "rec_src", *tie, *total_order(df, rest))
 
 
 def key_multiplicity(log: DataFrame, keys: Sequence[str]) -> DataFrame:

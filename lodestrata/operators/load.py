@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions.keys import zero_key
 from lodestrata.operators.dedup import first_write, refuse_ambiguous
-from lodestrata.operators.ordered import first_per_key, large_keys, ordered_scan, same, split_points
+from lodestrata.operators.ordered import first_per_key, large_keys, ordered_scan, same, split_points, total_order
 
 GHOST_DTS = "1900-01-01 00:00:00"
 # The order of a key's versions: by load, within a load by the source's clock.
@@ -34,10 +34,17 @@ def absent_from(rows: DataFrame, target: DataFrame, keys: Sequence[str],
     return rows.join(held, same(rows, held, keys, "_t_", nullable), "left_anti")
 
 
+def named_in(target: DataFrame, log: DataFrame, key: str) -> DataFrame:
+    """Stored rows whose key the log names. The keys of a small log are broadcast, by Catalyst's size check, and
+    the target then stays where it is; nothing of it but these rows is shuffled."""
+    names = log.select(F.col(key).alias("_named"))
+    return target.join(names, target[key] == names["_named"], "left_semi")
+
+
 def load_keyed(log: DataFrame, target: DataFrame | None, hk: str, tie: Sequence[str] = ()) -> DataFrame:
     """Rows to insert into a hub, link or transactional link. The first write wins for good."""
     firsts = first_write(log, hk, tie)
-    return firsts if target is None else absent_from(firsts, target, [hk], ())
+    return firsts if target is None else absent_from(firsts, named_in(target.select(hk), log, hk), [hk], ())
 
 
 def load_unambiguous(log: DataFrame, target: DataFrame | None, hk: str) -> DataFrame:
@@ -51,11 +58,12 @@ def latest_version(target: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def collapse_copies(log: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per version delivered, with the number of its copies."""
+    """One row per version delivered, the first in the order of all columns, with the number of its copies."""
     grain = [*keys, *VERSION]
     rest = [c for c in log.columns if c not in grain]
+    order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(total_order(log, rest))])
     return (log.groupBy(*grain)
-            .agg(F.min(F.struct(*rest)).alias("_rest"), F.count(F.lit(1)).alias("_copies"))
+            .agg(F.min_by(F.struct(*rest), order).alias("_rest"), F.count(F.lit(1)).alias("_copies"))
             .select(*grain, "_rest.*", "_copies").select(*log.columns, "_copies"))
 
 
@@ -66,13 +74,17 @@ def load_satellite(log: DataFrame, target: DataFrame | None, hk: str, mas_key: s
     A row is compared with its predecessor in the whole log, and the first of a key with
     the stored latest, so A, B, A stores three rows. ``sub_seq`` numbers the versions of a
     key within one load by source clock. ``drop_replayed`` leaves out log rows whose version
-    an earlier load already delivered. ``skew`` is passed to ``large_keys``.
+    an earlier load already delivered. Of copies of a version the first in the order of all
+    columns is stored. ``skew`` is passed to ``large_keys``, which chooses between two plans
+    for the same rows.
     """
     keys = [hk] + ([mas_key] if mas_key else [])
     if drop_replayed:
         log = first_per_key(log, [*keys, "applied_dts", "hashdiff"], "load_dts", "rec_src")
+    if target is not None:
+        target = named_in(target.select(*keys, "hashdiff", "load_dts", "sub_seq"), log, hk)
     in_log = large_keys(log, keys, **skew)
-    if in_log[0] is None and (target is None or large_keys(target, keys, **skew)[0] is None):
+    if in_log[0] is None:
         return _changed_in_one_pass(log, target, keys)
     points = split_points(log, keys, VERSION, known=in_log)
     within = split_points(log, [*keys, "load_dts"], VERSION[1:], **skew)
@@ -81,16 +93,18 @@ def load_satellite(log: DataFrame, target: DataFrame | None, hk: str, mas_key: s
 
 def _changed_in_one_pass(log: DataFrame, target: DataFrame | None, keys: list[str]) -> DataFrame:
     """Log and stored versions meet in one shuffle by key, where windows answer all three
-    questions: what came before, what is stored last, and whether the row is stored."""
+    questions: what came before, what is stored last, and whether the row is stored. Of the
+    target only the keys of the log take part."""
     both = log.withColumn("_stored", F.lit(False))
+    ties = total_order(log, [c for c in log.columns if c not in (*keys, *VERSION)])
     if target is not None:
         held = target.select(*keys, "hashdiff", "load_dts", "sub_seq").withColumn("_stored", F.lit(True))
         both = both.unionByName(held, allowMissingColumns=True)
         # Widest grouping first: the windows after it find their rows together already.
         newest = F.max(F.when(F.col("_stored"), F.struct("load_dts", "sub_seq", "hashdiff")))
         both = both.withColumn("_latest", newest.over(Window.partitionBy(*keys))["hashdiff"])
-    side = Window.partitionBy(*keys, "_stored").orderBy(*VERSION)
-    in_load = Window.partitionBy(*keys, "_stored", "load_dts").orderBy(*VERSION[1:])
+    side = Window.partitionBy(*keys, "_stored").orderBy(*VERSION, *ties)
+    in_load = Window.partitionBy(*keys, "_stored", "load_dts").orderBy(*VERSION[1:], *ties)
     rows = both.select("*", F.lag("hashdiff").over(side).alias("_prev"),
                        F.row_number().over(in_load).alias("_nr"))
     rows = rows.withColumn("sub_seq", F.when(F.col("_stored"), F.col("sub_seq")).otherwise(F.col("_nr") - 1).cast("int"))
@@ -187,6 +201,18 @@ def load_arithmetic(loads: DataFrame, discards: DataFrame) -> DataFrame:
     return out.withColumn("reason", reason).withColumn("balanced", reason.isNull())
 
 
+def refuse_imbalance(table: str, staged: int, accepted: int, discarded: int) -> None:
+    """Staged rows must be accepted or counted as discarded, each by a count of its own."""
+    if staged != accepted + discarded:
+        raise ValueError(f"{table}: {staged} rows staged, {accepted} accepted and {discarded} discarded")
+
+
+def refuse_duplicates(table: str, df: DataFrame, grain: Sequence[str]) -> None:
+    """No grain may be stored twice."""
+    if not duplicate_grain(df, grain).isEmpty():
+        raise ValueError(f"{table}: {', '.join(grain)} stored more than once")
+
+
 def duplicate_grain(df: DataFrame, grain: Sequence[str]) -> DataFrame:
     """Grains stored more than once."""
     return df.groupBy(*grain).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")

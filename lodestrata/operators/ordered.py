@@ -3,12 +3,13 @@
 A window keeps a whole key in one task. ``ordered_scan`` uses that plan while every key is
 small, and otherwise cuts the large keys into chunks at points of their own order: windows
 run per (key, chunk), and one summary row per chunk carries totals and edge values across
-the cuts. A key is large above ``SHARE`` of all rows, so there are at most ``1 / SHARE`` of
-them and about ``2 / SHARE`` chunks in all; that bound is what allows their broadcast.
+the cuts. A key is large above ``FLOOR`` rows, the most that one task is to sort, however many
+rows there are in all. The choice is one of plan only: both give the same rows.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -16,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SHARE = 0.0001
 FLOOR = 10_000_000
 PROBE = 0.01
 POINTS_PER_CHUNK = 40
@@ -33,21 +33,16 @@ def same(left: DataFrame, right: DataFrame, names: Sequence[str], prefix: str =
         for n in names])
 
 
-def large_keys(df: DataFrame, keys: Sequence[str], *, share: float = SHARE, floor: int = FLOOR,
-               probe: float = PROBE) -> tuple[DataFrame | None, float]:
-    """(keys above ``share`` of all rows and above ``floor`` rows or None, that many rows).
+def large_keys(df: DataFrame, keys: Sequence[str], *, floor: int = FLOOR, probe: float = PROBE) -> tuple[DataFrame | None, float]:
+    """(keys above ``floor`` rows or None, that many rows).
 
-    Counted on a sample, which decides on a plan and on no row. At most ``1 / share`` keys
-    can be above the limit, so they are collected and rebuilt as literals, prefixed ``_k_``.
+    Counted on a sample, which decides on a plan and on no row. There is one such key in
+    ``floor`` rows at most, so they are collected and rebuilt as literals, prefixed ``_k_``.
     """
     sampled = df.select(*keys).sample(probe, 7) if probe < 1 else df.select(*keys)
-    counts = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    seen = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total"), F.coalesce(F.max("_n"), F.lit(0)).alias("top")).first()
-    limit = max(floor * probe, share * seen["total"])
-    if seen["top"] <= limit:
-        return None, limit / probe
-    rows = counts.where(F.col("_n") > limit).select(*keys).collect()
-    return literal_rows(df, rows, keys), limit / probe
+    counts = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > floor * probe)
+    rows = counts.select(*keys).collect()
+    return (literal_rows(df, rows, keys) if rows else None), floor
 
 
 def literal_rows(df: DataFrame, rows: list[Row], keys: Sequence[str], *more: T.StructField) -> DataFrame:
@@ -55,15 +50,14 @@ def literal_rows(df: DataFrame, rows: list[Row], keys: Sequence[str], *more: T.S
     return df.sparkSession.createDataFrame([tuple(r) for r in rows], T.StructType([*fields, *more]))
 
 
-def split_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, share: float = SHARE,
-                 floor: int = FLOOR, probe: float = PROBE,
+def split_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, floor: int = FLOOR, probe: float = PROBE,
                  known: tuple[DataFrame | None, float] | None = None) -> DataFrame | None:
     """Cut points of the large keys in their own order, or None when no key is large.
 
     ``known`` is what ``large_keys`` found, where it was asked before. The points come from a sample of the large keys' rows, about ``POINTS_PER_CHUNK`` per
     chunk to be cut off, of which the last becomes a cut.
     """
-    large, chunk_rows = known or large_keys(df, keys, share=share, floor=floor, probe=probe)
+    large, chunk_rows = known or large_keys(df, keys, floor=floor, probe=probe)
     if large is None:
         return None
     rows = df.select(*keys, F.struct(*order).alias("_at"))
@@ -145,7 +139,7 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
         *[F.sum("_s_" + n).over(upto).alias("_ls_" + n) for n in sums],
         *[F.max("_m_" + n).over(upto).alias("_lm_" + n) for n in maxima],
         F.lag("_p").over(w).alias("_lp"), F.lead("_f").over(w).alias("_lf"))
-    joined = local.join(F.broadcast(carry), same(local, carry, [*keys, "_chunk"], "_c_"), "left")
+    joined = local.join(carry, same(local, carry, [*keys, "_chunk"], "_c_"), "left")
     return joined.select(
         *df.columns,
         *[F.when(F.col("_cs_" + n).isNull(), F.col("_ls_" + n)).otherwise(
@@ -155,6 +149,14 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
         *[F.coalesce("_lf", "_cf")[n].alias(n) for n in following])
 
 
+def total_order(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    """Sort keys that tell apart all rows that differ in the named columns, whatever their types."""
+    def key(name: str) -> Column:
+        kind = df.schema[name].dataType.simpleString()
+        return F.to_json(F.struct(F.col(f"`{name}`").alias("v"))) if re.search("map<|variant|interval", kind) else F.col(f"`{name}`")
+    return [key(n) for n in names]
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], *order: Column | str) -> DataFrame:
     """One row per key, the first in ``order``.
 

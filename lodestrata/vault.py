@@ -21,7 +21,7 @@ from lodestrata.model import KEYED_KINDS, VERSIONED_KINDS, Binding, Entity, Mode
 from lodestrata.operators.dedup import key_multiplicity, refuse_ambiguous
 from lodestrata.operators.history import type2
 from lodestrata.operators.load import (
-    empty_like, load_keyed, load_satellite, with_ghost, without_earlier,
+    empty_like, load_keyed, load_satellite, named_in, refuse_duplicates, refuse_imbalance, with_ghost, without_earlier,
 )
 from lodestrata.operators.quality import configured_rules, merge_rules, quarantine, split
 from lodestrata.operators.staging import declared_columns, kept_operations, mandatory_rules, project, stage
@@ -35,6 +35,7 @@ AUDIT_RUN = "job_run_id string, phase string, target string, active_sources stri
 class Vault:
     def __init__(self, spark: SparkSession, root: str, model: Model, at_a_time: int = 4):
         self.spark, self.root, self.model, self.at_a_time = spark, root.rstrip("/"), model, at_a_time
+        self.viewed: set[str] = set()
 
     # Tables
 
@@ -53,6 +54,14 @@ class Vault:
         held = self.read("audit", table)
         return self.spark.createDataFrame([], schema) if held is None else held
 
+    def stored(self, table: str, run: str | None = None) -> DataFrame | None:
+        """A raw table; with ``run`` what that run has stored. Each run has a folder of its own, so that one which
+        stopped before its audit can still be counted."""
+        held = self.read("raw", table)
+        if held is None:
+            return None
+        return (held if run is None else held.where(F.col("_run").cast("string") == run)).drop("_run")
+
     def append(self, df: DataFrame, layer: str, table: str) -> None:
         df.write.mode("append").parquet(self.path(layer, table))
 
@@ -118,7 +127,7 @@ class Vault:
         sources = ",".join(sorted({b.rec_src for _, bs in tables.values() for b in bs}))
         self._phase(job_run_id, "opened", sources, recorded_at)
         with ThreadPoolExecutor(self.at_a_time) as pool:
-            loads = {t: pool.submit(self._load_one, t, entity, since) for t, (entity, _) in tables.items()}
+            loads = {t: pool.submit(self._load_one, t, entity, since, job_run_id) for t, (entity, _) in tables.items()}
             for table, future in loads.items():
                 try:
                     counted = future.result()
@@ -130,6 +139,7 @@ class Vault:
                     self._record(table, job_run_id, recorded_at, *counted)
         if not problems:
             self._phase(job_run_id, "completed", sources, recorded_at)
+        self.views(sorted(self.viewed & set(tables)), by_table=True)
         return problems
 
     def _phase(self, run: str, phase: str, sources: str, at: str) -> None:
@@ -140,30 +150,36 @@ class Vault:
         """Audit rows but for their time, as one file."""
         return self.spark.createDataFrame(rows, schema.rpartition(",")[0]).coalesce(1)
 
-    def _load_one(self, table: str, entity: Entity, since: str | None) -> tuple[int, int, list[tuple[str, int]]] | None:
-        """(staged, accepted, discards) of one table, or None without a log."""
+    def _load_one(self, table: str, entity: Entity, since: str | None, run: str) -> tuple[int, int, list[tuple[str, int]]] | None:
+        """(staged, accepted, discards) of one table, or None without a log. What does not add up, or is stored
+        twice, is a problem of the table."""
         log = self.log(table, since)
         if log is None:
             return None
-        target = self.read("raw", table)
-        if target is None:
-            self.append(with_ghost(empty_like(log), self._ghost_key(entity)), "raw", table)
-            target = self.read("raw", table)
-        before = target.count()
-        if entity.kind in VERSIONED_KINDS:
+        if self.stored(table) is None:
+            self.append(with_ghost(empty_like(log), self._ghost_key(entity)), "raw", f"{table}/_run=ghost")
+        target, key = self.stored(table), self._ghost_key(entity)
+        versioned = entity.kind in VERSIONED_KINDS
+        if versioned:
             staged = log.count()
-            new = load_satellite(log, target, self._ghost_key(entity), "mas_key" if entity.kind == "msat" else None)
+            new = load_satellite(log, target, key, "mas_key" if entity.kind == "msat" else None)
         else:
             counted = key_multiplicity(log, [entity.hk]).first()
             staged, distinct = counted["total_rows"], counted["distinct_keys"]
             if entity.kind != "hub":
                 refuse_ambiguous(log, entity.hk, counted=counted)
             new = load_keyed(log, target, entity.hk)
-        self.append(new, "raw", table)
-        accepted = self.read("raw", table).count() - before
-        if entity.kind in VERSIONED_KINDS:
+        self.append(new, "raw", f"{table}/_run={run}")
+        mine, held = self.stored(table, run), self.stored(table)
+        accepted = mine.count()
+        grain = [key, *(["mas_key"] if entity.kind == "msat" else []), *(["load_dts", "sub_seq"] if versioned else [])]
+        refuse_duplicates(table, named_in(held.select(*grain), log, key), grain)
+        if versioned:
             return staged, accepted, [("unchanged_hashdiff", staged - accepted)]
-        return staged, accepted, [("duplicate_in_batch", staged - distinct), ("already_present", distinct - accepted)]
+        others = self.read("raw", table).where(F.col("_run").cast("string") != run).select(entity.hk)
+        present = named_in(others, log, entity.hk).distinct().count()
+        refuse_imbalance(table, staged, accepted, staged - distinct + present)
+        return staged, accepted, [("duplicate_in_batch", staged - distinct), ("already_present", present)]
 
     @staticmethod
     def _ghost_key(entity: Entity) -> str:
@@ -183,13 +199,16 @@ class Vault:
 
     # Reading
 
-    def views(self, wanted: Sequence[str] | None = None) -> list[str]:
-        """A view per table under its stable name, and a type-2 view per satellite."""
+    def views(self, wanted: Sequence[str] | None = None, by_table: bool = False) -> list[str]:
+        """A view per table under its stable name, and a type-2 view per satellite. ``load`` renews them."""
         made = []
-        for table, (entity, _) in self.tables(wanted).items():
-            held = self.read("raw", table)
+        for table, (entity, _) in self.tables(None if by_table else wanted).items():
+            if by_table and table not in wanted:
+                continue
+            held = self.stored(table)
             if held is None:
                 continue
+            self.viewed.add(table)
             held.createOrReplaceTempView(table)
             made.append(table)
             if entity.kind in VERSIONED_KINDS:
