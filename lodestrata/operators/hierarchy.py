@@ -73,6 +73,14 @@ def rollup(edges: DataFrame, facts: DataFrame, child: str, when: str, points="pr
         "rollup_key", F.when(usable, F.coalesce("parent", F.col(child).cast("string"))))
 
 
+def rollup_sums(edges: DataFrame, facts: DataFrame, child: str, when: str, sums: Sequence[str], points="probe") -> DataFrame:
+    """``rollup`` summed by rollup_key and parent_status. Facts are summed per child and date before they meet the
+    edges, so what is asked and joined is one row for each of these."""
+    daily = facts.groupBy(child, when).agg(F.count(F.lit(1)).alias("fact_count"), *[F.sum(c).alias(c) for c in sums])
+    return rollup(edges, daily, child, when, points).groupBy("rollup_key", "parent_status").agg(
+        F.sum("fact_count").alias("fact_count"), *[F.sum(c).alias(c) for c in sums])
+
+
 def edge_overlap(a: DataFrame, b: DataFrame, cols: Sequence[str] = ("child", "parent")) -> DataFrame:
     """Edges two relations both state."""
     return a.select(*cols).intersect(b.select(*cols))

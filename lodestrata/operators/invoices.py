@@ -29,23 +29,50 @@ def invoice_release(lines: DataFrame, invoices: DataFrame, key: Sequence[str], a
 
 
 def join_findings(headers: DataFrame, lines: DataFrame, invoice: str, line_ref: str) -> DataFrame:
-    """What keeps header and line files from joining: one row per (finding, invoice, line)."""
-    def found(df, finding, n="1", ref="cast(null as string)"):
-        return df.select(F.lit(finding).alias("finding"), F.col("_inv").alias("invoice"),
-                         F.expr(ref).alias("line_reference"), F.expr(n).cast("long").alias("row_count"))
-
-    h = headers.select(strip(invoice).alias("_inv")).groupBy("_inv").agg(F.count(F.lit(1)).alias("n"))
-    ln = (lines.select(strip(invoice).alias("_inv"), strip(line_ref).alias("_ref"))
-          .groupBy("_inv", "_ref").agg(F.count(F.lit(1)).alias("n")))
-    per_invoice = ln.groupBy("_inv").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("_ref") != "", F.col("n"))).alias("named"))
-    known = h.where("_inv <> ''")
-    return (found(h.where("_inv = ''"), "HEADER_WITHOUT_ID", "n")
-            .unionByName(found(known.where("n > 1"), "DUPLICATE_HEADER", "n"))
-            .unionByName(found(ln.where("_inv = ''"), "LINE_WITHOUT_ID", "n", "_ref"))
-            .unionByName(found(per_invoice.where("_inv <> ''").join(known.select("_inv"), "_inv", "left_anti"), "ORPHAN_LINE", "n"))
-            .unionByName(found(ln.where("_ref = ''"), "BLANK_LINE_REFERENCE", "n"))
-            .unionByName(found(ln.where("_ref <> '' AND n > 1"), "DUPLICATE_LINE_REFERENCE", "n", "_ref"))
-            .unionByName(found(known.join(per_invoice.where("named > 0").select("_inv"), "_inv", "left_anti"), "HEADER_WITHOUT_LINES")))
+    """What keeps header and line files from joining: one row per (finding, invoice, line). Each side is counted
+    once and the two meet in one join."""
+    def listed(df, *found):
+        """found: (condition, finding, row count, line reference)"""
+        each = F.array(*[F.when(F.expr(c), F.struct(F.lit(name).alias("finding"), F.col("_inv").alias("invoice"), F.expr(ref).cast("string").alias("line_reference"),
+                                                    F.expr(n).cast("long").alias("row_count"))) for c, name, n, ref in found])
+        return df.select(F.inline(F.array_compact(each)))
+
+    heads = headers.select(strip(invoice).alias("_inv")).groupBy("_inv").agg(F.count(F.lit(1)).alias("_heads"))
+    refs = (lines.select(strip(invoice).alias("_inv"), strip(line_ref).alias("_ref"))
+            .groupBy("_inv", "_ref").agg(F.count(F.lit(1)).alias("_n")))
+    sums = refs.groupBy("_inv").agg(F.sum("_n").alias("_lines"), F.sum(F.when(F.col("_ref") != "", F.col("_n"))).alias("_named"))
+    both = heads.join(sums, "_inv", "full_outer")
+    return listed(
+        both, ("_inv = '' AND _heads > 0", "HEADER_WITHOUT_ID", "_heads", "null"), ("_inv <> '' AND _heads > 1", "DUPLICATE_HEADER", "_heads", "null"),
+        ("_inv <> '' AND _heads IS NULL", "ORPHAN_LINE", "_lines", "null"),
+        ("_inv <> '' AND _heads > 0 AND _named IS NULL", "HEADER_WITHOUT_LINES", "1", "null")).unionByName(listed(
+            refs, ("_inv = ''", "LINE_WITHOUT_ID", "_n", "_ref"), ("_ref = ''", "BLANK_LINE_REFERENCE", "_n", "null"),
+            ("_ref <> '' AND _n > 1", "DUPLICATE_LINE_REFERENCE", "_n", "_ref")))
+
+
+def gate_findings(headers: DataFrame, lines: DataFrame, ledger: DataFrame, invoice: str, line_ref: str, amount: str, gross: str,
+                  required: Sequence[str]) -> DataFrame:
+    """Everything that keeps invoices from being exported, as (finding, invoice, line_reference, row_count): files
+    that do not join, blank required fields of a line, lines the ledger has not issued, sums that are not the gross."""
+    line = [strip(invoice).alias("invoice"), strip(line_ref).alias("line_reference")]
+    blank = F.array_compact(F.array(*[F.when(strip(c) == "", F.lit(c)) for c in required]))
+    missing = (lines.select(*line, F.explode(blank).alias("_field")).groupBy("_field", "invoice", "line_reference").agg(F.count(F.lit(1)).alias("row_count"))
+               .select(F.concat(F.lit("MISSING_FIELD: "), "_field").alias("finding"), "invoice", "line_reference", "row_count"))
+    held = ledger.select(strip(invoice).alias("invoice"), strip(line_ref).alias("line_reference")).distinct()
+    open_ = (lines.select(*line).groupBy("invoice", "line_reference").agg(F.count(F.lit(1)).alias("row_count")).join(held, ["invoice", "line_reference"], "left_anti")
+             .select(F.lit("NOT_ISSUED").alias("finding"), "invoice", "line_reference", "row_count"))
+    named = [df.withColumn("_inv", strip(invoice)).drop(invoice) for df in (lines, headers)]
+    kept = invoice_release(*named, ["_inv"], amount, gross).where("NOT released").select(
+        F.concat(F.lit("NOT_RELEASED: "), "reason").alias("finding"), F.col("_inv").alias("invoice"), F.lit(None).cast("string").alias("line_reference"),
+        F.col("line_count").alias("row_count"))
+    return join_findings(headers, lines, invoice, line_ref).unionByName(missing).unionByName(open_).unionByName(kept)
+
+
+def refuse_unreleased(findings: DataFrame) -> None:
+    """Before an export: raises with some of the findings, if there are any."""
+    some = findings.orderBy("finding", "invoice", "line_reference").limit(5).collect()
+    if some:
+        raise ValueError(f"not to be exported: {[(r['finding'], r['invoice'], r['line_reference']) for r in some]}")
 
 
 def one_per_invoice(lines: DataFrame, key: Sequence[str], line_ref: str) -> tuple[DataFrame, DataFrame]:

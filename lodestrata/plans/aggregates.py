@@ -302,6 +302,25 @@ def agg26(t: Tables):
     return invoices.join_findings(headers, lines, "inv", "ref")
 
 
+S_EXPORT = f"""h AS (SELECT cast(o_orderkey as varchar) AS inv, {s_money('o_totalprice')} AS gross FROM orders),
+l AS (SELECT cast(l_orderkey as varchar) AS inv, cast(l_linenumber as varchar) AS ref, {s_money('l_extendedprice')} AS amount, CASE WHEN l_partkey % 50 = 0 THEN ' ' ELSE l_returnflag END AS flag FROM lineitem)"""
+
+
+@query("agg25_gate", f"""
+WITH {S_EXPORT}, n AS (SELECT inv, ref, count(*) AS n FROM l GROUP BY 1, 2), s AS (SELECT inv, sum(amount) AS total, count(*) AS n FROM l GROUP BY 1)
+SELECT 'DUPLICATE_LINE_REFERENCE' AS finding, inv AS invoice, ref AS line_reference, n AS row_count FROM n WHERE n > 1 UNION ALL
+SELECT 'HEADER_WITHOUT_LINES', inv, NULL, 1 FROM h ANTI JOIN s USING (inv) UNION ALL SELECT 'ORPHAN_LINE', inv, NULL, n FROM s ANTI JOIN h USING (inv) UNION ALL
+SELECT 'MISSING_FIELD: flag', inv, ref, count(*) FROM l WHERE trim(flag) = '' GROUP BY 2, 3 UNION ALL
+SELECT 'NOT_ISSUED', inv, ref, n FROM n WHERE ref = '7' UNION ALL
+SELECT 'NOT_RELEASED: ' || CASE WHEN s.n IS NULL THEN 'no lines' ELSE 'lines do not sum to gross' END, inv, NULL, coalesce(s.n, 0) FROM h LEFT JOIN s USING (inv) WHERE s.n IS NULL OR total <> gross""")
+def agg25_gate(t: Tables):
+    """One gate before an export: seventh lines are not issued, some flags are blank."""
+    headers = t.orders.select(F.col("o_orderkey").cast("string").alias("inv"), F.col("o_totalprice").cast("decimal(18,2)").alias("gross"))
+    lines = t.lineitem.select(F.col("l_orderkey").cast("string").alias("inv"), F.col("l_linenumber").cast("string").alias("ref"),
+                              F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"), F.expr("CASE WHEN l_partkey % 50 = 0 THEN ' ' ELSE l_returnflag END AS flag"))
+    return invoices.gate_findings(headers, lines, lines.where("ref <> '7'"), "inv", "ref", "amount", "gross", ["flag", "ref"])
+
+
 S_MD5 = "cast(cast(concat('0x', substr(md5(upper(hk)), 1, 15)) as bigint) as hugeint)"
 
 

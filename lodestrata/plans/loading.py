@@ -263,21 +263,21 @@ FIELDS = ["l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus"]
 IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
-def key_values(t: Tables, ids=IDS):
+def key_values(t: Tables, ids=IDS, fields=FIELDS):
     rows = t.lineitem.withColumns({
         "hk": hash_key(["l_orderkey", "l_partkey", F.lit("srm"), "l_suppkey", "l_linenumber", "l_shipdate"], "SALES"),
         "l_quantity": F.col("l_quantity").cast("decimal(18,2)"), "l_extendedprice": F.col("l_extendedprice").cast("decimal(18,2)"),
         "l_returnflag": F.nullif("l_returnflag", F.lit("N"))})
-    return history.unpivot_fields(rows, ids, FIELDS)
+    return history.unpivot_fields(rows, ids, fields)
 
 
 @query("vlt12", f"""
 SELECT {S_LINE} AS hk, cast({s_money('l_quantity')} as double) AS quantity, l_linestatus AS status, cast(NULL as int) AS flag_number,
-       2 AS promoted_fields FROM lineitem""")
+       CASE WHEN l_quantity IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN l_linestatus IS NOT NULL THEN 1 ELSE 0 END + CASE WHEN try_cast(nullif(l_returnflag, 'N') as int) IS NOT NULL THEN 1 ELSE 0 END AS promoted_fields FROM lineitem""")
 def vlt12(t: Tables):
     """Registered fields back as typed columns; a value that is not of the type is not promoted."""
-    return history.promote_fields(key_values(t, ["hk"]), {"l_quantity": ("quantity", "decimal(18,2)"), "l_linestatus": ("status", "string"),
-                                       "l_returnflag": ("flag_number", "int")}, "hk")
+    registry = {"l_quantity": ("quantity", "decimal(18,2)"), "l_linestatus": ("status", "string"), "l_returnflag": ("flag_number", "int")}
+    return history.promote_fields(key_values(t, ["hk"], list(registry)), registry, "hk")
 
 
 @query("vlt13", """

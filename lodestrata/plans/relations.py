@@ -199,8 +199,7 @@ SELECT CASE WHEN status = 'ok' THEN found WHEN status = 'none' THEN cast(child a
 FROM facts JOIN answers USING (child, day) GROUP BY 1, 2""")
 def jn14(t: Tables):
     """Line amounts by group on the day of the line; unsafe answers stay apart."""
-    return hierarchy.rollup(dated_edges(t), dated_facts(t), "child", "day").groupBy("rollup_key", "parent_status").agg(
-        F.count(F.lit(1)).alias("fact_count"), F.sum("amount").alias("amount"))
+    return hierarchy.rollup_sums(dated_edges(t), dated_facts(t), "child", "day", ["amount"])
 
 
 @query("jn15", """
