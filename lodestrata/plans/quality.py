@@ -267,17 +267,17 @@ REFERENCE_TYPES = {"MATCHVALUE_FINISHED": "F", "MATCHVALUE_ANY": "O", "MATCHVALU
 
 @query("dq15", f"""
 WITH refs AS ({S_REFS.format(s='varchar')}), known AS (SELECT DISTINCT type, trim(value) AS value FROM refs WHERE trim(value) <> ''),
-o AS (SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders), n AS (SELECT count(*) AS n FROM o),
-bad AS (SELECT count(*) FILTER (cast(o_custkey as varchar) NOT IN (SELECT value FROM known WHERE type = 'F')) AS f FROM o)
-SELECT 'CHECKBOOLEAN' AS rule, 'FAIL' AS status, 1 AS fields, n AS checks, n AS problems, cast(0 as bigint) AS references_used FROM n UNION ALL
-SELECT 'CHECKREFERENCES', 'NOT_EVALUATED', 1, 0, 0, 0 FROM n UNION ALL
-SELECT 'DATEFORMATCHECK', 'PASS', 1, n, 0, 0 FROM n UNION ALL
-SELECT 'ISNUMERIC', 'PASS', 2, 2 * n, 0, 0 FROM n UNION ALL
-SELECT 'MATCHVALUE_ANY', 'PASS', 1, n, 0, (SELECT count(*) FROM known WHERE type = 'O') FROM n UNION ALL
-SELECT 'MATCHVALUE_FINISHED', 'FAIL', 1, n, (SELECT f FROM bad), (SELECT count(*) FROM known WHERE type = 'F') FROM n UNION ALL
-SELECT 'MATCHVALUE_PENDING', 'NOT_EVALUATED', 1, 0, 0, 0 FROM n UNION ALL
-SELECT 'MISSINGVALUE', 'PASS', 2, 2 * n, 0, 0 FROM n UNION ALL
-SELECT 'NOSUCHRULE', 'FAIL', 1, n, n, 0 FROM n""")
+o AS (SELECT *, strftime(o_orderdate, '%Y-%m-%d') AS day, cast(o_custkey as varchar) AS customer FROM orders),
+matched AS (SELECT rule, count(*) AS asked, count(*) FILTER (k.type IS NULL) AS problems, (SELECT count(*) FROM known WHERE known.type = any_value(v.type)) AS used
+  FROM o CROSS JOIN (VALUES ('MATCHVALUE_FINISHED', 'F'), ('MATCHVALUE_ANY', 'O'), ('MATCHVALUE_PENDING', 'P'), ('CHECKREFERENCES', NULL)) v(rule, type) LEFT JOIN known k ON k.type = v.type AND k.value = o.customer GROUP BY 1),
+counted AS (
+  SELECT 'CHECKBOOLEAN' AS rule, 1 AS fields, count(*) AS checks, count(*) FILTER (upper(trim(o_orderstatus)) NOT IN ('', '0', '1', 'TRUE', 'FALSE', 'Y', 'N')) AS problems, cast(0 as bigint) AS references_used FROM o UNION ALL
+  SELECT 'DATEFORMATCHECK', 1, count(*), count(*) FILTER (NOT regexp_matches(day, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')), 0 FROM o UNION ALL
+  SELECT 'ISNUMERIC', 2, 2 * count(*), count(*) FILTER (try_cast(cast(o_totalprice as varchar) as double) IS NULL) + count(*) FILTER (try_cast(customer as double) IS NULL), 0 FROM o UNION ALL
+  SELECT 'MISSINGVALUE', 2, 2 * count(*), count(*) FILTER (coalesce(trim(o_orderstatus), '') = '') + count(*) FILTER (coalesce(trim(day), '') = ''), 0 FROM o UNION ALL
+  SELECT 'NOSUCHRULE', 1, count(*), count(*), 0 FROM o UNION ALL
+  SELECT rule, 1, CASE WHEN used > 0 THEN asked ELSE 0 END, CASE WHEN used > 0 THEN problems ELSE 0 END, used FROM matched)
+SELECT *, CASE WHEN checks = 0 THEN 'NOT_EVALUATED' WHEN problems > 0 THEN 'FAIL' ELSE 'PASS' END AS status FROM counted""")
 def dq15(t: Tables):
     orders = t.orders.withColumn("day", F.date_format("o_orderdate", "yyyy-MM-dd"))
     return quality.validate_fields(orders, FIELD_RULES, references(t), REFERENCE_TYPES)
