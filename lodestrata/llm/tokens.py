@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -17,8 +18,8 @@ from lodestrata.llm.store import saved, shared_path
 
 # Ids of a block; blocks packed, unpacked and read at a time.
 BLOCK, AT_ONCE = 1024, 256
-# Pieces of text whose ids a worker remembers, and the characters it encodes at a time.
-REMEMBERED, CHARS = 300_000, 1 << 18
+# Words whose ids a worker remembers, and the bytes of text it encodes at a time.
+REMEMBERED, CHARS = 400_000, 1 << 21
 END_ID = 0
 MAGIC = b"S8BLOCK1"
 
@@ -30,9 +31,14 @@ COUNTS = np.array([c for c, _ in LAYOUTS])
 
 def widths(ids: np.ndarray) -> np.ndarray:
     """Bits of each id; from 2^53 on it may be one too many, which only costs room."""
+    if len(ids) and ids.max() < len(_WIDTHS):
+        return _WIDTHS[ids]
     return np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
 
 
+_WIDTHS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """uint64 ids to (words, words of each block). All blocks are walked at once, each from its own start."""
     n, blocks = len(ids), -(-len(ids) // BLOCK)
@@ -40,6 +46,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     flat = np.zeros(blocks * BLOCK, np.uint64)  # blocks end in zeros, which fit anywhere; a reader knows how many ids there are
     flat[:n] = ids
     grid[:, :BLOCK] = flat.reshape(blocks, BLOCK)
+    flat_grid = grid.ravel()
     most = {1: widths(grid)}  # by length: the widest of so many ids from here on
     for k in (2, 4, 8, 16, 32, 64):
         half = most[k // 2]
@@ -73,8 +80,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if s == 0:
             words[at[mine] + 1] = grid[line[mine], start[mine]]
         elif bits and mine.any():
-            body = grid[line[mine][:, None], start[mine][:, None] + np.arange(count)]
-            words[at[mine]] |= np.bitwise_or.reduce(body << (np.uint64(bits) * np.arange(count, dtype=np.uint64)), axis=1)
+            first, word = (line * grid.shape[1] + start)[mine], np.zeros(int(mine.sum()), np.uint64)
+            for k in range(count):
+                word |= flat_grid[first + k] << np.uint64(bits * k)
+            words[at[mine]] |= word
     return words, np.bincount(line, weights=size, minlength=blocks).astype(np.int64)
 
 
@@ -102,102 +111,192 @@ def unpack(words: np.ndarray, block_words: np.ndarray, n: int) -> np.ndarray:
     return out[:n]
 
 
+# Bytes by what they are in a text, as bits: letters (and the apostrophe, which may belong to a word), white
+# space, marks, apostrophes, and lead bytes of characters that may be any of these; of two-byte characters those
+# from U+00C0 to U+024F are taken as letters.
+_B = np.arange(256)
+LETTER, BLANK, MARK, QUOTE, UNSURE = 1, 2, 4, 8, 16
+_LETTERS = ((_B | 32 >= 97) & (_B | 32 <= 122) & (_B < 128)) | (_B == 39) | ((_B >= 0x80) & (_B < 0xC0)) | ((_B >= 0xC3) & (_B <= 0xC9))
+_BLANKS = ((_B >= 9) & (_B <= 13)) | ((_B >= 28) & (_B <= 32))
+_MARKS = (_B < 128) & ~_LETTERS & ~_BLANKS & ~((_B >= 48) & (_B <= 57))
+KIND = (LETTER * _LETTERS + BLANK * _BLANKS + MARK * _MARKS + QUOTE * (_B == 39) + UNSURE * ((_B == 0xC2) | (_B > 0xC9))).astype(np.uint8)
+
+# The byte-level vocabulary's character for each byte, by its published rule: printable ones stand for
+# themselves, the others follow from U+0100 on in order.
+_SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
+AS_CHAR = {b: chr(b) if b in _SELF else chr(256 + sum(x not in _SELF for x in range(b))) for b in range(256)}
+
+
 class Encoder:
-    """Ids of texts by the tokenizers library, which sees every different piece of text once.
+    """Ids of texts by the tokenizers library, which sees a frequent word once and not each time.
 
-    A text may be cut before a single space that stands between a letter, digit, point or comma and a letter
-    or digit: the tokenizer starts a new piece there in any case, so the pieces' ids are the text's.
+    Texts are cut where the tokenizer starts a new piece in any case: before and after a run of letters, with
+    the one space before it. So the pieces' ids are the text's. Arrow tells the different pieces apart; those that
+    are not remembered are encoded, many at a time. A text with a place that might be no such cut (rare
+    characters, white space side by side before a letter, apostrophes beside other marks) is encoded by itself.
     """
 
     CUT = re.compile(r"(?<=[\w.,]) (?=\w)")
-    WHOLE = re.compile(r"\w(?:[^ ]*[\w.,])?")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.spaced = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
-        self.spaced[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith("Ġ")]] = True
-        self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+        self.line = vocabulary["Ċ"]
+        self.words = Tokenizer(self.tokenizer.model)  # for runs of letters, which need not be cut any further
+        self.words.pre_tokenizer = WhitespaceSplit()
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, pieces: set[str]) -> None:
-        """Remembers pieces. Those without a space are encoded as one text and told apart by their first ids."""
-        if len(self.known) + len(pieces) > REMEMBERED:
-            self.known.clear()
-        simple = [p for p in pieces if self.WHOLE.fullmatch(p)]
-        if simple:
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(simple)], add_special_tokens=False)[0].ids, "<u4")
-            first = np.flatnonzero(self.spaced[ids])
-            if len(first) == len(simple):
-                raw, at = ids.tobytes(), [*(4 * first).tolist(), 4 * len(ids)]
-                self.known.update((p, raw[a:b]) for p, a, b in zip(simple, at, at[1:]))
-        other = [p for p in pieces if p not in self.known]
-        self.known.update(zip(other, self.plain([" " + p for p in other])))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        parts = [self.CUT.split(t) for t in texts]
-        need = {p for part in parts for p in part[1:]}
-        new = need - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            new = need
-        if new:
-            self.learn(new)
-        heads = self.plain([part[0] for part in parts])
-        return [head + b"".join(map(self.known.__getitem__, part[1:])) for head, part in zip(heads, parts)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def whole(self, text: str) -> bytes:
+        """A text of any kind, in parts of bounded length where it can be cut."""
+        parts, part = [], ""
+        for piece in self.CUT.split(text):
+            if len(part) > CHARS // 16:
+                parts.append(part)
+                part = " " + piece
+            else:
+                part = f"{part} {piece}" if part or parts else piece
+        return b"".join(x for p in [*parts, part] for x in self.plain([p]))
+
+    def together(self, words: list[bytes], spaced: bool) -> list[bytes]:
+        """Ids of many runs of letters, each after a space or each without one, told apart by their first ids."""
+        gap = " " if spaced else f" {AS_CHAR[10]} "
+        each = [self.words.encode_batch_fast([(" " if spaced else gap) + b"\xff".join(words[at:at + 300]).decode("latin-1").translate(AS_CHAR).replace(
+            AS_CHAR[255], gap)], add_special_tokens=False)[0].ids for at in range(0, len(words), 300)]  # no byte of a text is 0xFF
+        ids = np.concatenate([np.array(x, "<u4") for x in each]) if each else np.zeros(0, "<u4")
+        first = np.flatnonzero(self.spaced[ids] if spaced else ids == self.line)
+        if len(first) != len(words):
+            return self.plain([w.decode() for w in words])
+        raw, at = ids.tobytes(), [*(4 * first).tolist(), 4 * len(ids)]
+        return [raw[a + 4 * (not spaced):b] for a, b in zip(at, at[1:])]
+
+    def pieces(self, pieces: list[bytes], kinds: np.ndarray) -> list[bytes]:
+        """The ids of each piece; kinds: 0 a word after a space, 1 a word, 2 anything else."""
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
+        found = list(map(self.known.get, pieces))
+        unseen = [i for i, x in enumerate(found) if x is None]
+        missing: tuple[list[int], list[int], list[int]] = ([], [], [])
+        for i, kind in zip(unseen, kinds[unseen].tolist()):
+            found[i] = self.older.get(pieces[i])
+            if found[i] is None:
+                missing[kind].append(i)
+        for kind, at in enumerate(missing):
+            own = [pieces[i] for i in at]
+            for i, x in zip(at, self.plain([w.decode() for w in own]) if kind == 2 else self.together(own, kind == 0)):
+                found[i] = x
+        self.known.update((pieces[i], found[i]) for i in unseen)
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each with ``END_ID`` behind, and the number of ids of each."""
+        texts = texts.cast(pa.large_binary())
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0]:bounds[-1]]
+        bounds = bounds - bounds[0]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[bounds] = True  # where a text starts
+        kind = KIND[data]
+        letter, blank = (kind & LETTER).view(bool), (kind & BLANK) > 0
+        joined = ~edge[1:-1]  # a byte and the next are of one text
+        attached = np.zeros(len(data), bool)  # the space before a word
+        attached[:-1] = (data[:-1] == 32) & letter[1:] & joined
+        turn = np.zeros(len(data), bool)
+        turn[1:] = (letter[1:] != letter[:-1]) & ~attached[:-1]
+        start = np.flatnonzero(turn | attached | edge[:-1])
+
+        odd = [np.flatnonzero(kind & UNSURE), np.flatnonzero((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))]
+        odd.append(np.flatnonzero(letter[2:] & blank[1:-1] & (data[1:-1] != 32) & blank[:-2] & joined[1:] & joined[:-1]))
+        quotes = np.flatnonzero(kind & QUOTE)
+        for step in (-1, 1):  # an apostrophe and a mark beside it are one piece
+            near = np.clip(quotes + step, 0, max(0, len(data) - 1))
+            odd.append(quotes[(kind[near] & MARK) > 0])
+        careful = np.unique(np.searchsorted(bounds, np.concatenate(odd), "right") - 1)
+
+        column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(np.r_[start, len(data)].astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+        told = pc.dictionary_encode(column)
+        codes, values = told.indices.to_numpy().astype(np.int64), told.dictionary
+        at = np.zeros(len(values), np.int64)
+        at[codes] = start  # one place of each different piece
+        ahead = np.minimum(at + 1, max(0, len(data) - 1))
+        kinds = np.where(letter[at], 1, np.where(attached[at] & letter[ahead], 0, 2)) if len(at) else at
+        if len(quotes):  # words with an apostrophe may be several pieces
+            kinds[codes[np.searchsorted(start, quotes, "right") - 1]] = 2
+        doc = np.searchsorted(bounds, start, "right") - 1
+        kept = np.flatnonzero(~np.isin(doc, careful)) if len(careful) else np.arange(len(start))
+        if len(careful):  # their pieces are not looked up
+            used = np.unique(codes[kept])
+            values, kinds = values.take(pa.array(used)), kinds[used]
+            codes = np.searchsorted(used, codes)
+        ids = self.pieces(values.to_pylist(), kinds)
+
+        # The table of all pieces: the words, the careful texts, the end.
+        table = [*ids, *(self.whole(texts[i].as_py().decode()) for i in careful.tolist()), np.array([END_ID], "<u4").tobytes()]
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
+        place = np.cumsum(sizes) - sizes
+        single = np.zeros(len(texts) + 1, np.int64)
+        single[careful + 1] = 1
+        single = np.cumsum(single)  # careful texts before each
+        code = np.full(len(kept) + len(careful) + len(texts), len(table) - 1)
+        code[np.arange(len(kept)) + doc[kept] + single[doc[kept]]] = codes[kept]
+        many = np.bincount(doc[kept], minlength=len(texts)) + np.diff(single)
+        code[(np.cumsum(many) - many + np.arange(len(texts)))[careful]] = len(ids) + np.arange(len(careful))
+        n = sizes[code]
+        pool = np.frombuffer(b"".join(table), "<u4")
+        out = pool[np.repeat(place[code] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        return out, np.bincount(np.repeat(np.arange(len(texts)), many + 1), weights=n, minlength=len(texts)).astype(np.int64)
 
 
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
-    """(ids, texts) of some documents at a time."""
-    docs, texts, size = [], [], 0
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Some rows at a time, of a bounded number of bytes unless one row alone has more; null texts are empty."""
     for batch in batches:
-        for doc, text in zip(batch.column(0), batch.column(1)):
-            docs.append(doc.as_py())
-            texts.append(text.as_py() or "")
-            size += len(texts[-1])
-            if size >= CHARS:
-                yield docs, texts
-                docs, texts, size = [], [], 0
-    if docs:
-        yield docs, texts
+        texts = pc.fill_null(batch.column(1), "")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy())
+        at = 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + CHARS, "right")))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, end - at), texts.slice(at, end - at)], names=["doc", "text"])
+            at = end
 
 
 class Writer:
     """One file: blocks, then the words of each block, the documents' ids and starts, and a trailer."""
 
     def __init__(self, out):
-        self.out, self.rest = out, b""
-        self.block_words, self.docs, self.null, self.starts, self.n = [], [], [], [], 0
-
-    def add(self, docs: list, ids: list[bytes]) -> None:
-        end = np.array([END_ID], "<u4").tobytes()
-        for doc, own in zip(docs, ids):
-            self.docs.append(0 if doc is None else doc)
-            self.null.append(doc is None)
-            self.starts.append(self.n)
-            self.n += len(own) // 4 + 1
-        self.rest += b"".join(x for own in ids for x in (own, end))
-        whole = len(self.rest) // (4 * BLOCK * AT_ONCE) * 4 * BLOCK * AT_ONCE
-        self.put(self.rest[:whole])
-        self.rest = self.rest[whole:]
-
-    def put(self, raw: bytes) -> None:
-        for at in range(0, len(raw), 4 * BLOCK * AT_ONCE):
-            words, sizes = pack(np.frombuffer(raw[at:at + 4 * BLOCK * AT_ONCE], "<u4").astype(np.uint64))
+        self.out, self.rest = out, np.zeros(0, "<u4")
+        self.block_words, self.docs, self.counts, self.n = [], [], [], 0
+
+    def add(self, docs: pa.Array, ids: np.ndarray, counts: np.ndarray) -> None:
+        self.docs.append(docs)
+        self.counts.append(counts)
+        self.n += len(ids)
+        ids = np.concatenate([self.rest, ids])
+        whole = len(ids) // (BLOCK * AT_ONCE) * BLOCK * AT_ONCE
+        self.put(ids[:whole])
+        self.rest = ids[whole:]
+
+    def put(self, ids: np.ndarray) -> None:
+        for at in range(0, len(ids), BLOCK * AT_ONCE):
+            words, sizes = pack(ids[at:at + BLOCK * AT_ONCE].astype(np.uint64))
             self.out.write(words.astype("<u8").tobytes())
             self.block_words.append(sizes)
 
     def close(self) -> None:
         self.put(self.rest)
-        sizes = np.concatenate(self.block_words) if self.block_words else np.zeros(0)
-        for part in (sizes, self.docs, self.starts, self.null, [len(sizes), len(self.docs), self.n]):
-            self.out.write(np.array(part, "<i8").tobytes())
+        sizes, docs, counts = np.concatenate(self.block_words), pa.concat_arrays(self.docs), np.concatenate(self.counts)
+        for part in (sizes, docs.fill_null(0), np.cumsum(counts) - counts, docs.is_null().cast(pa.int64()), [len(sizes), len(docs), self.n]):
+            self.out.write(np.asarray(part, "<i8").tobytes())
         self.out.write(MAGIC)
 
 
@@ -216,16 +315,16 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc: str = "doc_id", text:
         store, root = fs.FileSystem.from_uri(path)
         name = f"{root}/part-{part:06d}.s8b"
         attempt = f"{name}.{TaskContext.get().taskAttemptId()}.tmp"
-        for ids, texts in chunks(batches):
+        for rows in chunks(batches):
             if writer is None:
                 store.create_dir(root)
                 writer = Writer(store.open_output_stream(attempt))
-            writer.add(ids, encoder.encode(texts))
+            writer.add(rows.column(0), *encoder.encode(rows.column(1)))
         if writer is not None:
             writer.close()
             writer.out.close()
             store.move(attempt, name)
-            yield pa.RecordBatch.from_pydict({"part": [part], "file": [f"part-{part:06d}.s8b"], "docs": [len(writer.docs)], "ids": [writer.n]})
+            yield pa.RecordBatch.from_pydict({"part": [part], "file": [f"part-{part:06d}.s8b"], "docs": [sum(map(len, writer.docs))], "ids": [writer.n]})
     rows = docs.select(F.col(doc).cast("bigint").alias("doc"), F.col(text).cast("string").alias("text")).withColumn("_h", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc", "_h").sortWithinPartitions("doc", "_h").select("doc", "text")
     return saved(ordered.mapInArrow(run, "part bigint, file string, docs bigint, ids bigint"), "token-files")
