@@ -18,7 +18,7 @@ BITS, SEED = 64, 42
 # Buckets of more fingerprints than this are divided again.
 LARGE = 4096
 # Shingles hashed, rows of buckets and (fingerprint, block) comparisons at a time.
-CHUNK, FLUSH, STEP = 1 << 16, 1 << 15, 1 << 14
+CHUNK, FLUSH, STEP = 1 << 16, 1 << 13, 1 << 14
 PLANES = 8
 
 
@@ -81,11 +81,15 @@ def within(values: np.ndarray, bucket: np.ndarray, radius: int) -> Iterator[tupl
     bits = np.unpackbits(lanes.view(np.uint8).reshape(-1, 64, 8), axis=2, bitorder="little")  # block, lane, bit
     planes = np.ascontiguousarray(np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little")).view("<u8")[:, :, 0]  # bit, block
     ahead = blocks_of[owner] - place // 64  # a value meets its own block and those after it
-    query = np.repeat(np.arange(len(values)), ahead)
-    block = np.repeat(lane_at // 64, ahead) + np.arange(len(query)) - np.repeat(np.cumsum(ahead) - ahead, ahead)
     digits = max(1, radius.bit_length())
-    for at in range(0, len(query), STEP):
-        q, c = query[at:at + STEP], block[at:at + STEP]
+    upto = np.cumsum(ahead)
+    at = 0
+    while at < len(values):  # some values at a time, with all their blocks
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + STEP, "right")))
+        part = ahead[at:to]
+        q = np.repeat(np.arange(at, to), part)
+        c = np.repeat(lane_at[at:to] // 64, part) + np.arange(len(q)) - np.repeat(np.cumsum(part) - part, part)
+        at = to
         count = [np.zeros(len(q), np.uint64) for _ in range(digits)]
         beyond = ~used[c]
         for b in range(BITS):

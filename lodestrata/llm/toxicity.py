@@ -107,8 +107,11 @@ def fit(rows: list[tuple[np.ndarray, int]]) -> Model:
     positive = sum(y for _, y in rows)
     if not positive:
         return Model(np.zeros(0, np.uint32), np.zeros(0), -30.0)
-    counted, times = np.unique(np.concatenate([x for x, _ in rows]), return_counts=True)
-    buckets = counted[times >= LEAST]
+    every = np.concatenate([x for x, _ in rows])
+    every.sort()
+    edge = np.flatnonzero(np.r_[True, every[1:] != every[:-1], True])
+    buckets = every[edge[:-1][np.diff(edge) >= LEAST]]
+    del every, edge
     data = [(np.flatnonzero(np.isin(buckets, x, assume_unique=True)) if len(x) > len(buckets) else _places(buckets, x), y) for x, y in rows]
     z, n = np.zeros(len(buckets)), np.zeros(len(buckets))
     bias, bias_n = float(np.log((positive + 0.5) / (len(rows) - positive + 0.5))), 1.0
