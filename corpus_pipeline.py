@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from lodestrata.llm import decontamination, mixing, simhash, tokens, toxicity
 from lodestrata.llm.queries import TARGETS, domains, table, tokenizer_path
-from lodestrata.llm.store import saved, without
+from lodestrata.llm.store import free, saved, without
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic."""
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    return docs.withColumn("_score", toxicity.score(model, F.col("text").cast("string"))).where("_score < 0.5").drop("_score")
+    score = free(docs, "_score")
+    return docs.withColumn(score, toxicity.score(model, F.col("text").cast("string"))).where(F.col(score) < 0.5).drop(score)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

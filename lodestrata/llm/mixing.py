@@ -21,7 +21,7 @@ STEPS, CLOSE = 40, 1e-6
 
 def buckets(text: Column) -> Column:
     """The bucket of every word between white space."""
-    words = F.split(F.trim(F.coalesce(text, F.lit(""))), r"\s+")
+    words = F.split(F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r")), r"\s+")
     return F.transform(words, lambda w: F.pmod(F.hash(w), F.lit(BUCKETS)))
 
 
@@ -107,7 +107,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], doc:
 
     The targets' weights are shares of all tokens (words between white space), so the mixture is as large as
     the input. ``copies`` is the rate rounded up or down by the hash of the id, so that its expectation is the
-    rate: take the row so many times. Null and empty texts have one empty word and the prior's posteriors;
+    rate: take the row so many times. Null, empty and blank texts have one empty word;
     rows that repeat are mixed one by one; an empty table stays empty. Without any labelled row all domains are
     equally likely.
     """

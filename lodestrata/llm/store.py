@@ -38,16 +38,23 @@ def sieve(keys: DataFrame, key: str) -> tuple[DataFrame, int]:
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("_bitmap"))), bits
 
 
+def free(df: DataFrame, name: str) -> str:
+    """The name, or a longer one, that no column of the frame has."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def sifted(df: DataFrame, key: str, of: tuple[DataFrame, int], flag: str) -> DataFrame:
     """Adds ``flag``: false only if the key is surely none of the sieve's. No shuffle."""
     bitmaps, bits = of
+    bucket, spot, bitmap = (free(df, n) for n in ("_bucket", "_spot", "_bitmap"))
     at = _position(F.col(key), bits)
-    spot = F.bitmap_bit_position(at)
-    byte = F.expr("conv(hex(substring(_bitmap, cast(_spot div 8 as int) + 1, 1)), 16, 10)").cast("int")
-    return (df.withColumn("_bucket", F.bitmap_bucket_number(at)).withColumn("_spot", spot)
-            .join(F.broadcast(bitmaps), "_bucket", "left")
-            .withColumn(flag, F.coalesce(F.getbit(byte.cast("long"), (F.col("_spot") % 8).cast("int")) == 1, F.lit(False)))
-            .drop("_bucket", "_spot", "_bitmap"))
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), F.floor(F.col(spot) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    return (df.withColumns({bucket: F.bitmap_bucket_number(at), spot: F.bitmap_bit_position(at)})
+            .join(F.broadcast(bitmaps.toDF(bucket, bitmap)), bucket, "left")
+            .withColumn(flag, F.coalesce(F.getbit(byte, (F.col(spot) % 8).cast("int")) == 1, F.lit(False)))
+            .select(*[F.col(f"`{c}`") for c in df.columns], flag))
 
 
 def _position(key: Column, bits: int) -> Column:
@@ -57,7 +64,8 @@ def _position(key: Column, bits: int) -> Column:
 def without(docs: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """Rows whose ``column`` is not among the ids (one column, not null). Rows without an id stay. Rows that the
     sieve clears are not shuffled, so only those that may have to go meet the ids in a join."""
-    ids = saved(ids.toDF("_gone").where("_gone is not null").distinct(), "ids")
-    marked = sifted(docs, column, sieve(ids, "_gone"), "_maybe")
-    maybe = marked.where("_maybe")
-    return marked.where(~F.col("_maybe")).drop("_maybe").unionByName(maybe.join(ids, maybe[column] == ids["_gone"], "left_anti").drop("_maybe"))
+    gone, maybe = free(docs, "_gone"), free(docs, "_maybe")
+    ids = saved(ids.toDF(gone).where(F.col(gone).isNotNull()).distinct(), "ids")
+    marked = sifted(docs, column, sieve(ids, gone), maybe)
+    rest = marked.where(maybe)
+    return marked.where(~F.col(maybe)).drop(maybe).unionByName(rest.join(ids, rest[column] == ids[gone], "left_anti").drop(maybe))

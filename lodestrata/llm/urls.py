@@ -136,8 +136,8 @@ def judge_by_join(pages: DataFrame, rules: DataFrame, page: str = "page_id", url
     starts = F.filter(F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths] or [F.lit(None).cast("string")]), lambda s: s.isNotNull())
     probes = (rows.select("page", "url", F.explode(hosts).alias("_h"), starts.alias("_s"))
               .select("page", "url", "_h", F.explode("_s").alias("_p")))
-    hits = (probes.join(rules, ["_h", "_p"]).groupBy("page", "url")
+    hits = (probes.join(rules, ["_h", "_p"]).groupBy(F.col("page").alias("_page"), F.col("url").alias("_url"))
             .agg(F.max(F.struct((F.length("_h") + F.length("_p")).alias("n"), F.length("_h").alias("m"), F.concat("_h", "_p").alias("rule"), "_block")).alias("_best")))
-    on = rows["page"].eqNullSafe(hits["page"]) & rows["url"].eqNullSafe(hits["url"])
-    return rows.join(hits, on, "left").select(rows["page"], rows["url"], "host", "path", "copies", F.col("_best.rule").alias("rule"), F.when(
+    on = F.col("page").eqNullSafe(F.col("_page")) & F.col("url").eqNullSafe(F.col("_url"))
+    return rows.join(hits, on, "left").select("page", "url", "host", "path", "copies", F.col("_best.rule").alias("rule"), F.when(
         F.col("_best._block"), "block").when(~F.col("_best._block"), "allow").otherwise(default).alias("verdict"))
