@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 SHORT, LONG, STOP_LOW, STOP_HIGH, LINKS = 70, 200, 0.12, 0.25, 0.5
 
 # Elements that end a block, that are never main text, that hold text of their own kind, and
-# words in class, id or role that mark furniture.
+# words in class, id or role that mark furniture, readers' comments, or a page's frame.
 BLOCKS = frozenset("address article aside blockquote body button center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 "
                    "h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead "
                    "title tr ul".split())
@@ -24,10 +24,13 @@ FURNITURE = frozenset("aside audio button canvas datalist dialog fieldset footer
 RAW = frozenset("script style textarea title xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-HINTS = frozenset("ad ads advert advertisement advertising adverts alert banner breadcrumb breadcrumbs byline comment comments complementary consent "
-                  "contentinfo cookie cookies disclaimer disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice "
-                  "pager pagination paywall popup promo related replies reply respond rss search share sharing sidebar signup skip social sponsor "
-                  "sponsored subscribe subscription teaser toolbar widget".split())
+HINTS = re.compile(
+    "ads?|advert(?:s|isement|isements|ising|orial)?|ad(?:box|slot|unit|banner)|alert|banner|breadcrumbs?|complementary|consent|contentinfo|cookies?|disclaimer|"
+    "footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pager|pagination|paywall|popup|promo|promotion|related|rss|search|share|"
+    "sharing|sidebar|sidenav|signup|skip|social|sponsor|sponsored|subscribe|subscription|toolbar|widgets?")
+COMMENTS = re.compile("comments?|comment(?:list|form|section|area|thread)|disqus|reply|replies|respond")
+# Words that say that an element is built around furniture and is none itself.
+LAYOUT = frozenset("with has no without page layout container wrapper wrap body site".split())
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
     "a an and are as at be by for from he i in is it not of on or that the this to was with you "
@@ -58,16 +61,25 @@ class Block:
 
 @dataclass
 class Place:
-    """Open elements that matter: (name, furniture, scope, link)."""
+    """Open elements that matter: (name, furniture, scope, link). furniture: 0 no, 1 by a hint, 2 for certain."""
 
-    stack: list[tuple[str, bool, int, bool]] = field(default_factory=list)
+    stack: list[tuple[str, int, int, bool]] = field(default_factory=list)
 
-    def top(self) -> tuple[str, bool, int, bool]:
-        return self.stack[-1] if self.stack else ("", False, 0, False)
+    def top(self) -> tuple[str, int, int, bool]:
+        return self.stack[-1] if self.stack else ("", 0, 0, False)
 
 
-def hinted(attributes: str) -> bool:
-    return any(HINTS.intersection(PARTS.split("".join(m).lower())) for m in HINT.findall(attributes)) if attributes else False
+def hinted(attributes: str) -> int:
+    """What class, id or role say of an element: 0 nothing, 1 furniture, 2 readers' comments."""
+    level = 0
+    for found in HINT.findall(attributes) if attributes else ():
+        for name in "".join(found).lower().split():
+            words = [w for w in PARTS.split(name) if w]
+            if any(COMMENTS.fullmatch(w) for w in words):
+                return 2
+            if not LAYOUT.intersection(words) and any(HINTS.fullmatch(w) for w in words):
+                level = 1
+    return level
 
 
 def blocks(page: str) -> list[Block]:
@@ -83,7 +95,7 @@ def blocks(page: str) -> list[Block]:
             if text:
                 _, furniture, scope, _ = place.top()
                 link = sum(len(p) for p, linked in parts if linked)
-                found.append(Block(scope, furniture, heading, text, link))
+                found.append(Block(scope, furniture > 0, heading, text, link))
             parts.clear()
         heading = False
 
@@ -147,10 +159,12 @@ def blocks(page: str) -> list[Block]:
         if name in ("article", "main") or MAIN.search(attributes):
             articles += 1
             scope = articles
-        if name == "header" and not scope:
-            furniture = True
-        if name in FURNITURE or name not in ("html", "body", "main") and hinted(attributes):
-            furniture = True
+            furniture = furniture if furniture == 2 else 0  # an article in a frame that only names furniture
+        if name in FURNITURE or name == "header" and not scope:
+            furniture = 2
+        elif name not in ("html", "body", "main"):
+            level = hinted(attributes)
+            furniture = max(furniture, level if level == 2 or not scope or "header" not in attributes else 0)
         if name in BLOCKS and name != "p" and name not in HEADINGS or name in FURNITURE or name == "a" or furniture != place.top()[1]:
             # A paragraph is not kept open: it ends where the next block begins, closed or not.
             place.stack.append((name, furniture, scope, link or name == "a"))
