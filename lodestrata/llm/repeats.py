@@ -15,7 +15,7 @@ from lodestrata.llm.toxicity import BASE, INVERSE, MIX, powers, texts_of
 # Bytes of a repeated string, and of the q-grams that the first buckets are made of.
 LENGTH, Q = 200, 40
 # String starts of a long text, and bytes of text, that are taken at a time.
-PIECE, BUFFER = 1 << 20, 1 << 21
+PIECE, BUFFER = 1 << 19, 1 << 20
 
 _UP, _DOWN = powers(BASE, BUFFER + PIECE), powers(INVERSE, BUFFER + PIECE)
 _CODE = np.random.default_rng(200).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -33,6 +33,10 @@ class Hashes:
     def __init__(self, data: np.ndarray):
         self.total = np.r_[np.uint64(0), np.cumsum(_CODE[data] * _UP[:len(data)], dtype=np.uint64)]
 
+    def all(self, length: int) -> np.ndarray:
+        """Unmixed hashes of all stretches of one length, by their start."""
+        return (self.total[length:] - self.total[:-length]) * _DOWN[:len(self.total) - length]
+
     def __call__(self, start: np.ndarray, end: np.ndarray, salt: np.ndarray | int = 0) -> np.ndarray:
         return mixed((self.total[end] - self.total[start]) * _DOWN[start] + np.asarray(salt).astype(np.uint64))
 
@@ -63,19 +67,21 @@ def runs(held: list[tuple[int, int, np.ndarray]], length: int, q: int) -> tuple[
     data, sizes = np.concatenate(parts), np.array([len(p) for p in parts])
     owner = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
     hashes, w = Hashes(data), length - q + 1
-    grams = hashes(np.arange(len(data) - q + 1), np.arange(q, len(data) + 1))
+    grams = hashes.all(q)
     low = np.uint64((1 << 24) - 1)
-    order = grams & ~low | np.arange(len(grams), dtype=np.uint64)  # places are below 2^24
+    order = grams * np.uint64(MIX[0]) & ~low | np.arange(len(grams), dtype=np.uint64)  # places are below 2^24
     blocks = np.r_[order, np.full(-len(order) % w, ~np.uint64(0))].reshape(-1, w)
     ahead = np.minimum.accumulate(blocks, axis=1).ravel()
     back = np.ascontiguousarray(np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1]).ravel()
-    starts = np.flatnonzero(owner[:len(data) - length + 1] == owner[length - 1:])  # not across texts
-    anchor = (np.minimum(back[starts], ahead[starts + w - 1]) & low).astype(np.int64)
-    first = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (owner[starts[1:]] != owner[starts[:-1]])])
-    begin, end = starts[first], starts[np.r_[first[1:], len(starts)] - 1]
-    anchor, piece = anchor[first], owner[starts[first]]
+    n = len(data) - length + 1
+    least = np.minimum(back[:n], ahead[w - 1:w - 1 + n])
+    whole = owner[:n] == owner[length - 1:]  # strings do not cross texts
+    turn = least[1:] != least[:-1]
+    begin = np.flatnonzero(whole & np.r_[True, turn | ~whole[:-1]])
+    end = np.flatnonzero(whole & np.r_[turn | ~whole[1:], True])
+    anchor, piece = (least[begin] & low).astype(np.int64), owner[begin]
     place = begin - (np.cumsum(sizes) - sizes)[piece] + np.array([at for _, at, _ in held])[piece]
-    return piece, grams[anchor], hashes(begin, end + length, (anchor - begin) << 32 | end - begin), place, end - begin
+    return piece, mixed(grams[anchor]), hashes(begin, end + length, (anchor - begin) << 32 | end - begin), place, end - begin
 
 
 def scanned(docs: DataFrame, length: int, q: int, full: bool) -> DataFrame:
@@ -154,12 +160,12 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, q: int = Q) -> DataFra
     seen = saved(scanned(rows, length, q, full=False).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "buckets")
     found = saved(sifted(scanned(rows, length, q, full=True), "bucket", sieve(seen, "bucket"), "_some").where("_some").drop("_some"), "runs")
 
-    kinds = saved(found.groupBy("bucket", "run").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "start", "more")).alias("one")), "kinds")
+    kinds = saved(found.groupBy("bucket", "run").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("rid", "start", "more")]), "kinds")  # of one row
     many = saved(kinds.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select(F.col("bucket").alias("_b")), "many")
     twice = saved(kinds.where("n > 1").select(F.col("bucket").alias("_b"), F.col("run").alias("_r")), "twice")
     whole = found.join(twice, (found["bucket"] == twice["_b"]) & (found["run"] == twice["_r"])).select("rid", "start", "more")
 
-    wanted = kinds.join(many, kinds["bucket"] == many["_b"]).select("bucket", "one.*", (F.col("n") == 1).alias("open"))
+    wanted = kinds.join(many, kinds["bucket"] == many["_b"]).select("bucket", "rid", "start", "more", (F.col("n") == 1).alias("open"))
     wanted = saved(wanted.groupBy(F.col("rid").alias("_rid")).agg(F.collect_list(F.struct("bucket", "start", "more", "open")).alias("wanted")), "wanted")
     texts = sifted(rows.select("rid", "text"), "rid", sieve(wanted, "_rid"), "_some").where("_some")
     hashed = saved(strings(texts.join(wanted, texts["rid"] == wanted["_rid"]).select("rid", "text", "wanted"), length), "strings")
