@@ -35,10 +35,17 @@ def absent_from(rows: DataFrame, target: DataFrame, keys: Sequence[str],
 
 
 def named_in(target: DataFrame, log: DataFrame, key: str) -> DataFrame:
-    """Stored rows whose key the log names. The keys of a small log are broadcast, by Catalyst's size check, and
-    the target then stays where it is; nothing of it but these rows is shuffled."""
+    """Stored rows that a load of the log has to meet: those whose key the log names, where its keys are small enough
+    to be broadcast. The target then stays where it is, and nothing of it but these rows is shuffled. Beside a
+    larger log all rows take part, as a join that cuts them down first would shuffle the target as well."""
     names = log.select(F.col(key).alias("_named"))
-    return target.join(names, target[key] == names["_named"], "left_semi")
+    return target.join(F.broadcast(names), target[key] == names["_named"], "left_semi") if fits_broadcast(names) else target
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst's own estimate of the frame is within its limit for broadcasts. Runs no job."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
 
 
 def load_keyed(log: DataFrame, target: DataFrame | None, hk: str, tie: Sequence[str] = ()) -> DataFrame:

@@ -91,3 +91,25 @@ def test_loads_shuffle_each_side_once(spark, key, shuffles):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
     assert len(re.findall(r"Exchange hashpartitioning", text)) == shuffles
+
+
+def test_a_small_log_leaves_a_large_target_where_it_is(spark, tmp_path):
+    """Only the stored rows whose keys the log names are shuffled."""
+    from lodestrata.operators.load import load_keyed, load_satellite
+    from lodestrata.plans.registry import Tables
+    from lodestrata.plans.warehouse import log_of
+    t = Tables(spark, DATA)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)  # the scans' places in full
+    for name, load in (("nhl_order_line", lambda log, target: load_keyed(log, target, "nhl_order_line_hk")),
+                       ("sat_order", lambda log, target: load_satellite(log, target, "hub_order_hk"))):
+        target = load(log_of(t, name), None)
+        target.write.parquet(f"{tmp_path}/{name}")
+        target = spark.read.parquet(f"{tmp_path}/{name}")
+        target.limit(20).write.parquet(f"{tmp_path}/{name}_log")
+        new = load(spark.read.parquet(f"{tmp_path}/{name}_log"), target)
+        lines = plan(new).splitlines()
+        at = next(i for i, x in enumerate(lines) if re.search(rf"{name}\]", x))
+        above = next(x for x in reversed(lines[:at]) if re.search("Exchange|Join", x))
+        assert re.search("BroadcastHashJoin.*LeftSemi", above)
+        assert new.count() == 0
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
