@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lodestrata.llm.store import saved, shared_path
 
 # Ids of a block; blocks packed, unpacked and read at a time.
-BLOCK, AT_ONCE = 1024, 256
+BLOCK, AT_ONCE = 1024, 1024
 # Words whose ids a worker remembers, and the bytes of text it encodes at a time.
 REMEMBERED, CHARS = 400_000, 1 << 21
 END_ID = 0
@@ -42,8 +42,9 @@ _WIDTHS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """uint64 ids to (words, words of each block). All blocks are walked at once, each from its own start."""
     n, blocks = len(ids), -(-len(ids) // BLOCK)
-    grid = np.zeros((blocks, BLOCK + 128), np.uint64)
-    flat = np.zeros(blocks * BLOCK, np.uint64)  # blocks end in zeros, which fit anywhere; a reader knows how many ids there are
+    kind = np.uint32 if n and ids.max() >> np.uint64(32) == 0 else np.uint64
+    grid = np.zeros((blocks, BLOCK + 128), kind)  # blocks end in zeros, which fit anywhere; a reader knows how many ids there are
+    flat = np.zeros(blocks * BLOCK, kind)
     flat[:n] = ids
     grid[:, :BLOCK] = flat.reshape(blocks, BLOCK)
     flat_grid = grid.ravel()
@@ -62,15 +63,14 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     choice = len(LAYOUTS) - fits & len(LAYOUTS) - 1
     ends = np.full(blocks, BLOCK)
     ends[-1:] = n - (blocks - 1) * BLOCK
-    place, lines, steps = np.zeros(blocks, np.int64), np.arange(blocks), []
-    while len(lines):
-        picked = choice[lines, place[lines]]
-        steps.append(np.stack([lines, place[lines], picked.astype(np.int64)]))
-        place[lines] += COUNTS[picked]
-        lines = lines[place[lines] < ends[lines]]
-    line, start, selector = np.concatenate(steps, axis=1) if steps else np.zeros((3, 0), np.int64)
-    order = np.argsort(line.astype(np.uint16), kind="stable")
-    line, start, selector = line[order], start[order], selector[order]
+    place, row, steps = np.zeros(blocks, np.int64), np.arange(blocks) * grid.shape[1], []
+    flat_choice = choice.ravel()
+    while (live := place < ends).any():
+        picked = flat_choice[row + np.minimum(place, BLOCK)]
+        steps.append((live, place, picked))
+        place = place + COUNTS[picked] * live
+    live, start, selector = (np.stack([s[k] for s in steps], axis=1) if steps else np.zeros((0, 0), bool) for k in range(3))
+    line, start, selector = np.nonzero(live)[0], start[live], selector[live].astype(np.int64)
     size = 1 + (selector == 0)
     at = np.cumsum(size) - size
     words = np.zeros(int(size.sum()), np.uint64)
@@ -82,7 +82,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         elif bits and mine.any():
             first, word = (line * grid.shape[1] + start)[mine], np.zeros(int(mine.sum()), np.uint64)
             for k in range(count):
-                word |= flat_grid[first + k] << np.uint64(bits * k)
+                word |= flat_grid[first + k].astype(np.uint64) << np.uint64(bits * k)
             words[at[mine]] |= word
     return words, np.bincount(line, weights=size, minlength=blocks).astype(np.int64)
 
