@@ -88,3 +88,14 @@ def test_key_rules(spark):
     got = [tuple(r) for r in df.select(*[F.coalesce(r, F.lit(False)) for _, r in rules]).collect()]
     assert got == [(True, True, True), (False, True, True), (False, True, True), (True, False, True), (True, True, False)]
     assert [n for n, _ in key_rules(["k"], mandatory=False)] == ["key_no_delimiter_k", "key_not_null_token_k"]
+
+
+def test_checksums_against_their_public_definitions(spark):
+    """What the oracle's engine does not have: XXH64 with seed 42 and CRC32, on texts of every length class."""
+    import zlib
+
+    import xxhash
+    texts = ["", "a", "abcd", "a" * 7, "b" * 8, "c" * 31, "d" * 32, "é" * 40, "The quick brown fox jumps over the lazy dog"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.xxhash64("t").alias("x"), F.crc32(F.encode("t", "UTF-8")).alias("c"))
+    for r in df.collect():
+        assert r.x % 2**64 == xxhash.xxh64_intdigest(r.t.encode(), 42) and r.c == zlib.crc32(r.t.encode())
