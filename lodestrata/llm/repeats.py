@@ -15,7 +15,7 @@ from lodestrata.llm.toxicity import BASE, INVERSE, MIX, powers, texts_of
 # Bytes of a repeated string, and of the q-grams that the first buckets are made of.
 LENGTH, Q = 200, 40
 # String starts of a long text, and bytes of text, that are taken at a time.
-PIECE, BUFFER = 1 << 19, 1 << 20
+PIECE, BUFFER = 1 << 18, 1 << 19
 
 _UP, _DOWN = powers(BASE, BUFFER + PIECE), powers(INVERSE, BUFFER + PIECE)
 _CODE = np.random.default_rng(200).integers(0, 1 << 64, 256, dtype=np.uint64)
