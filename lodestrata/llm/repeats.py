@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.store import saved, sieve, sifted
+from lodestrata.llm.store import Steps, saved, sieve, sifted
 from lodestrata.llm.toxicity import BASE, INVERSE, MIX, powers, texts_of
 
 # Bytes of a repeated string, and of the q-grams that the first buckets are made of.
@@ -148,29 +148,31 @@ def keyed(docs: DataFrame, doc: str, text: str) -> DataFrame:
     return saved(rows.withColumn("rid", F.monotonically_increasing_id()), "keyed")
 
 
-def repeated_spans(rows: DataFrame, length: int = LENGTH, q: int = Q) -> DataFrame:
+def repeated_spans(rows: DataFrame, steps: Steps, length: int = LENGTH, q: int = Q) -> DataFrame:
     """(rid, start, more): starts from ``start`` to ``start + more`` of strings of ``length`` bytes that also
     start elsewhere. Together they are all such starts.
 
     First buckets: strings by their anchor. Those with one run in all are done. A bucket is refined by its
     runs' hashes: equal runs repeat as a whole. A run without its equal in a bucket with others is refined to
     its strings; there one run of each kind is enough as a partner, so copies cost nothing here. A sieve keeps
-    all other runs, strings and texts from being shuffled; joins then tell exactly.
+    all other runs, strings and texts from being shuffled; joins then tell exactly. ``steps`` holds the tables
+    in between, which can be removed once the result is written.
     """
-    seen = saved(scanned(rows, length, q, full=False).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "buckets")
-    found = saved(sifted(scanned(rows, length, q, full=True), "bucket", sieve(seen, "bucket"), "_some").where("_some").drop("_some"), "runs")
+    seen = steps.saved(scanned(rows, length, q, full=False).groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"), "buckets")
+    found = steps.saved(sifted(scanned(rows, length, q, full=True), "bucket", sieve(seen, "bucket"), "_some").where("_some").drop("_some"), "runs")
 
-    kinds = saved(found.groupBy("bucket", "run").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("rid", "start", "more")]), "kinds")  # of one row
-    many = saved(kinds.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select(F.col("bucket").alias("_b")), "many")
-    twice = saved(kinds.where("n > 1").select(F.col("bucket").alias("_b"), F.col("run").alias("_r")), "twice")
-    whole = found.join(twice, (found["bucket"] == twice["_b"]) & (found["run"] == twice["_r"])).select("rid", "start", "more")
+    kinds = steps.saved(found.groupBy("bucket", "run").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("rid", "start", "more")]), "kinds")  # of one row
+    many = steps.saved(kinds.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select(F.col("bucket").alias("_b")), "many")
+    twice = steps.saved(kinds.where("n > 1").select(F.col("bucket").alias("_b"), F.col("run").alias("_r")), "twice")
+    some = sifted(found.withColumn("_k", F.xxhash64("bucket", "run")), "_k", sieve(twice.select(F.xxhash64("_b", "_r").alias("_k")), "_k"), "_some").where("_some")
+    whole = some.join(twice, (some["bucket"] == twice["_b"]) & (some["run"] == twice["_r"])).select("rid", "start", "more")
 
     wanted = kinds.join(many, kinds["bucket"] == many["_b"]).select("bucket", "rid", "start", "more", (F.col("n") == 1).alias("open"))
-    wanted = saved(wanted.groupBy(F.col("rid").alias("_rid")).agg(F.collect_list(F.struct("bucket", "start", "more", "open")).alias("wanted")), "wanted")
+    wanted = steps.saved(wanted.groupBy(F.col("rid").alias("_rid")).agg(F.collect_list(F.struct("bucket", "start", "more", "open")).alias("wanted")), "wanted")
     texts = sifted(rows.select("rid", "text"), "rid", sieve(wanted, "_rid"), "_some").where("_some")
-    hashed = saved(strings(texts.join(wanted, texts["rid"] == wanted["_rid"]).select("rid", "text", "wanted"), length), "strings")
+    hashed = steps.saved(strings(texts.join(wanted, texts["rid"] == wanted["_rid"]).select("rid", "text", "wanted"), length), "strings")
     each = hashed.select("bucket", "rid", "start", "open", F.posexplode("hashes").alias("at", "string"))
-    equal = saved(each.groupBy("bucket", "string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+    equal = steps.saved(each.groupBy("bucket", "string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
         F.col("bucket").alias("_b"), F.col("string").alias("_s"), F.xxhash64("bucket", "string").alias("_k")), "equal")
     open_ = sifted(each.where("open").withColumn("_k2", F.xxhash64("bucket", "string")), "_k2", sieve(equal, "_k"), "_some").where("_some")
     single = open_.join(equal, (open_["bucket"] == equal["_b"]) & (open_["string"] == equal["_s"]))
@@ -185,8 +187,10 @@ def without_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", le
     that repeat, in their id or as a whole, are texts of their own, so equal rows of ``length`` bytes go whole.
     """
     rows = keyed(docs, doc, text)
-    spans = repeated_spans(rows, length, q)
+    steps = Steps(docs.sparkSession)
+    spans = repeated_spans(rows, steps, length, q)
     listed = saved(spans.groupBy(F.col("rid").alias("_rid")).agg(F.collect_list(F.struct("start", "more")).alias("spans")), "spans")
+    steps.remove()
     marked = sifted(rows, "rid", sieve(listed, "_rid"), "_some")
     none = F.lit(0).cast("long")
     rest = marked.where(~F.col("_some")).select("doc", F.octet_length("text").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"),

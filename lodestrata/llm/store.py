@@ -26,6 +26,22 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Steps:
+    """Tables between the steps of one operator: they go together, once what was made of them is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def saved(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(shared_path(self.spark, name))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def remove(self) -> None:
+        for path in map(self.spark._jvm.org.apache.hadoop.fs.Path, self.paths):
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def sieve(keys: DataFrame, key: str) -> tuple[DataFrame, int]:
     """Bitmaps of the hashed keys, for ``sifted``: (bucket, bitmap), and the number of bits.
 
