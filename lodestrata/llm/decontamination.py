@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Token places that a seed compares; the places between them may differ. Together these find every stretch of
-# 10 to 13 tokens of which any two were replaced, and every one of 8 or 9 with any one replaced.
+# Token places that a seed compares; the places between them may differ. Each laid wherever it fits, they find every
+# stretch of 10 to 13 tokens of which any two were replaced, and every one of 8 or 9 with any one replaced.
 MASKS = ((0, 1, 3, 6, 7), (0, 1, 3, 4, 5), (0, 1, 2, 3, 4))
-SPAN = 1 + max(max(m) for m in MASKS)
+SPAN = 1 + min(max(m) for m in MASKS)  # of the narrowest
 # An overlap is a stretch of 13 tokens (the whole item, if it is shorter) of which two at most differ, or one
 # at most of fewer than ten: four fifths are equal. Shorter items than ``LEAST`` are not searched.
 WINDOW, LEAST = 13, 8
@@ -30,8 +30,8 @@ def spared(size: Column) -> Column:
 
 
 def seeds(hashes: Column, at: Column) -> list[Column]:
-    """The hashed seeds of all masks from one place on."""
-    return [F.xxhash64(F.lit(k), *[F.get(hashes, at + i) for i in mask]) for k, mask in enumerate(MASKS)]
+    """The hashed seeds of all masks from one place on; null where a mask reaches beyond the end."""
+    return [F.when(at + max(mask) < F.size(hashes), F.xxhash64(F.lit(k), *[F.get(hashes, at + i) for i in mask])) for k, mask in enumerate(MASKS)]
 
 
 def overlap(item: Column, doc: Column, shift: Column, at: Column) -> Column:
@@ -53,7 +53,7 @@ def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     """
     known = items.select("item", F.explode(F.sequence(F.lit(0), F.size("_item") - SPAN)).alias("_q"), "_item")
     known = known.select("item", "_q", F.explode(F.array(*seeds(F.col("_item"), F.col("_q")))).alias("_seed"))
-    placed = docs.where(F.size("_doc") >= SPAN).select("doc", "_doc", F.explode(F.sequence(F.lit(0), F.size("_doc") - SPAN)).alias("_p"))
+    placed = docs.where(F.size("_doc") >= LEAST).select("doc", "_doc", F.explode(F.sequence(F.lit(0), F.size("_doc") - SPAN)).alias("_p"))
     placed = placed.select("doc", "_doc", "_p", F.explode(F.array(*seeds(F.col("_doc"), F.col("_p")))).alias("_seed"))
     met = placed.join(F.broadcast(known), "_seed").join(F.broadcast(items), "item")
     return (met.select("doc", "item", F.least(F.size("_item"), F.lit(WINDOW)).alias("size"),

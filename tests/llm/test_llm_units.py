@@ -120,6 +120,23 @@ def test_seeds_lose_no_overlap():
     assert not any(lost(n, 2) for n in range(10, 14)) and not lost(8, 1) and not lost(9, 1)
 
 
+def test_short_overlaps_are_found_whatever_was_replaced(spark):
+    """Items of 8 to 13 tokens, and one of 20 by its last 13; alone, and with words around them."""
+    docs, items, want = [], [], {}
+    for size in (*range(8, 14), 20):
+        words, allowed = [f"s{size}w{i}" for i in range(size)], 1 if size < 10 else 2
+        items.append((size, " ".join(words)))
+        words = words[-13:]
+        for k in range(allowed + 2):
+            for gone in combinations(range(len(words)), k):
+                text = " ".join("other" if i in gone else w for i, w in enumerate(words))
+                for around in (text, f"some {text} more words"):
+                    want[len(docs)] = (True, [size], 1 - k / len(words)) if k <= allowed else (False, [], None)
+                    docs.append((len(docs), around))
+    got = decontamination.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r["doc"]: (r["contaminated"], r["items"], r["overlap"] and pytest.approx(r["overlap"])) for r in got.collect()} == want
+
+
 def test_a_benchmark_in_blocks(spark, monkeypatch):
     words = [f"w{i}" for i in range(60)]
     docs = spark.createDataFrame([(1, "x " + " ".join(words[:20]) + " y"), (2, " ".join(words[30:45]).replace("w33", "no").replace("w38", "no").upper()), (3, " ".join(words[30:45:2]))], "doc_id long, text string")
