@@ -133,7 +133,8 @@ class Encoder:
     Texts are cut where the tokenizer starts a new piece in any case: before and after a run of letters, with
     the one space before it. So the pieces' ids are the text's. Arrow tells the different pieces apart; those that
     are not remembered are encoded, many at a time. A text with a place that might be no such cut (rare
-    characters, white space side by side before a letter, apostrophes beside other marks) is encoded by itself.
+    characters, white space side by side before a letter, apostrophes beside other marks), or that holds an added
+    token's content, which the library takes for that token, is encoded by itself.
     """
 
     CUT = re.compile(r"(?<=[\w.,]) (?=\w)")
@@ -142,7 +143,7 @@ class Encoder:
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
@@ -156,15 +157,24 @@ class Encoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
     def whole(self, text: str) -> bytes:
-        """A text of any kind, in parts of bounded length where it can be cut."""
-        parts, part = [], ""
-        for piece in self.CUT.split(text):
-            if len(part) > CHARS // 16:
-                parts.append(part)
-                part = " " + piece
-            else:
-                part = f"{part} {piece}" if part or parts else piece
-        return b"".join(x for p in [*parts, part] for x in self.plain([p]))
+        """A text of any kind, in parts of bounded length where it can be cut: not in or beside an added token."""
+        parts, start = [], 0
+        for m in self.CUT.finditer(text):
+            at = m.start()
+            if at - start > CHARS // 16 and not any(text.find(x, max(0, at - len(x)), at + len(x)) >= 0 for x in self.added):
+                parts.append(text[start:at])
+                start = at
+        return b"".join(x for p in [*parts, text[start:]] for x in self.plain([p]))
+
+    def added_at(self, data: bytes) -> np.ndarray:
+        """Places where an added token's content starts."""
+        found = []
+        for x in map(str.encode, self.added):
+            at = data.find(x)
+            while at >= 0:
+                found.append(at)
+                at = data.find(x, at + 1)
+        return np.array(found, np.int64)
 
     def together(self, words: list[bytes], spaced: bool) -> list[bytes]:
         """Ids of many runs of letters, each after a space or each without one, told apart by their first ids."""
@@ -219,6 +229,7 @@ class Encoder:
         for step in (-1, 1):  # an apostrophe and a mark beside it are one piece
             near = np.clip(quotes + step, 0, max(0, len(data) - 1))
             odd.append(quotes[(kind[near] & MARK) > 0])
+        odd.append(self.added_at(data.tobytes()))
         careful = np.unique(np.searchsorted(bounds, np.concatenate(odd), "right") - 1)
 
         column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(np.r_[start, len(data)].astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])

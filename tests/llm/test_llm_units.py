@@ -56,6 +56,31 @@ def test_odd_texts_and_bounded_pieces(encoder, monkeypatch):
     assert (np.concatenate([i for i, _ in got]) == np.concatenate(want)).all()
 
 
+END = "<|endoftext|>"
+HELD = [f"a {END} b", f"a{END}b", END, END * 2, f" {END}", "<|endoftext", "|>", f"x {END} y " * 400, f"{'word ' * 200}{END}{' word' * 200}"]
+
+
+def test_added_tokens_are_told_as_the_library_tells_them(encoder, monkeypatch):
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(tokenizer_path())
+    monkeypatch.setattr(tokens, "CHARS", 1600)
+    ids, counts = encoder.encode(pa.array([*HELD, *ODD], pa.large_string()))
+    want = [[*plain.encode(t, add_special_tokens=False).ids, tokens.END_ID] for t in [*HELD, *ODD]]
+    assert ids.tolist() == sum(want, []) and counts.tolist() == [len(w) for w in want] and want[0] == [64, 220, 50256, 275, tokens.END_ID]
+
+
+def test_no_cut_in_or_beside_an_added_token(tmp_path, monkeypatch):
+    """Tokens that hold spaces, or take those beside them, as a file may declare them."""
+    from tokenizers import AddedToken, Tokenizer
+    plain = Tokenizer.from_file(tokenizer_path())
+    plain.add_tokens([AddedToken("two words", normalized=False), AddedToken("stop", rstrip=True, normalized=False), AddedToken("alone", single_word=True, normalized=False)])
+    plain.save(str(tmp_path / "t.json"))
+    monkeypatch.setattr(tokens, "CHARS", 160)
+    texts = [f"{'a ' * n}{middle}{' b' * 30}" for n in range(12) for middle in ("two words", "stop x", "alone", "notalone alone", "one two words stop two")]
+    ids, _ = tokens.Encoder(str(tmp_path / "t.json")).encode(pa.array([*texts, "plain text of no kind"], pa.large_string()))
+    assert ids.tolist() == sum(([*plain.encode(t, add_special_tokens=False).ids, tokens.END_ID] for t in [*texts, "plain text of no kind"]), [])
+
+
 @given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=6), st.lists(st.tuples(st.integers(0, 5), st.integers(0, 63), st.integers(0, 63), st.integers(0, 63)), max_size=150), st.integers(0, 3))
 @settings(max_examples=60, deadline=None)
 def test_bit_sliced_comparison_finds_all_pairs(bases, edits, radius):
