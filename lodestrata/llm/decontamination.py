@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,26 +13,43 @@ from pyspark.sql import functions as F
 MASKS = ((0, 1, 3, 6, 7), (0, 1, 3, 4, 5), (0, 1, 2, 3, 4))
 SPAN = 1 + min(max(m) for m in MASKS)  # of the narrowest
 # An overlap is a stretch of 13 tokens (the whole item, if it is shorter) of which two at most differ, or one
-# at most of fewer than ten: four fifths are equal. Shorter items than ``LEAST`` are not searched.
-WINDOW, LEAST = 13, 8
+# at most of fewer than ten: four fifths are equal. Of items shorter than ``LEAST`` no token differs;
+# those shorter than ``FEWEST``, one token, are not searched.
+WINDOW, LEAST, FEWEST = 13, 8, 2
 # Tokens of benchmark items whose seeds are broadcast at a time: three seeds a token, some 50 MB.
 BLOCK_TOKENS = 500_000
 
+# Blocks of the scripts that are written without spaces (Thai, Lao, Tai, Myanmar, Khmer, Javanese, Balinese, Han, Kana, Bopomofo,
+# Yi). The range that is tested first spares other texts the list.
+FAR = r"[\x{E01}-\x{FF9F}\x{16FE0}-\x{3FFFF}]"
+UNSPACED = (r"[\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{1950}-\x{19FF}\x{1A20}-\x{1AAF}\x{1B00}-\x{1B7F}\x{2E80}-\x{312F}"
+            r"\x{31A0}-\x{31FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{A000}-\x{A4CF}\x{A980}-\x{A9FF}\x{AA60}-\x{AADF}\x{F900}-\x{FAFF}"
+            r"\x{FF66}-\x{FF9F}\x{16FE0}-\x{18DFF}\x{1AFF0}-\x{1B16F}\x{20000}-\x{3FFFF}]")
+# One character of them with the marks on it, and what stands between tokens: no letter, digit or mark on such a character.
+CHARACTER = rf"([{FAR}&&{UNSPACED}&&[\p{{L}}\p{{N}}]][{FAR}&&{UNSPACED}&&\p{{M}}]*)"
+BETWEEN = rf"[\P{{L}}&&\P{{N}}&&[\P{{M}}[^{UNSPACED[1:]}]]+"
+
 
 def tokens(text: Column) -> Column:
-    """Hashes of the lower-cased runs of letters and digits, in order."""
-    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
+    """Hashes of the lower-cased runs of letters and digits, in order; in scripts without spaces, of each character."""
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    parts = F.split(F.regexp_replace(lower, CHARACTER, " $1 "), BETWEEN)
     return F.transform(parts, lambda w: F.xxhash64(w))
 
 
 def spared(size: Column) -> Column:
     """Tokens of a stretch that may differ."""
-    return F.when(size < 10, 1).otherwise(2)
+    return F.when(size < LEAST, 0).when(size < 10, 1).otherwise(2)
 
 
-def seeds(hashes: Column, at: Column) -> list[Column]:
+def seeds(hashes: Column, at: Column, masks: Mapping[int, tuple[int, ...]]) -> list[Column]:
     """The hashed seeds of all masks from one place on; null where a mask reaches beyond the end."""
-    return [F.when(at + max(mask) < F.size(hashes), F.xxhash64(F.lit(k), *[F.get(hashes, at + i) for i in mask])) for k, mask in enumerate(MASKS)]
+    return [F.when(at + max(mask) < F.size(hashes), F.xxhash64(F.lit(k), *[F.get(hashes, at + i) for i in mask])) for k, mask in masks.items()]
+
+
+def whole(size: int) -> dict[int, tuple[int, ...]]:
+    """The one mask of items of fewer than ``LEAST`` tokens, all their places; numbered apart from ``MASKS``."""
+    return {-size: tuple(range(size))}
 
 
 def overlap(item: Column, doc: Column, shift: Column, at: Column) -> Column:
@@ -45,16 +63,24 @@ def overlap(item: Column, doc: Column, shift: Column, at: Column) -> Column:
     return F.when(last - first >= size, F.array_max(sums)).otherwise(-1)
 
 
-def hits(docs: DataFrame, items: DataFrame) -> DataFrame:
+def hits(docs: DataFrame, items: DataFrame, sizes: Sequence[int]) -> DataFrame:
     """(doc, item, equal, size): verified overlaps around the seeds that a document and an item share.
 
     Documents stay where they are: their seeds probe the broadcast seeds of the items, and a hit is verified
-    in the same row, which still holds the document's tokens.
+    in the same row, which still holds the document's tokens. ``sizes`` are those of the items, each below
+    ``LEAST`` by itself and from there on as ``LEAST``; documents are searched for no others.
     """
-    known = items.select("item", F.explode(F.sequence(F.lit(0), F.size("_item") - SPAN)).alias("_q"), "_item")
-    known = known.select("item", "_q", F.explode(F.array(*seeds(F.col("_item"), F.col("_q")))).alias("_seed"))
-    placed = docs.where(F.size("_doc") >= LEAST).select("doc", "_doc", F.explode(F.sequence(F.lit(0), F.size("_doc") - SPAN)).alias("_p"))
-    placed = placed.select("doc", "_doc", "_p", F.explode(F.array(*seeds(F.col("_doc"), F.col("_p")))).alias("_seed"))
+    spaced = dict(enumerate(MASKS)) if LEAST in sizes else {}
+    short = [n for n in sizes if n < LEAST]
+    known = items.select("item", F.explode(F.when(F.size("_item") < LEAST, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.size("_item") - SPAN))).alias("_q"), "_item")
+    each = F.array(*seeds(F.col("_item"), F.col("_q"), spaced)) if spaced else F.array().cast("array<bigint>")
+    for n in short:
+        each = F.when(F.size("_item") == n, F.array(*seeds(F.col("_item"), F.col("_q"), whole(n)))).otherwise(each)
+    known = known.select("item", "_q", F.explode(each).alias("_seed"))
+    masks = reduce(lambda a, n: a | whole(n), short, spaced)
+    least, reach = min(sizes), min([*short, *([SPAN] if spaced else [])])
+    placed = docs.where(F.size("_doc") >= least).select("doc", "_doc", F.explode(F.sequence(F.lit(0), F.size("_doc") - reach)).alias("_p"))
+    placed = placed.select("doc", "_doc", "_p", F.explode(F.array(*seeds(F.col("_doc"), F.col("_p"), masks))).alias("_seed"))
     met = placed.join(F.broadcast(known), "_seed").join(F.broadcast(items), "item")
     return (met.select("doc", "item", F.least(F.size("_item"), F.lit(WINDOW)).alias("size"),
                        overlap(F.col("_item"), F.col("_doc"), F.col("_p") - F.col("_q"), F.col("_q")).alias("equal"))
@@ -66,18 +92,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", te
     """doc, contaminated, n_items, overlap and items of every row of docs.
 
     ``overlap`` is the best share of equal tokens (null without an overlap), ``items`` the ids found, in order.
-    Case, punctuation and white space do not count. Items of fewer than ``LEAST`` tokens are too common to
-    prove anything and are not searched; null texts are empty; rows of one id share their verdict, also those
+    Case, punctuation and white space do not count. Items of fewer than ``LEAST`` tokens are found where all
+    their tokens stand in a row, and those of fewer than ``FEWEST`` are not searched; null texts are empty; rows of one id share their verdict, also those
     without an id; equal items are each reported. A benchmark of more than ``BLOCK_TOKENS`` tokens is searched
     in blocks, so what is broadcast stays bounded.
     """
     rows = docs.select(F.col(doc).alias("doc"), tokens(F.col(text).cast("string")).alias("_doc"))
     ends = [F.xxhash64(F.lit(""))]  # a text that starts or ends with a separator has an empty token there
     items = (benchmark.select(F.col(item).alias("item"), F.filter(tokens(F.col(item_text).cast("string")), lambda t: t != ends[0]).alias("_item"))
-             .where(F.size("_item") >= LEAST).distinct())
-    total = items.agg(F.sum(F.size("_item"))).first()[0] or 0
-    n = -(-total // BLOCK_TOKENS) or 1
-    parts = [hits(rows, items if n == 1 else items.where(F.pmod(F.xxhash64("item", "_item"), F.lit(n)) == k)) for k in range(n)]
+             .where(F.size("_item") >= FEWEST).distinct())
+    counted = items.groupBy(F.least(F.size("_item"), F.lit(LEAST)).alias("size")).agg(F.sum(F.size("_item")).alias("n")).collect()  # LEAST rows at most
+    sizes = sorted(r["size"] for r in counted) or [LEAST]
+    n = -(-sum(r["n"] for r in counted) // BLOCK_TOKENS) or 1
+    parts = [hits(rows, items if n == 1 else items.where(F.pmod(F.xxhash64("item", "_item"), F.lit(n)) == k), sizes) for k in range(n)]
     found = (reduce(DataFrame.unionByName, parts).groupBy(F.col("doc").alias("_d"))
              .agg(F.max(F.col("equal") / F.col("size")).alias("overlap"), F.sort_array(F.collect_set("item")).alias("items")))
     each = docs.select(F.col(doc).alias("doc"))

@@ -162,6 +162,30 @@ def test_short_overlaps_are_found_whatever_was_replaced(spark):
     assert {r["doc"]: (r["contaminated"], r["items"], r["overlap"] and pytest.approx(r["overlap"])) for r in got.collect()} == want
 
 
+def test_items_of_few_tokens_are_found_word_for_word(spark):
+    items = [(1, "Who wrote Hamlet?"), (2, "oh, yes"), (3, "one two three four five six seven"), (4, "..."), (5, None), (6, "Oh yes!"), (7, "a b c d e f g h")]
+    docs = {"He asked: who wrote 'Hamlet'": [1], "Who wrote Macbeth, Hamlet": [], "oh yes oh yes": [2, 6], "Oh - yes": [2, 6], "one two three four five six seven": [3],
+            "one two three four five six, seven oh yes": [2, 3, 6], "one two three four five six eight": [], "wrote Hamlet": [], "": [], "...": [], "who wrote": [], "a b x d e f g h": [7]}
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    for kept in (items, items[:6], items[:1]):
+        got = {r["doc"]: r["items"] for r in decontamination.contamination(frame, spark.createDataFrame(kept, "item_id long, text string")).collect()}
+        assert got == {d: [i for i in found if i in [k for k, _ in kept]] for d, found in enumerate(docs.values())}
+
+
+def test_scripts_without_spaces_count_by_character(spark):
+    def split(*texts):
+        frame = spark.createDataFrame([(t,) for t in texts], "t string")
+        words = F.split(F.regexp_replace(F.lower("t"), decontamination.CHARACTER, " $1 "), decontamination.BETWEEN)
+        return [[w for w in r[0] if w] for r in frame.select(words).collect()]
+    assert split("日本語 text、カー。", "ที่นี่ ๆ", "don't x́y—“Q”", "한국어 문장", "a𠀀b9", "はか\u3099・") == [
+        ["日", "本", "語", "text", "カ", "ー"], ["ที่", "นี่", "ๆ"], ["don", "t", "x", "y", "q"], ["한국어", "문장"], ["a", "𠀀", "b9"], ["は", "か\u3099"]]
+    text = "今天天气很好我们一起去公园散步吧"
+    docs = spark.createDataFrame([(1, f"他说：{text}。"), (2, text.replace("公", "花")), (3, "今天天气不好"), (4, text[:4])], "doc_id long, text string")
+    items = spark.createDataFrame([(1, text), (2, "天气很好")], "item_id long, text string")
+    got = {r["doc"]: r["items"] for r in decontamination.contamination(docs, items).collect()}
+    assert got == {1: [1, 2], 2: [1, 2], 3: [], 4: []}
+
+
 def test_a_benchmark_in_blocks(spark, monkeypatch):
     words = [f"w{i}" for i in range(60)]
     docs = spark.createDataFrame([(1, "x " + " ".join(words[:20]) + " y"), (2, " ".join(words[30:45]).replace("w33", "no").replace("w38", "no").upper()), (3, " ".join(words[30:45:2]))], "doc_id long, text string")
