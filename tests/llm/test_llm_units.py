@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lodestrata.llm import chat, decontamination, pages, repeats, simhash, tokens, toxicity, urls
+from lodestrata.llm import chat, decontamination, mixing, pages, repeats, simhash, tokens, toxicity, urls
 from lodestrata.llm.queries import tokenizer_path
 from lodestrata.llm.store import sieve, sifted
 from pyspark.sql import functions as F
@@ -196,6 +196,27 @@ def test_a_benchmark_in_blocks(spark, monkeypatch):
     assert [(r[0], r[1], r[4]) for r in whole] == [(1, True, ["i0"]), (2, True, ["i30"]), (3, False, [])]
 
 
+@pytest.mark.parametrize("spread, target", [(0.05, 0.7), (0.1, 0.7), (0.1, 0.5), (0.3, 0.95)])
+def test_domains_hard_to_tell_apart_meet_their_targets(spark, spread, target):
+    rng = np.random.default_rng(5)
+    x = np.clip(0.6 + spread * rng.standard_normal(4000), 0.001, 0.999)
+    p, n = np.c_[x, 1 - x], rng.integers(1, 2000, 4000)
+    frame = spark.createDataFrame([(int(a), b) for a, b in zip(n, p.tolist())], "n_tokens long, posteriors array<double>").cache()
+    steps, miss = mixing.fit_rates(frame, np.array([target, 1 - target]) * n.sum())
+    rates = np.ones(4000)
+    for s in steps:
+        rates = np.maximum(0, rates - p @ np.array(s))
+    assert (n * rates) @ p / n.sum() == pytest.approx([target, 1 - target], abs=1e-5) and abs(miss).max() <= 1e-5 * n.sum() and len(steps) <= 60
+
+
+def test_targets_out_of_reach_are_told(spark):
+    docs = spark.createDataFrame([(i, "some words") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, domain string")
+    with pytest.warns(UserWarning, match="misses its targets"):
+        out = mixing.mix(docs, labels, {"x": 7, "y": 3}).collect()
+    assert all(r.missed == pytest.approx([-0.2, 0.2]) for r in out)
+
+
 def test_words_of_long_texts_are_hashed_in_pieces(monkeypatch):
     data = np.frombuffer(("Ab c9, déjà-vu " * 50).encode(), np.uint8)
     whole = toxicity.words(data)
