@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import chat, decontamination, exact, mixing, pages, repeats, simhash, tokens, toxicity, urls
+from lodestrata.llm import archive, chat, collocations, decontamination, exact, mixing, pages, repeats, simhash, tokens, toxicity, urls, whitening
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -124,6 +124,28 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encoded(table(spark, folder, "documents"), tokenizer_path()).withColumnRenamed("doc", "doc_id")
 
 
+@query("op11_web_archive", sql="""
+with paid as (select page_id, coalesce(html, '') as html from pages),
+kept as (select html, max(page_id) as keep from paid where strlen(html) >= 1000 group by html)
+select page_id, strlen(paid.html)::bigint as payload_bytes, sha1(paid.html) as payload_digest,
+  case when keep is distinct from page_id and keep is not null then 'revisit' else 'response' end as record_type,
+  case when keep is distinct from page_id then keep end as refers_to
+from paid left join kept on paid.html = kept.html""")
+def op11_web_archive(spark: SparkSession, folder: str) -> DataFrame:
+    out = archive.archived(table(spark, folder, "pages"))
+    return out.select(F.col("page").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings")).withColumnRenamed("vec", "vec_id")
+
+
+@query("op13_collocations")
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def tokenizer_path(name: str = TOKENIZER) -> str:
     """Where the installed public tokenizers have a file."""
     import public_tokenizers

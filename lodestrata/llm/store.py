@@ -19,6 +19,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession, most: int = 1 << 23) -> None:
+    """From now on rows cross to Python in Arrow batches of about so many bytes at most, whatever the texts' lengths."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """The frame as written to the shared folder. The schema is given, so an empty one reads as well."""
     path = shared_path(df.sparkSession, name)
