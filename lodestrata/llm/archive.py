@@ -14,12 +14,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.store import Steps, bounded_batches, free, saved, shared_path, sieve, sifted
+from lodestrata.llm.store import Steps, bounded_batches, saved, shared_path, sieve, sifted
 
 # Payloads of fewer bytes are never told to be copies.
 LEAST = 1000
 # Ranges with a smaller gap between them are read in one, up to so many bytes; and the stretch of a file that one group of reads covers.
-GAP, MOST, STRETCH = 1 << 14, 1 << 22, 1 << 26
+GAP, MOST, STRETCH = 1 << 14, 1 << 22, 1 << 24
 LEVEL = 6
 
 # Fixed values of the format.
@@ -187,9 +187,10 @@ def read(selected: DataFrame, path: str, payload: bool = True) -> DataFrame:
                 at = end
         if source is not None:
             source.close()
-    stretch = free(selected, "_stretch")
-    rows = selected.select("file", "offset", "length", F.floor(F.col("offset") / STRETCH).alias(stretch))
-    rows = rows.repartition("file", stretch).sortWithinPartitions("file", "offset").select("file", "offset", "length")
+    # The rows are short and what they name is long, so the number of tasks follows the bytes that are named.
+    size = selected.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).head()["n"]
+    rows = selected.select("file", "offset", "length", F.floor(F.col("offset") / STRETCH).alias("_stretch"))
+    rows = rows.repartition(1 + size // MOST, "file", "_stretch").sortWithinPartitions("file", "offset").select("file", "offset", "length")
     return rows.mapInArrow(run, "page bigint, url string, type string, digest string, refers_to bigint, payload_bytes bigint, payload binary")
 
 

@@ -21,6 +21,8 @@ def polar(a: np.ndarray) -> np.ndarray | None:
     """The orthogonal polar factor of a symmetric matrix, by dynamically weighted Halley steps: with QR while the
     matrix is far from orthogonal, with Cholesky near it. None if the matrix is too close to a singular one."""
     size = np.linalg.norm(a, 2)
+    if not size:
+        return None
     x, one = a / size, np.eye(len(a))
     try:
         least = 0.9 / np.linalg.norm(np.linalg.inv(x), 2)
