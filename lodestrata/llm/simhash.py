@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.components import components
-from lodestrata.llm.store import saved
+from lodestrata.llm.store import bounded_batches, saved
 
 BITS, SEED = 64, 42
 # Buckets of more fingerprints than this are divided again.
@@ -43,6 +43,7 @@ def fingerprints(docs: DataFrame, doc: str = "doc_id", text: str = "text", shing
         for batch in batches:
             found = [fingerprint(v.as_buffer().to_pybytes() if v.is_valid else b"", shingle) for v in batch.column(1).cast(pa.large_binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc", "fingerprint"])
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc).alias("doc"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, fingerprint bigint")
 

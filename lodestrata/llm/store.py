@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,3 +91,20 @@ def without(docs: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     marked = sifted(docs, column, sieve(ids, gone), maybe)
     rest = marked.where(maybe)
     return marked.where(~F.col(maybe)).drop(maybe).unionByName(rest.join(ids, rest[column] == ids[gone], "left_anti").drop(maybe))
+
+
+class Bits:
+    """A bitmap of hashes, for tasks in numpy: false only for one that surely is not among them. 16 MB at most."""
+
+    def __init__(self, hashes: DataFrame, column: str):
+        """hashes: different long values whose low bits are well mixed."""
+        bits = max(15, min(SIEVE_BITS, (16 * hashes.count()).bit_length()))
+        at = F.col(column).bitwiseAND(F.lit((1 << bits) - 1).cast("bigint"))
+        self.bitmap, self.mask = np.zeros(1 << bits - 3, np.uint8), np.uint64((1 << bits) - 1)
+        spot = at.bitwiseAND(F.lit((1 << 15) - 1).cast("bigint"))
+        for r in hashes.groupBy(F.shiftright(at, 15).alias("at")).agg(F.bitmap_construct_agg(spot).alias("bits")).collect():  # 4,096 rows of 4 KB at most
+            self.bitmap[r["at"] << 12:(r["at"] + 1) << 12] = np.frombuffer(r["bits"], np.uint8)
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        at = h.astype(np.uint64) & self.mask
+        return (self.bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)

@@ -14,12 +14,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.store import saved, shared_path
+from lodestrata.llm.store import bounded_batches, saved, shared_path
 
 # Ids of a block; blocks packed, unpacked and read at a time.
 BLOCK, AT_ONCE = 1024, 1024
-# Words whose ids a worker remembers, and the bytes of text it encodes at a time.
-REMEMBERED, CHARS = 400_000, 1 << 21
+# Words whose ids a worker remembers, the longest of them, and the bytes of text it encodes at a time.
+REMEMBERED, WORD, CHARS = 240_000, 64, 1 << 21
 END_ID = 0
 MAGIC = b"S8BLOCK1"
 
@@ -117,7 +117,7 @@ def unpack(words: np.ndarray, block_words: np.ndarray, n: int) -> np.ndarray:
 _B = np.arange(256)
 LETTER, BLANK, MARK, QUOTE, UNSURE = 1, 2, 4, 8, 16
 _LETTERS = ((_B | 32 >= 97) & (_B | 32 <= 122) & (_B < 128)) | (_B == 39) | ((_B >= 0x80) & (_B < 0xC0)) | ((_B >= 0xC3) & (_B <= 0xC9))
-_BLANKS = ((_B >= 9) & (_B <= 13)) | ((_B >= 28) & (_B <= 32))
+_BLANKS = ((_B >= 9) & (_B <= 13)) | (_B == 32)
 _MARKS = (_B < 128) & ~_LETTERS & ~_BLANKS & ~((_B >= 48) & (_B <= 57))
 KIND = (LETTER * _LETTERS + BLANK * _BLANKS + MARK * _MARKS + QUOTE * (_B == 39) + UNSURE * ((_B == 0xC2) | (_B > 0xC9))).astype(np.uint8)
 
@@ -203,7 +203,7 @@ class Encoder:
             own = [pieces[i] for i in at]
             for i, x in zip(at, self.plain([w.decode() for w in own]) if kind == 2 else self.together(own, kind == 0)):
                 found[i] = x
-        self.known.update((pieces[i], found[i]) for i in unseen)
+        self.known.update((pieces[i], found[i]) for i in unseen if len(pieces[i]) <= WORD)
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -336,6 +336,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc: str = "doc_id", text:
             writer.out.close()
             store.move(attempt, name)
             yield pa.RecordBatch.from_pydict({"part": [part], "file": [f"part-{part:06d}.s8b"], "docs": [sum(map(len, writer.docs))], "ids": [writer.n]})
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc).cast("bigint").alias("doc"), F.col(text).cast("string").alias("text")).withColumn("_h", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc", "_h").sortWithinPartitions("doc", "_h").select("doc", "text")
     return saved(ordered.mapInArrow(run, "part bigint, file string, docs bigint, ids bigint"), "token-files")

@@ -7,12 +7,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# The classifier is fitted on so many labelled documents at most, taken in order of the hash of their ids.
-SAMPLE = 16384
-# FTRL-proximal: rate, smoothing, L1, L2; passes over the sample; documents that a feature must occur in.
+from lodestrata.llm.store import Bits, Steps, bounded_batches
+
+# The classifier is fitted on so many labelled documents, with so many features in all, at most, taken in order of
+# the hash of their ids.
+SAMPLE, FEATURES = 16384, 1 << 25
+# FTRL-proximal: rate, smoothing, L1, L2; passes over the sample; documents that a feature must occur in. Rate, L1 and
+# passes are the choice of a four-fold cross-validation among the rows that labels may be learned from.
 ALPHA, BETA, L1, L2, PASSES, LEAST = 2.0, 1.0, 15.0, 0.02, 6, 4
 # Bytes of text that are hashed at a time.
 PIECE = 1 << 20
@@ -112,7 +116,7 @@ def fit(rows: list[tuple[np.ndarray, int]]) -> Model:
     edge = np.flatnonzero(np.r_[True, every[1:] != every[:-1], True])
     buckets = every[edge[:-1][np.diff(edge) >= LEAST]]
     del every, edge
-    data = [(np.flatnonzero(np.isin(buckets, x, assume_unique=True)) if len(x) > len(buckets) else _places(buckets, x), y) for x, y in rows]
+    data = [((np.flatnonzero(np.isin(buckets, x, assume_unique=True)) if len(x) > len(buckets) else _places(buckets, x)).astype(np.int32), y) for x, y in rows]
     z, n = np.zeros(len(buckets)), np.zeros(len(buckets))
     bias, bias_n = float(np.log((positive + 0.5) / (len(rows) - positive + 0.5))), 1.0
 
@@ -139,21 +143,35 @@ def _places(buckets: np.ndarray, x: np.ndarray) -> np.ndarray:
     return at[buckets[at] == x] if len(buckets) else at[:0]
 
 
+def listed(batch: pa.RecordBatch, x: list[np.ndarray]) -> pa.RecordBatch:
+    """id and y of the batch with other features."""
+    bounds = np.cumsum([0, *map(len, x)]).astype(np.int32)
+    values = pa.array(np.concatenate([*x, np.zeros(0, np.uint32)]).view(np.int32))
+    return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), pa.ListArray.from_arrays(pa.array(bounds), values)], names=["id", "y", "x"])
+
+
 def learn(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
-    """A model from the labelled documents whose crc32(id as text) mod 5 is not 0: a sample of ``SAMPLE``.
+    """A model from the labelled documents whose crc32(id as text) mod 5 is not 0: a sample of ``SAMPLE``,
+    and of those whose features are ``FEATURES`` in all.
 
     Only texts are features. Documents are turned into buckets where they lie; one task fits the bounded
     sample, and what comes back is the few weights. An id labelled twice is toxic if either says so; null
     labels and ids say nothing, and documents of equal ids are all used.
     """
+    steps = Steps(docs.sparkSession)
+    bounded_batches(docs.sparkSession)
     known = (labels.where(F.col(label).isNotNull() & F.col(doc).isNotNull()).groupBy(F.col(doc).alias("_id")).agg(F.max(label).cast("int").alias("y"))
              .where(F.crc32(F.col("_id").cast("string")) % 5 != 0).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE))
     rows = docs.select(F.col(doc).alias("_id"), F.col(text).cast("string").alias("text")).join(F.broadcast(known), "_id").select("_id", "y", "text")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), pa.array(
-                [np.unique(features(words(t))).view(np.int32) for t in texts_of(batch.column(2))], pa.list_(pa.int32()))], names=["id", "y", "x"])
+            yield listed(batch, [np.unique(features(words(t))) for t in texts_of(batch.column(2))])
+
+    def pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column(2)
+            yield listed(batch, [part[common.value(part)] for part in (v.values.to_numpy().view(np.uint32) for v in x)])
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [(i, len(x), x.values.to_numpy().view(np.uint32), y) for b in batches for i, y, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2))]
@@ -161,8 +179,16 @@ def learn(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "
         model = fit([(x, y) for _, _, x, y in rows])
         yield pa.RecordBatch.from_pydict({"bucket": [*model.buckets.tolist(), -1], "weight": [*model.weights.tolist(), model.bias]})
 
-    got = (rows.mapInArrow(hashed, "id string, y int, x array<int>").repartition(1)
-           .mapInArrow(fitted, "bucket bigint, weight double").collect())
+    shape = "id string, y int, x array<int>"
+    sample = steps.saved(rows.mapInArrow(hashed, shape), "sample")
+    upto = Window.orderBy(F.xxhash64("id"), "id")  # of the ids, SAMPLE at most
+    sizes = sample.groupBy("id").agg(F.sum(F.size("x") + 1).alias("n")).withColumn("upto", F.sum("n").over(upto))
+    sample = sample.join(F.broadcast(sizes.where(F.col("upto") <= FEATURES).select("id")), "id", "left_semi")
+    # Features of fewer than LEAST documents are never used, so they need not reach the one task that fits.
+    often = sample.select(F.explode("x").alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST)
+    common = docs.sparkSession.sparkContext.broadcast(Bits(steps.saved(often.select(F.col("x").cast("bigint").alias("x")), "common"), "x"))
+    got = sample.select("id", "y", "x").mapInArrow(pruned, shape).repartition(1).mapInArrow(fitted, "bucket bigint, weight double").collect()
+    steps.remove()
     got = sorted((r["bucket"], r["weight"]) for r in got) or [(-1, -30.0)]
     return Model(np.array([b for b, _ in got[1:]], np.uint32), np.array([w for _, w in got[1:]]), got[0][1])
 

@@ -38,7 +38,7 @@ def encoder():
     return tokens.Encoder(tokenizer_path())
 
 
-@given(st.lists(st.text(alphabet=st.sampled_from("ab Z'.,\n\t 9é× _—"), max_size=40), max_size=8))
+@given(st.lists(st.text(alphabet=st.sampled_from("abs\x1c\x1d\x1e\x1f\x00\x7f Z'.,\n\t 9é× _—"), max_size=40), max_size=8))
 @settings(max_examples=200, deadline=None)
 def test_pieces_make_the_ids_of_the_text(encoder, texts):
     texts = texts + ODD[:3]
@@ -47,6 +47,17 @@ def test_pieces_make_the_ids_of_the_text(encoder, texts):
     assert counts.tolist() == [len(w) for w in want] and (ids == np.concatenate(want)).all()
 
 
+def test_no_difference_from_the_library_in_many_random_texts(encoder):
+    """Control characters, apostrophes, white space and letters in any order: 40,000 short texts."""
+    draw = np.random.default_rng(3)
+    alphabet = np.array(list("abst llreé ' ' .,\n\t\r9\x1c\x1d\x1e\x1f\x00\x0b\x0c\x7f\x85\xa0  ñ日_-"))
+    for _ in range(40):
+        texts = ["".join(alphabet[draw.integers(0, len(alphabet), n)]) for n in draw.integers(0, 14, 1000)]
+        ids, counts = encoder.encode(pa.array(texts, pa.large_string()))
+        want = [[*e.ids, tokens.END_ID] for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
 def test_odd_texts_and_bounded_pieces(encoder, monkeypatch):
     monkeypatch.setattr(tokens, "CHARS", 1600)
     monkeypatch.setattr(tokens, "REMEMBERED", 6)
@@ -313,3 +324,61 @@ def test_runs_of_pieces_cover_every_string_once(monkeypatch):
     monkeypatch.setattr(repeats, "PIECE", 50)
     monkeypatch.setattr(repeats, "BUFFER", 120)
     assert starts() == whole
+
+
+def brute_ftrl(rows):
+    """FTRL-proximal with one dictionary per state, document by document."""
+    t = toxicity
+    seen = {}
+    for x, _ in rows:
+        for f in x.tolist():
+            seen[f] = seen.get(f, 0) + 1
+    z, n = {f: 0.0 for f, k in seen.items() if k >= t.LEAST}, {f: 0.0 for f, k in seen.items() if k >= t.LEAST}
+
+    def weight(f):
+        return 0.0 if abs(z[f]) <= t.L1 else -(z[f] - np.sign(z[f]) * t.L1) / ((t.BETA + n[f] ** 0.5) / t.ALPHA + t.L2)
+    positive = sum(y for _, y in rows)
+    bias, squares, order = np.log((positive + 0.5) / (len(rows) - positive + 0.5)), 1.0, np.random.default_rng(0)
+    for _ in range(t.PASSES):
+        for i in order.permutation(len(rows)):
+            x, y = [f for f in rows[i][0].tolist() if f in z], rows[i][1]
+            w = {f: weight(f) for f in x}
+            g = 1 / (1 + np.exp(-np.clip(bias + sum(w.values()), -35, 35))) - y
+            for f in x:
+                z[f] += g - ((n[f] + g * g) ** 0.5 - n[f] ** 0.5) / t.ALPHA * w[f]
+                n[f] += g * g
+            squares += g * g
+            bias -= 0.1 / squares ** 0.5 * g
+    return {f: weight(f) for f in z if weight(f)}, bias
+
+
+def labelled(many):
+    draw = np.random.default_rng(5)
+    plain, bad = [f"w{i}" for i in range(60)], ["vile", "foul", "rot"]
+    out = []
+    for i in range(many):
+        words, y = list(draw.choice(plain, 25)), int(i % 3 == 0)
+        if y:
+            words[4:4] = draw.choice(bad, 3)
+        out.append((i, " ".join(words), y))
+    return out
+
+
+def test_ftrl_against_brute_force():
+    rows = [(np.unique(toxicity.features(toxicity.words(np.frombuffer(t.encode(), np.uint8)))), y) for _, t, y in labelled(300)]
+    want, bias = brute_ftrl(rows)
+    model = toxicity.fit(rows)
+    assert dict(zip(model.buckets.tolist(), model.weights.tolist())) == pytest.approx(want) and model.bias == pytest.approx(bias) and want
+
+
+def test_learning_prunes_features_without_loss_and_keeps_to_its_bounds(spark, monkeypatch):
+    rows = labelled(400)
+    docs, labels = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    import zlib
+    used = sorted(((str(i), np.unique(toxicity.features(toxicity.words(np.frombuffer(t.encode(), np.uint8)))), y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 5),
+                  key=lambda r: r[0])
+    want = toxicity.fit([(x, y) for _, x, y in used])
+    got = toxicity.learn(docs, labels)
+    assert got.buckets.tolist() == want.buckets.tolist() and got.weights == pytest.approx(want.weights) and got.bias == pytest.approx(want.bias)
+    monkeypatch.setattr(toxicity, "FEATURES", 0)
+    assert not len(toxicity.learn(docs, labels).buckets)
