@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.components import components
-from lodestrata.llm.store import bounded_batches, saved
+from lodestrata.llm.store import bounded_batches, saved, tidy
 
 BITS, SEED = 64, 42
 # Buckets of more fingerprints than this are divided again.
@@ -45,7 +45,7 @@ def fingerprints(docs: DataFrame, doc: str = "doc_id", text: str = "text", shing
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc", "fingerprint"])
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc).alias("doc"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, fingerprint bigint")
+    return rows.mapInArrow(tidy("simhash", run), f"doc {rows.schema['doc'].dataType.simpleString()}, fingerprint bigint")
 
 
 def block_masks(free: int, radius: int) -> list[int]:
@@ -175,7 +175,7 @@ def near_links(values: DataFrame, radius: int = 2) -> DataFrame:
     for part in parts:
         kept = kept.unionByName(part)
     ordered = kept.repartition("kind", "key").sortWithinPartitions("kind", "key")
-    return ordered.mapInArrow(lambda batches: compare_buckets(batches, radius), "a bigint, b bigint")
+    return ordered.mapInArrow(tidy("simhash", lambda batches: compare_buckets(batches, radius)), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +29,30 @@ def bounded_batches(spark: SparkSession, most: int = 1 << 23) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
 
 
+# What a worker keeps from one task to the next, by operator.
+KEPT: dict[str, object] = {}
+
+
+def tidy(owner: str, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for ``mapInArrow`` that holds no memory for others: workers outlive their tasks, and what was freed
+    would otherwise stay with them. What another operator keeps goes first."""
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
+        for name in [k for k in KEPT if k != owner]:
+            del KEPT[name]
+        trim()
+        yield from run(batches)
+        trim()
+    return tidied
+
+
+def trim() -> None:
+    """Gives freed memory back to the system."""
+    gc.collect()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """The frame as written to the shared folder. The schema is given, so an empty one reads as well."""
     path = shared_path(df.sparkSession, name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -14,12 +15,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.store import bounded_batches, saved, shared_path
+from lodestrata.llm.store import KEPT, bounded_batches, saved, shared_path, tidy
 
 # Ids of a block; blocks packed, unpacked and read at a time.
-BLOCK, AT_ONCE = 1024, 1024
+BLOCK, AT_ONCE = 1024, 256
 # Words whose ids a worker remembers, the longest of them, and the bytes of text it encodes at a time.
-REMEMBERED, WORD, CHARS = 240_000, 64, 1 << 21
+REMEMBERED, WORD, CHARS = 150_000, 64, 1 << 20
 END_ID = 0
 MAGIC = b"S8BLOCK1"
 
@@ -140,6 +141,7 @@ class Encoder:
     CUT = re.compile(r"(?<=[\w.,]) (?=\w)")
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core, and every thread memory of its own
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
         self.tokenizer = Tokenizer.from_file(path)
@@ -266,9 +268,6 @@ class Encoder:
         return out, np.bincount(np.repeat(np.arange(len(texts)), many + 1), weights=n, minlength=len(texts)).astype(np.int64)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Some rows at a time, of a bounded number of bytes unless one row alone has more; null texts are empty."""
     for batch in batches:
@@ -320,9 +319,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc: str = "doc_id", text:
     side by side in order of their texts' hash, each as a document of its own.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _ENCODERS:
-            _ENCODERS[tokenizer] = Encoder(tokenizer)
-        encoder, part, writer = _ENCODERS[tokenizer], TaskContext.get().partitionId(), None
+        if KEPT.get("tokens", (None,))[0] != tokenizer:
+            KEPT["tokens"] = (tokenizer, Encoder(tokenizer))
+        encoder, part, writer = KEPT["tokens"][1], TaskContext.get().partitionId(), None
         store, root = fs.FileSystem.from_uri(path)
         name = f"{root}/part-{part:06d}.s8b"
         attempt = f"{name}.{TaskContext.get().taskAttemptId()}.tmp"
@@ -336,10 +335,10 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc: str = "doc_id", text:
             writer.out.close()
             store.move(attempt, name)
             yield pa.RecordBatch.from_pydict({"part": [part], "file": [f"part-{part:06d}.s8b"], "docs": [sum(map(len, writer.docs))], "ids": [writer.n]})
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, 1 << 22)
     rows = docs.select(F.col(doc).cast("bigint").alias("doc"), F.col(text).cast("string").alias("text")).withColumn("_h", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc", "_h").sortWithinPartitions("doc", "_h").select("doc", "text")
-    return saved(ordered.mapInArrow(run, "part bigint, file string, docs bigint, ids bigint"), "token-files")
+    return saved(ordered.mapInArrow(tidy("tokens", run), "part bigint, file string, docs bigint, ids bigint"), "token-files")
 
 
 def read(files: DataFrame, path: str) -> DataFrame:

@@ -10,16 +10,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestrata.llm.store import Bits, Steps, bounded_batches
+from lodestrata.llm.store import Steps, bounded_batches, tidy, trim
 
 # The classifier is fitted on so many labelled documents, with so many features in all, at most, taken in order of
 # the hash of their ids.
 SAMPLE, FEATURES = 16384, 1 << 25
+# Cells in which the fitting task counts features before it keeps them.
+CELLS = 1 << 24
 # FTRL-proximal: rate, smoothing, L1, L2; passes over the sample; documents that a feature must occur in. Rate, L1 and
 # passes are the choice of a four-fold cross-validation among the rows that labels may be learned from.
 ALPHA, BETA, L1, L2, PASSES, LEAST = 2.0, 1.0, 15.0, 0.02, 6, 4
 # Bytes of text that are hashed at a time.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 # Odd multipliers of the word hash (a polynomial modulo 2^64) and its inverse, and of the mixing step.
 BASE = 0x9E3779B97F4A7C15
@@ -159,7 +161,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "
     labels and ids say nothing, and documents of equal ids are all used.
     """
     steps = Steps(docs.sparkSession)
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, 1 << 22)
     known = (labels.where(F.col(label).isNotNull() & F.col(doc).isNotNull()).groupBy(F.col(doc).alias("_id")).agg(F.max(label).cast("int").alias("y"))
              .where(F.crc32(F.col("_id").cast("string")) % 5 != 0).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE))
     rows = docs.select(F.col(doc).alias("_id"), F.col(text).cast("string").alias("text")).join(F.broadcast(known), "_id").select("_id", "y", "text")
@@ -168,26 +170,28 @@ def learn(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "
         for batch in batches:
             yield listed(batch, [np.unique(features(words(t))) for t in texts_of(batch.column(2))])
 
-    def pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = batch.column(2)
-            yield listed(batch, [part[common.value(part)] for part in (v.values.to_numpy().view(np.uint32) for v in x)])
-
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(i, len(x), x.values.to_numpy().view(np.uint32), y) for b in batches for i, y, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2))]
+        rows, seen = [], np.zeros(CELLS, np.uint8)  # documents that a cell of buckets occurs in, up to LEAST
+        for b in batches:
+            for i, y, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                x = x.values.to_numpy().view(np.uint32).copy()
+                rows.append((i, len(x), x, y))
+                seen[x & CELLS - 1] += seen[x & CELLS - 1] < LEAST
+        # Features of fewer than LEAST documents are never used; most of them go here.
+        for k, (i, size, x, y) in enumerate(rows):
+            rows[k] = (i, size, x[seen[x & CELLS - 1] >= LEAST], y)
+        del seen
+        trim()
         rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
         model = fit([(x, y) for _, _, x, y in rows])
         yield pa.RecordBatch.from_pydict({"bucket": [*model.buckets.tolist(), -1], "weight": [*model.weights.tolist(), model.bias]})
 
     shape = "id string, y int, x array<int>"
-    sample = steps.saved(rows.mapInArrow(hashed, shape), "sample")
+    sample = steps.saved(rows.mapInArrow(tidy("toxicity", hashed), shape), "sample")
     upto = Window.orderBy(F.xxhash64("id"), "id")  # of the ids, SAMPLE at most
     sizes = sample.groupBy("id").agg(F.sum(F.size("x") + 1).alias("n")).withColumn("upto", F.sum("n").over(upto))
     sample = sample.join(F.broadcast(sizes.where(F.col("upto") <= FEATURES).select("id")), "id", "left_semi")
-    # Features of fewer than LEAST documents are never used, so they need not reach the one task that fits.
-    often = sample.select(F.explode("x").alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST)
-    common = docs.sparkSession.sparkContext.broadcast(Bits(steps.saved(often.select(F.col("x").cast("bigint").alias("x")), "common"), "x"))
-    got = sample.select("id", "y", "x").mapInArrow(pruned, shape).repartition(1).mapInArrow(fitted, "bucket bigint, weight double").collect()
+    got = sample.select("id", "y", "x").repartition(1).mapInArrow(tidy("toxicity", fitted), "bucket bigint, weight double").collect()
     steps.remove()
     got = sorted((r["bucket"], r["weight"]) for r in got) or [(-1, -30.0)]
     return Model(np.array([b for b, _ in got[1:]], np.uint32), np.array([w for _, w in got[1:]]), got[0][1])
