@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lodestrata.llm.store import KEPT, bounded_batches, saved, shared_path, tidy
 
 # Ids of a block; blocks packed, unpacked and read at a time.
-BLOCK, AT_ONCE = 1024, 256
+BLOCK, AT_ONCE = 1024, 128
 # Words whose ids a worker remembers, the longest of them, and the bytes of text it encodes at a time.
 REMEMBERED, WORD, CHARS = 150_000, 64, 1 << 20
 END_ID = 0
@@ -140,7 +140,8 @@ class Encoder:
 
     CUT = re.compile(r"(?<=[\w.,]) (?=\w)")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, chars: int | None = None):
+        self.chars = chars
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core, and every thread memory of its own
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
@@ -163,7 +164,7 @@ class Encoder:
         parts, start = [], 0
         for m in self.CUT.finditer(text):
             at = m.start()
-            if at - start > CHARS // 16 and not any(text.find(x, max(0, at - len(x)), at + len(x)) >= 0 for x in self.added):
+            if at - start > (self.chars or CHARS) // 16 and not any(text.find(x, max(0, at - len(x)), at + len(x)) >= 0 for x in self.added):
                 parts.append(text[start:at])
                 start = at
         return b"".join(x for p in [*parts, text[start:]] for x in self.plain([p]))
@@ -268,14 +269,14 @@ class Encoder:
         return out, np.bincount(np.repeat(np.arange(len(texts)), many + 1), weights=n, minlength=len(texts)).astype(np.int64)
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def chunks(batches: Iterator[pa.RecordBatch], chars: int | None = None) -> Iterator[pa.RecordBatch]:
     """Some rows at a time, of a bounded number of bytes unless one row alone has more; null texts are empty."""
     for batch in batches:
         texts = pc.fill_null(batch.column(1), "")
         sizes = np.cumsum(pc.binary_length(texts).to_numpy())
         at = 0
         while at < len(texts):
-            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + CHARS, "right")))
+            end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + (chars or CHARS), "right")))
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, end - at), texts.slice(at, end - at)], names=["doc", "text"])
             at = end
 
@@ -310,7 +311,7 @@ class Writer:
         self.out.write(MAGIC)
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def write(docs: DataFrame, path: str, tokenizer: str, doc: str = "doc_id", text: str = "text", chars: int | None = None) -> DataFrame:
     """Writes the ids of all documents below ``path`` in ascending order of id; returns the list of files:
     part, file, docs and ids.
 
@@ -319,13 +320,13 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc: str = "doc_id", text:
     side by side in order of their texts' hash, each as a document of its own.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if KEPT.get("tokens", (None,))[0] != tokenizer:
-            KEPT["tokens"] = (tokenizer, Encoder(tokenizer))
+        if KEPT.get("tokens", (None,))[0] != (tokenizer, chars):
+            KEPT["tokens"] = ((tokenizer, chars), Encoder(tokenizer, chars))
         encoder, part, writer = KEPT["tokens"][1], TaskContext.get().partitionId(), None
         store, root = fs.FileSystem.from_uri(path)
         name = f"{root}/part-{part:06d}.s8b"
         attempt = f"{name}.{TaskContext.get().taskAttemptId()}.tmp"
-        for rows in chunks(batches):
+        for rows in chunks(batches, chars):
             if writer is None:
                 store.create_dir(root)
                 writer = Writer(store.open_output_stream(attempt))
@@ -335,7 +336,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc: str = "doc_id", text:
             writer.out.close()
             store.move(attempt, name)
             yield pa.RecordBatch.from_pydict({"part": [part], "file": [f"part-{part:06d}.s8b"], "docs": [sum(map(len, writer.docs))], "ids": [writer.n]})
-    bounded_batches(docs.sparkSession, 1 << 22)
+    bounded_batches(docs.sparkSession, 2 * (chars or CHARS))
     rows = docs.select(F.col(doc).cast("bigint").alias("doc"), F.col(text).cast("string").alias("text")).withColumn("_h", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc", "_h").sortWithinPartitions("doc", "_h").select("doc", "text")
     return saved(ordered.mapInArrow(tidy("tokens", run), "part bigint, file string, docs bigint, ids bigint"), "token-files")
@@ -388,7 +389,7 @@ def documents(f, base: int) -> Iterator[pa.RecordBatch]:
                                      names=["doc", "start", "n_tokens", "ids_crc32"])
 
 
-def encoded(docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def encoded(docs: DataFrame, tokenizer: str, doc: str = "doc_id", text: str = "text", chars: int | None = None) -> DataFrame:
     """Writes the files to a new folder of the shared one and reads them back."""
     path = shared_path(docs.sparkSession, "tokens")
-    return read(write(docs, path, tokenizer, doc, text), path)
+    return read(write(docs, path, tokenizer, doc, text, chars), path)
