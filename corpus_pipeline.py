@@ -48,7 +48,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token files, and what they hold of each document."""
-    return tokens.encoded(docs, tokenizer_path()).withColumnRenamed("doc", "doc_id")
+    # Executors are full of what earlier stages left in the heap, so workers take small pieces of text.
+    return tokens.encoded(docs, tokenizer_path(), chars=1 << 18).withColumnRenamed("doc", "doc_id")
 
 
 STAGES = [("toxicity", drop_toxic), ("near_copies", drop_near_copies), ("benchmark", drop_benchmark), ("mixing", mix_sources), ("tokens", write_tokens)]
