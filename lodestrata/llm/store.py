@@ -29,18 +29,32 @@ def bounded_batches(spark: SparkSession, most: int = 1 << 23) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
 
 
-# What a worker keeps from one task to the next, by operator.
-KEPT: dict[str, object] = {}
+# What a worker keeps from one task to the next, by operator. Functions that are sent to workers reach it by ``kept``
+# and ``begin`` only: what they name themselves is copied for every task.
+_KEPT: dict[str, tuple] = {}
+
+
+def kept(owner: str, key: object, make: Callable[[], object]) -> object:
+    """What the operator keeps under the key in this worker, made if it is not there; under another key it goes."""
+    if owner not in _KEPT or _KEPT[owner][0] != key:
+        _KEPT.pop(owner, None)
+        _KEPT[owner] = (key, make())
+    return _KEPT[owner][1]
+
+
+def begin(owner: str) -> None:
+    """A task of the operator starts: what others keep goes."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    for name in [k for k in _KEPT if k != owner]:
+        del _KEPT[name]
+    trim()
 
 
 def tidy(owner: str, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A function for ``mapInArrow`` that holds no memory for others: workers outlive their tasks, and what was freed
     would otherwise stay with them. What another operator keeps goes first."""
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.set_memory_pool(pa.system_memory_pool())
-        for name in [k for k in KEPT if k != owner]:
-            del KEPT[name]
-        trim()
+        begin(owner)
         yield from run(batches)
         trim()
     return tidied

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.store import KEPT, bounded_batches, saved, shared_path, tidy
+from lodestrata.llm.store import bounded_batches, kept, saved, shared_path, tidy
 
 # Ids of a block; blocks packed, unpacked and read at a time.
 BLOCK, AT_ONCE = 1024, 128
@@ -320,9 +320,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc: str = "doc_id", text:
     side by side in order of their texts' hash, each as a document of its own.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if KEPT.get("tokens", (None,))[0] != (tokenizer, chars):
-            KEPT["tokens"] = ((tokenizer, chars), Encoder(tokenizer, chars))
-        encoder, part, writer = KEPT["tokens"][1], TaskContext.get().partitionId(), None
+        encoder, part, writer = kept("tokens", (tokenizer, chars), lambda: Encoder(tokenizer, chars)), TaskContext.get().partitionId(), None
         store, root = fs.FileSystem.from_uri(path)
         name = f"{root}/part-{part:06d}.s8b"
         attempt = f"{name}.{TaskContext.get().taskAttemptId()}.tmp"
