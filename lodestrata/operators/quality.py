@@ -185,8 +185,8 @@ def missing_columns(required: DataFrame, present: DataFrame) -> DataFrame:
 def conformance(required: DataFrame, present: DataFrame, lossy: DataFrame | None) -> DataFrame:
     """Verdict per contracted table: ABSENT, NON_CONFORMANT, NOT_EVALUATED or CONFORMANT.
 
-    ``lossy`` is (table_name, column_name, lost) for the columns whose casts were probed; a table conforms only if
-    all its required columns were. The counts are read from the findings, so the two cannot disagree.
+    ``lossy`` is (table_name, column_name, lost) for the columns whose casts were probed, with no count where the probe
+    had no result; a table conforms only if all its required columns have one. The counts are read from the findings, so the two cannot disagree.
     """
     tables = required.select("table_name").distinct()
     existing = present.select("table_name").distinct().withColumn("_exists", F.lit(True))
@@ -197,7 +197,7 @@ def conformance(required: DataFrame, present: DataFrame, lossy: DataFrame | None
         findings = findings.unionByName(lossy.where("lost > 0").select(
             "table_name", F.concat(F.lit("LOSSY_CAST: "), "column_name", F.lit(" loses "),
                                    F.col("lost").cast("string")).alias("finding")))
-        measured = lossy.select("table_name", F.lower("column_name").alias("_c")).distinct()
+        measured = lossy.where(F.col("lost").isNotNull()).select("table_name", F.lower("column_name").alias("_c")).distinct()
         asked = required.select("table_name", F.lower("column_name").alias("_c")).distinct()
         unmeasured = asked.join(measured, ["table_name", "_c"], "left_anti").select("table_name").distinct()
         probed = tables.join(unmeasured, "table_name", "left_anti").withColumn("_probed", F.lit(True))
@@ -222,12 +222,18 @@ def conformance(required: DataFrame, present: DataFrame, lossy: DataFrame | None
 
 def surviving_clear_values(source: DataFrame, output: DataFrame, keys: Sequence[str],
                            columns: Sequence[str]) -> DataFrame:
-    """Per declared-sensitive column: values that read the same after the mask as before it."""
-    left = source.select(*keys, *[F.col(c).alias("_clear_" + c) for c in columns])
-    joined = left.join(output.select(*keys, *columns), list(keys))
+    """Per declared-sensitive column: values that read the same after the mask as before it.
+
+    Only rows whose key is unique on both sides are pairs; ``unpaired`` counts the keys that repeat on one of them,
+    where no value can be told to be its own row's.
+    """
+    def once(df: DataFrame, prefix: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{prefix}n"), *[F.any_value(c).alias(prefix + c) for c in columns])
+    joined = once(source, "_clear_").join(once(output, "_masked_"), list(keys))
+    pair = F.col("_clear_n") + F.col("_masked_n") == 2
     return joined.agg(F.array(*[F.struct(
-        F.lit(c).alias("column_name"), F.count("_clear_" + c).alias("compared"),
-        F.coalesce(F.sum(F.when(F.col("_clear_" + c) == F.col(c), 1)), F.lit(0)).alias("survived"))
+        F.lit(c).alias("column_name"), F.count(F.when(pair, F.col("_clear_" + c))).alias("compared"),
+        F.count_if(pair & (F.col("_clear_" + c) == F.col("_masked_" + c))).alias("survived"), F.count_if(~pair).alias("unpaired"))
         for c in columns]).alias("s")).select(F.inline("s"))
 
 

@@ -26,19 +26,3 @@ def landed(df: DataFrame, source_system: str, batch_id: str, ingest_ts: str | No
     return df.withColumns({
         "_ingest_ts": ts, "ingest_date": F.to_date(ts), "_source_system": F.lit(source_system),
         "_batch_id": F.lit(batch_id), "_dup_flag": F.lit(None).cast("boolean")})
-
-
-def arrived(spark: SparkSession, path: str, fmt: str = "json", known: StructType | None = None) -> StructType:
-    """The schema a stream starts with: the columns known so far and those that deliveries brought since.
-    A flow that is started again with it goes on from its checkpoint and takes the new columns on."""
-    found = spark.read.format(fmt).load(path).schema
-    return found if known is None else widest(known, found)
-
-
-def widest(*schemas: StructType) -> StructType:
-    """The columns of several deliveries, in order of first appearance."""
-    fields = {}
-    for schema in schemas:
-        for f in schema:
-            fields.setdefault(f.name.lower(), f)
-    return StructType(list(fields.values()))
