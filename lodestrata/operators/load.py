@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lodestrata.functions.keys import zero_key
 from lodestrata.operators.dedup import first_write, refuse_ambiguous
 from lodestrata.operators.ordered import first_per_key, large_keys, ordered_scan, same, split_points, total_order
+from lodestrata.sources.buckets import only_named, stored_buckets
 
 GHOST_DTS = "1900-01-01 00:00:00"
 # The order of a key's versions: by load, within a load by the source's clock.
@@ -35,11 +36,15 @@ def absent_from(rows: DataFrame, target: DataFrame, keys: Sequence[str],
 
 
 def named_in(target: DataFrame, log: DataFrame, key: str) -> DataFrame:
-    """Stored rows that a load of the log has to meet: those whose key the log names, where its keys are small enough
-    to be broadcast. The target then stays where it is, and nothing of it but these rows is shuffled. Beside a
-    larger log all rows take part, as a join that cuts them down first would shuffle the target as well."""
+    """Stored rows that a load of the log has to meet: those whose key the log names. Where the log's keys are small
+    enough they are broadcast; where the target is stored in buckets by the key they are dealt out as it is. In both
+    cases the target stays where it is, and nothing of it but these rows is shuffled. Otherwise all rows take part,
+    as a join that cuts them down first would shuffle the target as well."""
     names = log.select(F.col(key).alias("_named"))
-    return target.join(F.broadcast(names), target[key] == names["_named"], "left_semi") if fits_broadcast(names) else target
+    if fits_broadcast(names):
+        return target.join(F.broadcast(names), target[key] == names["_named"], "left_semi")
+    buckets = stored_buckets(target, key)
+    return target if buckets is None else only_named(target, names, key, buckets)
 
 
 def fits_broadcast(df: DataFrame) -> bool:

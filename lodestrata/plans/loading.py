@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from lodestrata.functions.keys import hash_key, hashdiff
 from lodestrata.operators import dedup, history, load
 from lodestrata.plans.registry import Tables, query, s_diff, s_key, s_money
+from lodestrata.sources import sinks
+from lodestrata.sources.buckets import BucketedTable
 from lodestrata.plans.warehouse import (
     HALF, LOAD, S_ACTIVITY_LOG, S_CUSTOMER, S_LINE, S_LINE_ORDER, S_LINK, S_ORDER, S_USER_LOG,
     activity_log, before_half, log_of, s_load, staged, stored_users, user_log,
@@ -103,6 +105,23 @@ def vlt2(t: Tables):
     return load.load_keyed(customer_union(t), held, "hub_customer_hk").select("hub_customer_hk", "customer_code", "rec_src")
 
 
+def in_buckets(t: Tables, held, key: str):
+    """The rows as a table stored in buckets by the key."""
+    table = BucketedTable(t.spark, sinks.run_folder(t.spark, "bucketed"), key, 8)
+    table.append(held)
+    return table
+
+
+@query("vlt2_bucketed", f"SELECT DISTINCT hub_customer_hk, customer_code, 'CRM' AS rec_src FROM ({S_CUSTOMER_UNION})")
+def vlt2_bucketed(t: Tables):
+    """Two loads into a hub stored in buckets; the second one brings every key again, and finds the first one's."""
+    new = ["hub_customer_hk", "customer_code"]
+    hub = in_buckets(t, staged(t, "hub_customer", "CRM").where("c_mktsegment = 'BUILDING'").select("hub_customer_hk", F.col("c_custkey").cast("string").alias("customer_code")), "hub_customer_hk")
+    for _ in range(2):
+        hub.append(load.load_keyed(customer_union(t), hub.read(), "hub_customer_hk").select(*new))
+    return hub.read().withColumn("rec_src", F.lit("CRM"))
+
+
 @query("vlt3", f"""
 SELECT {S_LINK} AS link_order_customer_hk, {S_ORDER} AS hub_order_hk, {S_CUSTOMER} AS hub_customer_hk FROM orders WHERE o_orderstatus <> 'F'""")
 def vlt3(t: Tables):
@@ -131,6 +150,12 @@ def vlt4(t: Tables):
     return load.load_satellite(user_log(t), stored_users(t), "hub_user_hk").select(*SAT_OUT)
 
 
+@query("vlt4_bucketed", f"WITH {S_STORED}, {s_load('ulog', 'hk', 'added', target='stored')} {S_SAT_OUT.format('added')}")
+def vlt4_bucketed(t: Tables):
+    """``vlt4`` with the satellite stored in buckets by its parent's key."""
+    return load.load_satellite(user_log(t), in_buckets(t, stored_users(t), "hub_user_hk").read(), "hub_user_hk").select(*SAT_OUT)
+
+
 @query("vlt4_first", f"WITH {S_USER_LOG}, {s_load('ulog', 'hk', 'added')} {S_SAT_OUT.format('added')}")
 def vlt4_first(t: Tables):
     return load.load_satellite(user_log(t), None, "hub_user_hk").select(*SAT_OUT)
