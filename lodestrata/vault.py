@@ -7,6 +7,7 @@ quarantine and audit only ever grow.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -151,8 +152,8 @@ class Vault:
         return self.spark.createDataFrame(rows, schema.rpartition(",")[0]).coalesce(1)
 
     def _load_one(self, table: str, entity: Entity, since: str | None, run: str) -> tuple[int, int, list[tuple[str, int]]] | None:
-        """(staged, accepted, discards) of one table, or None without a log. What does not add up, or is stored
-        twice, is a problem of the table."""
+        """(staged, accepted, discards) of one table, or None without a log. What does not add up, or would be stored
+        twice, is a problem of the table, and no reader ever sees it."""
         log = self.log(table, since)
         if log is None:
             return None
@@ -169,18 +170,42 @@ class Vault:
             if entity.kind != "hub":
                 refuse_ambiguous(log, entity.hk, counted=counted)
             new = load_keyed(log, target, entity.hk)
-        self.append(new, "raw", f"{table}/_run={run}")
-        mine, held = self.stored(table, run), self.stored(table)
-        accepted = mine.count()
+        fresh = self._pending(new, table, run)
+        accepted = fresh.count() + self.stored(table, run).count()
         grain = [key, *(["mas_key"] if entity.kind == "msat" else []), *(["load_dts", "sub_seq"] if versioned else [])]
-        refuse_duplicates(table, named_in(held.select(*grain), log, key), grain)
+        refuse_duplicates(table, named_in(self.stored(table).select(*grain).unionByName(fresh.select(*grain)), log, key), grain)
         if versioned:
+            self._publish(table, run)
             return staged, accepted, [("unchanged_hashdiff", staged - accepted)]
         others = self.read("raw", table).where(F.col("_run").cast("string") != run).select(entity.hk)
         present = named_in(others, log, entity.hk).distinct().count()
         refuse_imbalance(table, staged, accepted, staged - distinct + present)
+        self._publish(table, run)
         return staged, accepted, [("duplicate_in_batch", staged - distinct), ("already_present", present)]
 
+    def _hidden(self, table: str, run: str) -> str:
+        """Where a load's rows wait for its checks. Readers do not see such folders."""
+        return self.path("raw", f"{table}/_pending-{hashlib.sha256(run.encode()).hexdigest()[:24]}")
+
+    def _pending(self, new: DataFrame, table: str, run: str) -> DataFrame:
+        new.write.mode("overwrite").parquet(self._hidden(table, run))
+        return self.spark.read.schema(new.schema).parquet(self._hidden(table, run))
+
+    def _publish(self, table: str, run: str) -> None:
+        """Checked rows become visible: the folder gets the run's name, in one step. Where an earlier attempt of the
+        run has published already, the files join it."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path
+        source, target = place(self._hidden(table, run)), place(self.path("raw", f"{table}/_run={run}"))
+        files = source.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(target):
+            if not files.rename(source, target):
+                raise ValueError(f"{table}: what {run} has loaded could not be published")
+            return
+        for found in files.listStatus(source):  # the files of one load
+            if found.getPath().getName().startswith("part-") and not files.rename(found.getPath(), place(target, found.getPath().getName())):
+                raise ValueError(f"{table}: what {run} has loaded could not be published")
+        files.delete(source, True)
+
     @staticmethod
     def _ghost_key(entity: Entity) -> str:
         return entity.hk if entity.kind in KEYED_KINDS else f"{entity.parents[0].name}_hk"

@@ -253,3 +253,26 @@ def test_declared_order_picks_one_survivor(spark):
     feed = spark.createDataFrame([("1", 1, "x"), ("1", 2, "y"), ("1", 2, "z"), ("2", None, "w")], "a string, n int, v string")
     got = [rows_of(stage(feed.repartition(p), Model(entity), entity, entity.bindings[0], load_dts="2026-01-01 00:00:00").select("a", "n", "v")) for p in (1, 3)]
     assert got[0] == got[1] and [r[:2] for r in got[0]] == [("1", 2), ("2", None)]
+
+
+@pytest.mark.parametrize("gate", ["refuse_duplicates", "refuse_imbalance"])
+def test_a_failed_gate_leaves_no_visible_row(spark, tmp_path, monkeypatch, gate):
+    """And the same run loads once it passes; a run that published and then stopped finds its own rows."""
+    import lodestrata.vault as module
+    model = Model(Entity("hub_a", "hub", ("code",), "SYS", bindings=(Binding("f", "S1", {"code": "a"}),)))
+    vault = module.Vault(spark, str(tmp_path), model)
+    vault.stage({"f": spark.createDataFrame([("1",), ("2",)], "a string")}, "2026-01-05 00:00:00", "b1")
+
+    def refuse(*_, **__):
+        raise ValueError("refused")
+    with monkeypatch.context() as m:
+        m.setattr(module, gate, refuse)
+        assert vault.load("r=1", "2026-01-05 00:00:00") == {"hub_a": "refused"}
+        assert vault.stored("hub_a").count() == 1 and vault.audit("aud_table_load", module.AUDIT_LOAD).count() == 0  # the ghost
+    with monkeypatch.context() as m:
+        m.setattr(vault, "_record", refuse)
+        with pytest.raises(ValueError):
+            vault.load("r1", "2026-01-05 00:00:00")
+    assert vault.stored("hub_a").count() == 3
+    assert vault.load("r1", "2026-01-05 00:00:00") == {} and vault.stored("hub_a").count() == 3
+    assert rows_of(vault.audit("aud_table_load", module.AUDIT_LOAD).select("staged", "accepted")) == [(2, 2)]
