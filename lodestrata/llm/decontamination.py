@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 MASKS = ((0, 1, 3, 6, 7), (0, 1, 3, 4, 5), (0, 1, 2, 3, 4))
 SPAN = 1 + min(max(m) for m in MASKS)  # of the narrowest
 # An overlap is a stretch of 13 tokens (the whole item, if it is shorter) of which two at most differ, or one
-# at most of fewer than ten: four fifths are equal. Of items shorter than ``LEAST`` no token differs;
-# those shorter than ``FEWEST``, one token, are not searched.
-WINDOW, LEAST, FEWEST = 13, 8, 2
+# at most of fewer than ten: four fifths are equal. Of items shorter than ``LEAST`` no token differs.
+WINDOW, LEAST = 13, 8
 # Tokens of benchmark items whose seeds are broadcast at a time: three seeds a token, some 50 MB.
 BLOCK_TOKENS = 500_000
 
@@ -93,14 +92,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", te
 
     ``overlap`` is the best share of equal tokens (null without an overlap), ``items`` the ids found, in order.
     Case, punctuation and white space do not count. Items of fewer than ``LEAST`` tokens are found where all
-    their tokens stand in a row, and those of fewer than ``FEWEST`` are not searched; null texts are empty; rows of one id share their verdict, also those
+    their tokens stand in a row, a single token wherever it stands; items without a token are found nowhere; null texts are empty; rows of one id share their verdict, also those
     without an id; equal items are each reported. A benchmark of more than ``BLOCK_TOKENS`` tokens is searched
     in blocks, so what is broadcast stays bounded.
     """
     rows = docs.select(F.col(doc).alias("doc"), tokens(F.col(text).cast("string")).alias("_doc"))
     ends = [F.xxhash64(F.lit(""))]  # a text that starts or ends with a separator has an empty token there
     items = (benchmark.select(F.col(item).alias("item"), F.filter(tokens(F.col(item_text).cast("string")), lambda t: t != ends[0]).alias("_item"))
-             .where(F.size("_item") >= FEWEST).distinct())
+             .where(F.size("_item") > 0).distinct())
     counted = items.groupBy(F.least(F.size("_item"), F.lit(LEAST)).alias("size")).agg(F.sum(F.size("_item")).alias("n")).collect()  # LEAST rows at most
     sizes = sorted(r["size"] for r in counted) or [LEAST]
     n = -(-sum(r["n"] for r in counted) // BLOCK_TOKENS) or 1

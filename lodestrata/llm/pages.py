@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 # Rules of the first pass: characters of a short and of a long block, share of stop words, share of link text.
 SHORT, LONG, STOP_LOW, STOP_HIGH, LINKS = 70, 200, 0.12, 0.25, 0.5
+# A page with a smaller share of stop words in all its text is in another language: there length and links decide.
+# Articles stand for the page if they hold this share of its good text.
+FOREIGN, MOST = 0.08, 0.5
 
 # Elements that end a block, that are never main text, that hold text of their own kind, and
 # words in class, id or role that mark furniture, readers' comments, or a page's frame.
@@ -48,10 +51,10 @@ SPACE = re.compile(r"\s+")
 
 @dataclass
 class Block:
-    """Text between two block elements. scope: the article it stands in, 0 for none."""
+    """Text between two block elements. scope: the article it stands in, 0 for none; furniture: 0 no, 1 by a hint, 2 for certain."""
 
     scope: int
-    furniture: bool
+    furniture: int
     heading: bool
     text: str
     link: int
@@ -95,7 +98,7 @@ def blocks(page: str) -> list[Block]:
             if text:
                 _, furniture, scope, _ = place.top()
                 link = sum(len(p) for p, linked in parts if linked)
-                found.append(Block(scope, furniture > 0, heading, text, link))
+                found.append(Block(scope, furniture, heading, text, link))
             parts.clear()
         heading = False
 
@@ -172,17 +175,28 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
+def stops_of(text: str, stop_words: frozenset[str]) -> tuple[int, int]:
+    """Stop words and words."""
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?()\"'") in stop_words for w in words), len(words)
+
+
 def decide(found: list[Block], stop_words: frozenset[str] = STOP_WORDS) -> None:
-    """First pass: blocks that their own figures decide."""
+    """First pass: blocks that their own figures decide. A hint that an element is furniture does not decide over a
+    long block of prose in an article."""
+    open_ = [b for b in found if b.furniture < 2 and b.link <= LINKS * len(b.text) and len(b.text) >= SHORT]
+    counts = [stops_of(b.text, stop_words) for b in open_]
+    foreign = sum(s for s, _ in counts) < FOREIGN * sum(n for _, n in counts)
+    share = {id(b): s / n for b, (s, n) in zip(open_, counts)}
     for b in found:
+        if b.furniture == 1 and b.scope and len(b.text) >= LONG and (foreign or share.get(id(b), 0) >= STOP_HIGH) and id(b) in share:
+            b.furniture = 0
         if b.furniture or b.link > LINKS * len(b.text):
             b.good = False
         elif len(b.text) >= SHORT:
-            words = b.text.lower().split()
-            stops = sum(w.strip(".,;:!?()\"'") in stop_words for w in words) / len(words)
-            if stops >= STOP_HIGH and len(b.text) >= LONG:
+            if len(b.text) >= LONG and (foreign or share[id(b)] >= STOP_HIGH):
                 b.good = True
-            elif stops >= STOP_LOW:
+            elif foreign or share[id(b)] >= STOP_LOW:
                 b.near = True
             elif not b.scope:
                 b.good = False
@@ -225,13 +239,13 @@ def inherit(found: list[Block]) -> None:
 
 
 def main_text(page: str | None, stop_words: frozenset[str] = STOP_WORDS) -> str:
-    """The good blocks, two line ends between them. Where an article has good blocks, what stands outside of
-    all articles is furniture; without any good block, nearly good ones outside of furniture are taken."""
+    """The good blocks, two line ends between them. Where articles hold most of the good text, what stands outside of
+    all of them is furniture; without any good block, nearly good ones outside of furniture are taken."""
     found = blocks(page or "")
     decide(found, stop_words)
     inherit(found)
     good = [b for b in found if b.good]
-    if any(b.scope for b in good):
+    if sum(len(b.text) for b in good if b.scope) > MOST * sum(len(b.text) for b in good):
         good = [b for b in good if b.scope]
     return "\n\n".join(b.text for b in good or [b for b in found if b.near])
 

@@ -92,7 +92,7 @@ best as (
   on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by page_id)
 select parts.page_id, host, path, rule, coalesce(v, 'allow') as verdict from parts left join best on parts.page_id = best.page_id""")
 def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
-    out = urls.judge(table(spark, folder, "pages"), urls.Index.build(spark, RULES))
+    out = urls.judged(table(spark, folder, "pages"), RULES)
     return out.select(F.col("page").alias("page_id"), "host", "path", "rule", "verdict")
 
 

@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from lodestrata.llm.store import bounded_batches, kept, saved, shared_path, tidy
 
 # Ids of a block; blocks packed, unpacked and read at a time.
-BLOCK, AT_ONCE = 1024, 128
-# Words whose ids a worker remembers, the longest of them, and the bytes of text it encodes at a time.
-REMEMBERED, WORD, CHARS = 150_000, 64, 1 << 20
+BLOCK, AT_ONCE = 1024, 512
+# Words whose ids a worker remembers, the longest of them, and the bytes of text it encodes at a time; and how many
+# words are remembered where a caller asks for smaller pieces.
+REMEMBERED, WORD, CHARS, FEW = 400_000, 64, 1 << 21, 100_000
 END_ID = 0
 MAGIC = b"S8BLOCK1"
 
@@ -193,7 +194,7 @@ class Encoder:
 
     def pieces(self, pieces: list[bytes], kinds: np.ndarray) -> list[bytes]:
         """The ids of each piece; kinds: 0 a word after a space, 1 a word, 2 anything else."""
-        if len(self.known) > REMEMBERED // 2:
+        if len(self.known) > (REMEMBERED if self.chars is None else FEW) // 2:
             self.known, self.older = {}, self.known
         found = list(map(self.known.get, pieces))
         unseen = [i for i, x in enumerate(found) if x is None]
@@ -334,7 +335,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc: str = "doc_id", text:
             writer.out.close()
             store.move(attempt, name)
             yield pa.RecordBatch.from_pydict({"part": [part], "file": [f"part-{part:06d}.s8b"], "docs": [sum(map(len, writer.docs))], "ids": [writer.n]})
-    bounded_batches(docs.sparkSession, 2 * (chars or CHARS))
+    bounded_batches(docs.sparkSession, chars or 2 * CHARS)
     rows = docs.select(F.col(doc).cast("bigint").alias("doc"), F.col(text).cast("string").alias("text")).withColumn("_h", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc", "_h").sortWithinPartitions("doc", "_h").select("doc", "text")
     return saved(ordered.mapInArrow(tidy("tokens", run), "part bigint, file string, docs bigint, ids bigint"), "token-files")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.llm.store import shared_path
 
-# The largest rule list that is shipped as one file; ``judge_by_join`` takes lists of any size.
+# The largest rule list that is shipped as one file; a larger one meets the pages in a join.
 MAX_RULES = 5_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -37,15 +37,14 @@ class Index:
     @staticmethod
     def build(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> Index:
         """rules: (host, path, allow or block). Said twice with both verdicts, a rule blocks."""
-        if len(rules) > MAX_RULES:
-            raise ValueError(f"{len(rules)} rules; lists above {MAX_RULES} go through judge_by_join")
         verdicts: dict[tuple[str, str], bool] = {}
         for host, path, verdict in rules:
             key = (host.translate(str.maketrans(UPPER, LOWER)), path)
             verdicts[key] = verdicts.get(key, False) or verdict == "block"
         rows = sorted((xxhash.xxh64_intdigest(h + p), h + p, len(h), len(p), b) for (h, p), b in verdicts.items())
         texts = [r[1].encode() for r in rows]
-        head = json.dumps({"rules": len(rows), "lengths": sorted({r[3] for r in rows})}).encode()
+        head = json.dumps({"rules": len(rows), "lengths": sorted({r[3] for r in rows}), "host": max((r[2] for r in rows), default=0),
+                           "labels": max((h.count(".") + 1 for h, _ in verdicts), default=0)}).encode()
         parts = [np.array([len(head)], "<u8").tobytes(), head + b" " * (-len(head) % 8),
                  np.array([r[0] for r in rows], "<u8").tobytes(),
                  np.cumsum([0] + [len(t) for t in texts]).astype("<u8").tobytes(),
@@ -65,7 +64,7 @@ class Index:
         size = int(raw[:8].view("<u8")[0])
         head = json.loads(bytes(raw[8:8 + size]))
         n, at = head["rules"], 8 + size + -size % 8
-        self.lengths = head["lengths"]
+        self.lengths, self.host, self.labels = head["lengths"], head["host"], head["labels"]
         self.keys, self.starts, self.marks = (raw[at + a:at + b].view("<u8") for a, b in (
             (0, 8 * n), (8 * n, 16 * n + 8), (16 * n + 8, 24 * n + 8)))
         self.texts = raw[at + 24 * n + 8:]
@@ -88,13 +87,25 @@ class Index:
         return found
 
 
-def candidates(host: str, path: str, lengths: Sequence[int]) -> Iterator[tuple[str, int]]:
-    """The rules that could fit a URL: its host and every domain above it, each with the starts of its path."""
-    while host:
-        for n in lengths:
-            if n <= len(path):
-                yield host + path[:n], len(host)
-        host = host.partition(".")[2]
+def candidates(host: str, path: str, lengths: Sequence[int], labels: int, longest: int) -> Iterator[tuple[str, int]]:
+    """The rules that could fit a URL: its host and every domain above it, each with the starts of its path. Only
+    domains that a rule can have, of at most so many labels and characters, are made."""
+    parts = host.rsplit(".", labels)
+    for k in range(max(0, len(parts) - labels), len(parts)):
+        if sum(map(len, parts[k:])) + len(parts) - 1 - k > longest:
+            continue
+        domain = ".".join(parts[k:])
+        if domain:
+            for n in lengths:
+                if n <= len(path):
+                    yield domain + path[:n], len(domain)
+
+
+def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]], page: str = "page_id", url: str = "url", default: str = "allow") -> DataFrame:
+    """``judge`` by a rule list of any length."""
+    if len(rules) <= MAX_RULES:
+        return judge(pages, Index.build(pages.sparkSession, rules), page, url, default)
+    return judge_by_join(pages, pages.sparkSession.createDataFrame(rules, "host string, path string, verdict string"), page, url, default)
 
 
 def judge(pages: DataFrame, index: Index, page: str = "page_id", url: str = "url", default: str = "allow") -> DataFrame:
@@ -106,7 +117,7 @@ def judge(pages: DataFrame, index: Index, page: str = "page_id", url: str = "url
         for batch in batches:
             owner, texts, hosts = [], [], []
             for row, (host, path) in enumerate(zip(batch.column("host").to_pylist(), batch.column("path").to_pylist())):
-                for text, n in candidates(host, path, rules.lengths):
+                for text, n in candidates(host, path, rules.lengths, rules.labels, rules.host):
                     owner.append(row)
                     texts.append(text)
                     hosts.append(n)
@@ -124,20 +135,20 @@ def judge(pages: DataFrame, index: Index, page: str = "page_id", url: str = "url
 
 
 def judge_by_join(pages: DataFrame, rules: DataFrame, page: str = "page_id", url: str = "url", default: str = "allow") -> DataFrame:
-    """``judge`` for a list (host, path, verdict) too large to ship: candidates meet the rules in a join. Equal
-    rows of pages come out once, with their number of copies in ``copies``."""
+    """``judge`` for a list (host, path, verdict) too large to ship: candidates meet the rules in a join."""
     rules = rules.select(F.translate("host", UPPER, LOWER).alias("_h"), F.col("path").alias("_p"), "verdict")
     rules = rules.groupBy("_h", "_p").agg(F.max(F.col("verdict") == "block").alias("_block"))
     lengths = [r[0] for r in rules.select(F.length("_p")).distinct().collect()]  # of paths, so few
-    rows = parted(pages, page, url).groupBy("page", "url", "host", "path").agg(F.count(F.lit(1)).alias("copies"))
+    rows = parted(pages, page, url)
+    longest, labels = rules.agg(F.coalesce(F.max(F.length("_h")), F.lit(0)), F.coalesce(F.max(F.size(F.split("_h", r"\."))), F.lit(0))).head()
     parts = F.split("host", r"\.")
-    hosts = F.when(F.col("host") == "", F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(
-        F.slice(parts, i, F.size(parts)), ".")))
+    hosts = F.when(F.col("host") == "", F.array().cast("array<string>")).otherwise(F.filter(F.transform(F.sequence(F.greatest(
+        F.lit(1), F.size(parts) - labels + 1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), ".")), lambda h: (h != "") & (F.length(h) <= longest)))
     starts = F.filter(F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths] or [F.lit(None).cast("string")]), lambda s: s.isNotNull())
-    probes = (rows.select("page", "url", F.explode(hosts).alias("_h"), starts.alias("_s"))
+    probes = (rows.distinct().select("page", "url", F.explode(hosts).alias("_h"), starts.alias("_s"))
               .select("page", "url", "_h", F.explode("_s").alias("_p")))
     hits = (probes.join(rules, ["_h", "_p"]).groupBy(F.col("page").alias("_page"), F.col("url").alias("_url"))
             .agg(F.max(F.struct((F.length("_h") + F.length("_p")).alias("n"), F.length("_h").alias("m"), F.concat("_h", "_p").alias("rule"), "_block")).alias("_best")))
     on = F.col("page").eqNullSafe(F.col("_page")) & F.col("url").eqNullSafe(F.col("_url"))
-    return rows.join(hits, on, "left").select("page", "url", "host", "path", "copies", F.col("_best.rule").alias("rule"), F.when(
+    return rows.join(hits, on, "left").select("page", "url", "host", "path", F.col("_best.rule").alias("rule"), F.when(
         F.col("_best._block"), "block").when(~F.col("_best._block"), "allow").otherwise(default).alias("verdict"))
