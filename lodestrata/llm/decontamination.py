@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Token places that a seed compares; the places between them may differ. Each laid wherever it fits, they find every
@@ -17,6 +17,10 @@ SPAN = 1 + min(max(m) for m in MASKS)  # of the narrowest
 WINDOW, LEAST = 13, 8
 # Tokens of benchmark items whose seeds are broadcast at a time: three seeds a token, some 50 MB.
 BLOCK_TOKENS = 500_000
+# A seed that stands at more places of the benchmark than this is refined by the windows around it; the result is the same.
+COMMON = 16
+# Of three disjoint groups of a window's places one is without a difference, as two places at most differ.
+GROUPS = 3
 
 # Blocks of the scripts that are written without spaces (Thai, Lao, Tai, Myanmar, Khmer, Javanese, Balinese, Han, Kana, Bopomofo,
 # Yi). The range that is tested first spares other texts the list.
@@ -62,28 +66,78 @@ def overlap(item: Column, doc: Column, shift: Column, at: Column) -> Column:
     return F.when(last - first >= size, F.array_max(sums)).otherwise(-1)
 
 
+def windows(known: DataFrame) -> DataFrame:
+    """(_seed, _q, _size, _win, item): the stretches around each seed, which stands ``_q`` places after their start."""
+    n, span = F.size("_item"), F.element_at(F.array(*[F.lit(1 + max(m)) for m in MASKS]), F.col("_k") + 1)
+    size = F.least(n, F.lit(WINDOW))
+    starts = F.sequence(F.greatest(F.lit(0), F.col("_q") + span - size), F.least(F.col("_q"), n - size))
+    return (known.select("item", "_item", "_seed", "_q", size.alias("_size"), F.explode(starts).alias("_a"))
+            .select("_seed", (F.col("_q") - F.col("_a")).alias("_q"), "_size", F.slice("_item", F.col("_a") + 1, F.col("_size")).alias("_win"), "item"))
+
+
+def places(around: DataFrame) -> DataFrame:
+    """(_seed, _q, _size, _order): the places of the stretches around a seed, those first in which they agree least."""
+    by = ["_seed", "_q", "_size"]
+    each = around.select(*by, "_win").distinct().select(*by, F.posexplode("_win").alias("_place", "_token"))
+    alike = each.groupBy(*by, "_place", "_token").agg(F.count(F.lit(1)).alias("n")).groupBy(*by, "_place").agg(F.sum(F.col("n") * F.col("n")).alias("n"))
+    order = F.transform(F.sort_array(F.collect_list(F.struct("n", "_place"))), lambda s: s["_place"])
+    return alike.groupBy(*by).agg(F.slice(order, 1, 2 * GROUPS).alias("_order"))
+
+
+def refined(window: Column) -> Column:
+    """The names of a stretch in each group: its seed and the tokens in two of the places in which such stretches agree least."""
+    return F.array(*[F.xxhash64(F.lit(g), "_seed", "_q", "_size", F.get(window, F.get("_order", F.lit(g))), F.get(window, F.get("_order", F.lit(g + GROUPS))))
+                     for g in range(GROUPS)])
+
+
 def hits(docs: DataFrame, items: DataFrame, sizes: Sequence[int]) -> DataFrame:
     """(doc, item, equal, size): verified overlaps around the seeds that a document and an item share.
 
     Documents stay where they are: their seeds probe the broadcast seeds of the items, and a hit is verified
     in the same row, which still holds the document's tokens. ``sizes`` are those of the items, each below
     ``LEAST`` by itself and from there on as ``LEAST``; documents are searched for no others.
+
+    A seed of a phrase that many items share would bring each of them to each place of a document that holds it. It
+    only says there which stretches of the document to look at: they go on alone, named by the seed and by two more
+    tokens, and meet the distinct stretches of items of the same name. Where all tokens but three are shared, those are overlaps.
     """
     spaced = dict(enumerate(MASKS)) if LEAST in sizes else {}
     short = [n for n in sizes if n < LEAST]
-    known = items.select("item", F.explode(F.when(F.size("_item") < LEAST, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.size("_item") - SPAN))).alias("_q"), "_item")
-    each = F.array(*seeds(F.col("_item"), F.col("_q"), spaced)) if spaced else F.array().cast("array<bigint>")
-    for n in short:
-        each = F.when(F.size("_item") == n, F.array(*seeds(F.col("_item"), F.col("_q"), whole(n)))).otherwise(each)
-    known = known.select("item", "_q", F.explode(each).alias("_seed"))
     masks = reduce(lambda a, n: a | whole(n), short, spaced)
+    plain = ["_seed", "item", "_q", F.lit(None).cast("array<int>").alias("_order"), F.lit(None).cast("int").alias("_size")]
+    known, around = [], None
+    for n in short:
+        at = items.where(F.size("_item") == n).withColumn("_q", F.lit(0))
+        known.append(at.select(seeds(F.col("_item"), F.col("_q"), whole(n))[0].alias("_seed"), "item", "_q").select(*plain))
+    if spaced:
+        at = items.where(F.size("_item") >= LEAST).select("item", "_item", F.explode(F.sequence(F.lit(0), F.size("_item") - SPAN)).alias("_q"))
+        at = at.select("item", "_item", "_q", F.posexplode(F.array(*seeds(F.col("_item"), F.col("_q"), spaced))).alias("_k", "_seed")).where(F.col("_seed").isNotNull())
+        at = at.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("_seed")))  # of a block's tokens at most
+        around = windows(at.where(F.col("_n") > COMMON))
+        known += [at.where(F.col("_n") <= COMMON).select(*plain), places(around).select("_seed", F.lit(None).cast(items.schema["item"].dataType).alias("item"), "_q", "_order", "_size")]
     least, reach = min(sizes), min([*short, *([SPAN] if spaced else [])])
     placed = docs.where(F.size("_doc") >= least).select("doc", "_doc", F.explode(F.sequence(F.lit(0), F.size("_doc") - reach)).alias("_p"))
     placed = placed.select("doc", "_doc", "_p", F.explode(F.array(*seeds(F.col("_doc"), F.col("_p"), masks))).alias("_seed"))
-    met = placed.join(F.broadcast(known), "_seed").join(F.broadcast(items), "item")
-    return (met.select("doc", "item", F.least(F.size("_item"), F.lit(WINDOW)).alias("size"),
-                       overlap(F.col("_item"), F.col("_doc"), F.col("_p") - F.col("_q"), F.col("_q")).alias("equal"))
-            .where(F.col("equal") >= F.col("size") - spared(F.col("size"))))
+    met = placed.join(F.broadcast(reduce(DataFrame.unionByName, known)), "_seed").join(F.broadcast(items), "item", "left")
+    start, common = F.col("_p") - F.col("_q"), F.col("_order").isNotNull()
+    fits = common & (start >= 0) & (start + F.col("_size") <= F.size("_doc"))
+    found = met.select("doc", "item", "_seed", "_p", "_q", "_order", "_size", F.when(fits, F.slice("_doc", F.greatest(start + 1, F.lit(1)), F.coalesce("_size", F.lit(0)))).alias("_seen"),
+                       F.coalesce("_size", F.least(F.size("_item"), F.lit(WINDOW))).alias("size"),
+                       F.when(~common, overlap(F.col("_item"), F.col("_doc"), start, F.col("_q"))).alias("equal"))
+    enough = F.col("equal") >= F.col("size") - spared(F.col("size"))
+    found = found.where(F.col("_seen").isNotNull() | enough)
+    if around is None:
+        return found.select("doc", "item", "size", "equal")
+    names = F.when(F.col("_seen").isNotNull(), refined(F.col("_seen"))).otherwise(F.array(F.xxhash64("_seed", "_p", "_q")))  # verified rows meet nothing
+    named = (around.select("_seed", "_q", "_size", "_win").distinct().join(places(around), ["_seed", "_q", "_size"])
+             .select("_win", F.explode(refined(F.col("_win"))).alias("_name")).distinct())
+    same = F.aggregate(F.zip_with("_seen", "_win", lambda a, b: (a == b).cast("int")), F.lit(0), lambda a, b: a + F.coalesce(b, F.lit(0)))
+    compared = (found.select("doc", "item", "size", "equal", "_seen", F.explode(names).alias("_name")).join(named, "_name", "left")
+                .select("doc", "item", "size", F.when(F.col("_seen").isNotNull(), F.col("_win")).alias("_win"),
+                        F.when(F.col("_seen").isNotNull(), same).otherwise(F.col("equal")).alias("equal")).where(enough))
+    owners = around.select("_win", F.col("item").alias("_owner")).distinct()
+    return (compared.groupBy("doc", "item", "size", "_win").agg(F.max("equal").alias("equal")).join(owners, "_win", "left")
+            .select("doc", F.coalesce("_owner", "item").alias("item"), "size", "equal"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -92,14 +146,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", te
 
     ``overlap`` is the best share of equal tokens (null without an overlap), ``items`` the ids found, in order.
     Case, punctuation and white space do not count. Items of fewer than ``LEAST`` tokens are found where all
-    their tokens stand in a row, a single token wherever it stands; items without a token are found nowhere; null texts are empty; rows of one id share their verdict, also those
+    their tokens stand in a row, a single token wherever it stands; items without a token or an id are found nowhere; null texts are empty; rows of one id share their verdict, also those
     without an id; equal items are each reported. A benchmark of more than ``BLOCK_TOKENS`` tokens is searched
     in blocks, so what is broadcast stays bounded.
     """
     rows = docs.select(F.col(doc).alias("doc"), tokens(F.col(text).cast("string")).alias("_doc"))
     ends = [F.xxhash64(F.lit(""))]  # a text that starts or ends with a separator has an empty token there
     items = (benchmark.select(F.col(item).alias("item"), F.filter(tokens(F.col(item_text).cast("string")), lambda t: t != ends[0]).alias("_item"))
-             .where(F.size("_item") > 0).distinct())
+             .where((F.size("_item") > 0) & F.col("item").isNotNull()).distinct())
     counted = items.groupBy(F.least(F.size("_item"), F.lit(LEAST)).alias("size")).agg(F.sum(F.size("_item")).alias("n")).collect()  # LEAST rows at most
     sizes = sorted(r["size"] for r in counted) or [LEAST]
     n = -(-sum(r["n"] for r in counted) // BLOCK_TOKENS) or 1

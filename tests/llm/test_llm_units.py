@@ -173,6 +173,32 @@ def test_short_overlaps_are_found_whatever_was_replaced(spark):
     assert {r["doc"]: (r["contaminated"], r["items"], r["overlap"] and pytest.approx(r["overlap"])) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("common", [0, 2, 16])
+def test_items_with_a_common_phrase_are_told_apart(spark, monkeypatch, common):
+    """Items that share ten words, in documents that hold the phrase many times: every overlap, with its share, and no other."""
+    rng = np.random.default_rng(common)
+    phrase, names = "which of the following is not a kind of".split(), "abcdefgh"
+    made = lambda n: phrase + [str(x) for x in rng.choice(list(names), n)]
+    items = [(i, made(int(rng.integers(0, 8)))) for i in range(40)] + [(i, [*"xyz"[:i % 3], *made(2)]) for i in range(40, 50)] + [(50, ["q"] * 15), (51, ["q"] * 9)]
+    docs = [sum((made(int(rng.integers(0, 6))) for _ in range(6)), []) for _ in range(30)] + [made(0), made(1), ["q"] * 14, []]
+    docs += [[str(rng.choice(list(names))) if rng.random() < 0.1 else w for w in words] for _, words in items]
+
+    def best(item, doc):
+        size = min(len(item), 13)
+        allowed = 0 if size < 8 else 1 if size < 10 else 2
+        found = [sum(a == b for a, b in zip(item[i:i + size], doc[j:j + size])) for i in range(len(item) - size + 1) for j in range(len(doc) - size + 1)]
+        return max(found, default=-1) / size if max(found, default=-1) >= size - allowed else None
+    want = {}
+    for d, doc in enumerate(docs):
+        hit = {i: best(item, doc) for i, item in items}
+        want[d] = (sorted(i for i, v in hit.items() if v), max((v for v in hit.values() if v), default=None))
+    monkeypatch.setattr(decontamination, "COMMON", common)
+    got = decontamination.contamination(spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(docs)], "doc_id long, text string"),
+                                        spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")).collect()
+    assert {r["doc"]: (r["items"], r["overlap"]) for r in got} == {d: (i, v and pytest.approx(v)) for d, (i, v) in want.items()}
+    assert 0 < sum(bool(i) for i, _ in want.values()) and any(not i for i, _ in want.values())
+
+
 def test_items_of_few_tokens_are_found_word_for_word(spark):
     items = [(1, "Who wrote Hamlet?"), (2, "oh, yes"), (3, "one two three four five six seven"), (4, "..."), (5, None), (6, "Oh yes!"), (7, "a b c d e f g h")]
     docs = {"He asked: who wrote 'Hamlet'": [1], "Who wrote Macbeth, Hamlet": [], "oh yes oh yes": [2, 6], "Oh - yes": [2, 6], "one two three four five six seven": [3],
