@@ -146,6 +146,30 @@ def _changed_with_large_keys(log: DataFrame, target: DataFrame | None, keys: lis
     return absent_from(changed, target, [*keys, "load_dts", "sub_seq"], nullable)
 
 
+def load_out_of_order(log: DataFrame, target: DataFrame | None, hk: str, mas_key: str | None = None, **skew) -> DataFrame:
+    """Rows to insert into a satellite out of a log that may come in any pieces, late, or once more.
+
+    A version is compared with the one before it in the order of versions, whether that is stored or in the log, and not
+    with the one stored last: of A, B, A each is stored once, and neither a replay of all of them nor one of the first two
+    adds a row. A late version is stored if it differs from the one before it; what is stored stays, so the version after
+    a late one may repeat it. ``sub_seq`` goes on from the rows stored of the same load. NULL clocks come first; copies of a
+    version are one. ``skew`` is passed to ``split_points``: large keys are scanned in chunks.
+    """
+    keys = [hk] + ([mas_key] if mas_key else [])
+    rows = collapse_copies(log, keys).drop("_copies").withColumn("_late", F.lit(True))
+    if target is not None:
+        held = named_in(target.select(*keys, *VERSION, "sub_seq"), log, hk).withColumn("_late", F.lit(False))
+        rows = rows.unionByName(held, allowMissingColumns=True)
+    order, in_load = [*VERSION, "_late"], ["_late", *VERSION[1:]]
+    after = ordered_scan(rows, keys, order, prev={"_prev": F.col("hashdiff")}, points=split_points(rows, keys, order, **skew))
+    new = F.col("_late") & ~F.col("hashdiff").eqNullSafe(F.col("_prev"))
+    numbered = ordered_scan(after.where(~F.col("_late") | new), [*keys, "load_dts"], in_load, sums={"_nr": F.col("_late").cast("int")},
+                            maxima={"_top": F.when(~F.col("_late"), F.col("sub_seq"))},
+                            points=split_points(rows, [*keys, "load_dts"], in_load, **skew))
+    number = F.coalesce(F.col("_top"), F.lit(-1)) + F.col("_nr")
+    return numbered.where("_late").withColumn("sub_seq", number.cast("int")).select(*log.columns)
+
+
 def without_earlier(log: DataFrame, since: str) -> DataFrame:
     """Log rows of the loads after ``since``; with ``load_satellite``'s seed this is enough
     for a run whose earlier loads are all stored, and spares the scan of the whole log."""

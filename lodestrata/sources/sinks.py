@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Sequence
 
@@ -24,6 +25,24 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def write_once(df: DataFrame, table: str, folder: str, partition_by: Sequence[str] = ()) -> bool:
+    """Rows into a folder of a table, which readers of the table see wholly or not at all: they are written to a hidden
+    folder that then gets its name in one step. A folder that is there is left as it is and its rows are not computed;
+    returns whether it was written now. A folder has one writer at a time."""
+    spark, target = df.sparkSession, f"{table.rstrip('/')}/{folder}"
+    hidden = f"{table.rstrip('/')}/_pending-{hashlib.sha256(folder.encode()).hexdigest()[:24]}"
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(place(target)):
+        return False
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(hidden)
+    files.mkdirs(place(target).getParent())
+    if not files.rename(place(hidden), place(target)):
+        raise ValueError(f"{target} could not be published")
+    return True
+
+
 def export_columns(df: DataFrame, columns: Sequence[tuple[str, str | None, str]]) -> DataFrame:
     """(header, source column, status) to the file's columns: unmapped is blank, and a column
     nobody can resolve refuses the whole file, also one without rows."""
