@@ -47,6 +47,13 @@ def named_in(target: DataFrame, log: DataFrame, key: str) -> DataFrame:
     return target if buckets is None else only_named(target, names, key, buckets)
 
 
+def named_keys(target: DataFrame, log: DataFrame, key: str) -> DataFrame:
+    """Exactly the stored keys that the log names, each once. ``named_in`` may hold others beside them."""
+    held = named_in(target.select(key), log, key).distinct()
+    names = log.select(F.col(key).alias("_named"))
+    return held.join(names, held[key] == names["_named"], "left_semi")
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Catalyst's own estimate of the frame is within its limit for broadcasts. Runs no job."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

@@ -22,7 +22,7 @@ from lodestrata.model import KEYED_KINDS, VERSIONED_KINDS, Binding, Entity, Mode
 from lodestrata.operators.dedup import key_multiplicity, refuse_ambiguous
 from lodestrata.operators.history import type2
 from lodestrata.operators.load import (
-    empty_like, load_keyed, load_satellite, named_in, refuse_duplicates, refuse_imbalance, with_ghost, without_earlier,
+    empty_like, load_keyed, load_satellite, named_in, named_keys, refuse_duplicates, refuse_imbalance, with_ghost, without_earlier,
 )
 from lodestrata.operators.quality import configured_rules, merge_rules, quarantine, split
 from lodestrata.operators.staging import declared_columns, kept_operations, mandatory_rules, project, stage
@@ -178,7 +178,7 @@ class Vault:
             self._publish(table, run)
             return staged, accepted, [("unchanged_hashdiff", staged - accepted)]
         others = self.read("raw", table).where(F.col("_run").cast("string") != run).select(entity.hk)
-        present = named_in(others, log, entity.hk).distinct().count()
+        present = named_keys(others, log, entity.hk).count()
         refuse_imbalance(table, staged, accepted, staged - distinct + present)
         self._publish(table, run)
         return staged, accepted, [("duplicate_in_batch", staged - distinct), ("already_present", present)]

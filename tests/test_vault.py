@@ -276,3 +276,19 @@ def test_a_failed_gate_leaves_no_visible_row(spark, tmp_path, monkeypatch, gate)
     assert vault.stored("hub_a").count() == 3
     assert vault.load("r1", "2026-01-05 00:00:00") == {} and vault.stored("hub_a").count() == 3
     assert rows_of(vault.audit("aud_table_load", module.AUDIT_LOAD).select("staged", "accepted")) == [(2, 2)]
+
+
+def test_a_vault_counts_only_the_keys_its_log_names_where_none_is_broadcast(spark, tmp_path):
+    from lodestrata.vault import AUDIT_DISCARD, Vault
+    model = Model(Entity("hub_a", "hub", ("code",), "SYS", bindings=(Binding("f", "S1", {"code": "a"}),)))
+    vault, limit = Vault(spark, str(tmp_path), model), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        vault.stage({"f": spark.createDataFrame([("1",), ("2",), ("2",)], "a string")}, "2026-01-05 00:00:00", "b1")
+        assert vault.load("r1", "2026-01-05 00:00:00") == {}
+        vault.stage({"f": spark.createDataFrame([("2",), ("3",)], "a string")}, "2026-01-06 00:00:00", "b2")
+        assert vault.load("r2", "2026-01-06 00:00:00", since="2026-01-05 00:00:00") == {}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    lost = vault.audit("aud_table_discard", AUDIT_DISCARD).select("job_run_id", "discard_reason", "discarded")
+    assert rows_of(lost) == [("r1", "already_present", 0), ("r1", "duplicate_in_batch", 1), ("r2", "already_present", 1), ("r2", "duplicate_in_batch", 0)]
