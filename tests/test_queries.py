@@ -5,7 +5,7 @@ import re
 import duckdb
 import pytest
 
-from conftest import DATA, TABLES
+from conftest import DATA, TABLES, rows_of
 import __spark_entry__ as entry
 from lodestrata.plans import catalog
 
@@ -113,3 +113,16 @@ def test_a_small_log_leaves_a_large_target_where_it_is(spark, tmp_path):
         assert re.search("BroadcastHashJoin.*LeftSemi", above)
         assert new.count() == 0
     spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_lines_are_counted_by_number_before_their_keys_are_derived(spark, tmp_path):
+    lines = [(1, 1, 1), (1, 1, 1), (2, 1, 1), (None, 1, 1), (3, 9, 1), (3, None, 1), (4, 1, None)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1,)], "p_partkey long").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(1,)], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    found = QUERIES["key4"](spark, str(tmp_path))
+    assert rows_of(found.select("line_count", "orders", "supplier_found", "part_found")) == [
+        (1, 1, False, True), (1, 1, True, False), (1, 1, True, False), (4, 3, True, True)]
+    assert found.select("hub_supplier_hk", "hub_part_hk").distinct().count() == 4
+    first = [x for x in plan(QUERIES["key4"](spark, DATA)).splitlines() if "Exchange hashpartitioning" in x]
+    assert any("l_orderkey" in x for x in first) and not any("hub_order_hk" in x for x in first)
