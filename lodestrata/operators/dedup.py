@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lodestrata.operators.ordered import first_per_key, large_keys, same, total_order
 
 RUN_LOCAL = ("batch_id",)
+FEW = 10_000  # keys that are collected and sent out again as literals
 GRAIN = ("load_dts", "rec_src")
 
 
@@ -25,11 +26,39 @@ def latest_wins(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str],
                          *[F.col(c).desc_nulls_last() for c in tie])
 
 
-def first_write(df: DataFrame, hk: str, tie: Sequence[str | Column] = ()) -> DataFrame:
+def first_write(df: DataFrame, hk: str, tie: Sequence[str | Column] = (), repeated: Sequence[int] | None | str = "probe") -> DataFrame:
     """First row per key by load time, then source, then ``tie``; the other columns decide what is left, so the
-    survivor does not change between runs."""
+    survivor does not change between runs.
+
+    A row whose key comes once is the first already. Where keys that come again are few, only their rows meet in a
+    shuffle. ``repeated`` is what ``repeated_hashes`` found, where it was asked before; None is one window over all.
+    """
+    if isinstance(repeated, str):
+        repeated = repeated_hashes(df, hk)
     rest = [c for c in df.columns if c not in (hk, "load_dts", "rec_src")]
-    return first_per_key(df, [hk], "load_dts", "rec_src", *tie, *total_order(df, rest))
+
+    def first(rows: DataFrame) -> DataFrame:
+        return first_per_key(rows, [hk], "load_dts", "rec_src", *tie, *total_order(df, rest))
+    if repeated is None:
+        return first(df)
+    if not repeated:
+        return df
+    return with_hash_in(df, hk, repeated, "left_anti").unionByName(first(with_hash_in(df, hk, repeated, "left_semi")))
+
+
+def repeated_hashes(df: DataFrame, hk: str, few: int = FEW) -> list[int] | None:
+    """64-bit hashes that come more than once among the keys, or None if they are more than ``few``. A key that comes
+    again has such a hash; one that comes once has it by chance, and is then looked at with the others. Only hashes
+    are shuffled."""
+    again = df.select(F.xxhash64(hk).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    found = [r[0] for r in again.select("_hash").limit(few + 1).collect()]
+    return None if len(found) > few else found
+
+
+def with_hash_in(df: DataFrame, hk: str, hashes: Sequence[int], how: str) -> DataFrame:
+    """Rows whose key's hash is among the hashes (``left_semi``), or is not (``left_anti``)."""
+    named = df.sparkSession.createDataFrame([(h,) for h in hashes], "_hash long")
+    return df.join(F.broadcast(named), F.xxhash64(df[hk]) == named["_hash"], how)
 
 
 def key_multiplicity(log: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.functions.keys import zero_key
-from lodestrata.operators.dedup import first_write, refuse_ambiguous
+from lodestrata.operators.dedup import first_write, refuse_ambiguous, repeated_hashes, with_hash_in
 from lodestrata.operators.ordered import first_per_key, large_keys, ordered_scan, same, split_points, total_order
 from lodestrata.sources.buckets import only_named, stored_buckets
 
@@ -60,15 +60,23 @@ def fits_broadcast(df: DataFrame) -> bool:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
 
 
-def load_keyed(log: DataFrame, target: DataFrame | None, hk: str, tie: Sequence[str] = ()) -> DataFrame:
-    """Rows to insert into a hub, link or transactional link. The first write wins for good."""
-    firsts = first_write(log, hk, tie)
-    return firsts if target is None else absent_from(firsts, named_in(target.select(hk), log, hk), [hk], ())
+def load_keyed(log: DataFrame, target: DataFrame | None, hk: str, tie: Sequence[str] = (),
+               repeated: Sequence[int] | None | str = "probe") -> DataFrame:
+    """Rows to insert into a hub, link or transactional link. The first write wins for good. ``repeated`` as for
+    ``first_write``; a target that is not broadcast meets the log in the shuffle of one window over all."""
+    if target is None:
+        return first_write(log, hk, tie, repeated)
+    firsts = first_write(log, hk, tie, repeated if fits_broadcast(target.select(hk)) else None)
+    return absent_from(firsts, named_in(target.select(hk), log, hk), [hk], ())
 
 
 def load_unambiguous(log: DataFrame, target: DataFrame | None, hk: str) -> DataFrame:
-    """``load_keyed`` for links: a log whose copies of a key disagree is refused first."""
-    return load_keyed(refuse_ambiguous(log, hk), target, hk)
+    """``load_keyed`` for links: a log whose copies of a key disagree is refused first. Without a key that comes again
+    there is nothing to refuse."""
+    repeated = repeated_hashes(log, hk)
+    if repeated is None or repeated:
+        refuse_ambiguous(log if repeated is None else with_hash_in(log, hk, repeated, "left_semi"), hk)
+    return load_keyed(log, target, hk, repeated=repeated)
 
 
 def latest_version(target: DataFrame, keys: Sequence[str]) -> DataFrame:

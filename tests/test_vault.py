@@ -292,3 +292,19 @@ def test_a_vault_counts_only_the_keys_its_log_names_where_none_is_broadcast(spar
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     lost = vault.audit("aud_table_discard", AUDIT_DISCARD).select("job_run_id", "discard_reason", "discarded")
     assert rows_of(lost) == [("r1", "already_present", 0), ("r1", "duplicate_in_batch", 1), ("r2", "already_present", 1), ("r2", "duplicate_in_batch", 0)]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_log_whose_keys_come_once_is_not_shuffled(spark):
+    columns = "hk string, load_dts timestamp, rec_src string, v int"
+    once = spark.createDataFrame([("k", day(2), "s", 2), ("j", day(1), "t", 1), (None, day(1), "s", 0)], columns)
+    first = load.load_unambiguous(once, None, "hk")
+    assert "Exchange" not in plan(first) and "Window" not in plan(first) and rows_of(first) == rows_of(once)
+    again = once.unionByName(spark.createDataFrame([("k", day(1), "s", 7), (None, day(1), "a", 8), (None, day(1), "a", 6)], columns))
+    want = [("j", 1), ("k", 7), (None, 6)]
+    for known in ("probe", None, dedup.repeated_hashes(again, "hk", few=2)):
+        assert rows_of(dedup.first_write(again, "hk", repeated=known).select("hk", "v")) == want
+    assert len(dedup.repeated_hashes(again, "hk")) == 2 and dedup.repeated_hashes(again, "hk", few=1) is None
