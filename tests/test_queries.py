@@ -115,6 +115,10 @@ def test_a_small_log_leaves_a_large_target_where_it_is(spark, tmp_path):
     spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
+def test_order_lines_meet_in_no_window_when_their_keys_come_once(spark):
+    assert "Window" not in plan(QUERIES["flagship"](spark, DATA))
+
+
 def test_lines_are_counted_by_number_before_their_keys_are_derived(spark, tmp_path):
     lines = [(1, 1, 1), (1, 1, 1), (2, 1, 1), (None, 1, 1), (3, 9, 1), (3, None, 1), (4, 1, None)]
     spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
