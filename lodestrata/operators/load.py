@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.functions.keys import zero_key
-from lodestrata.operators.dedup import first_write, refuse_ambiguous, repeated_hashes, with_hash_in
-from lodestrata.operators.ordered import first_per_key, large_keys, ordered_scan, same, split_points, total_order
+from lodestrata.operators.dedup import FEW, first_write, refuse_ambiguous, repeated_hashes, with_hash_in
+from lodestrata.operators.ordered import first_per_key, large_keys, literal_rows, ordered_scan, same, split_points, total_order
 from lodestrata.sources.buckets import only_named, stored_buckets
 
 GHOST_DTS = "1900-01-01 00:00:00"
@@ -70,6 +70,20 @@ def load_keyed(log: DataFrame, target: DataFrame | None, hk: str, tie: Sequence[
     return absent_from(firsts, named_in(target.select(hk), log, hk), [hk], ())
 
 
+def load_again(log: DataFrame, target: DataFrame | None, hk: str, tie: Sequence[str] = (), few: int = FEW) -> DataFrame:
+    """``load_keyed`` for a log of which much or all may be stored already. Where both are too large for broadcasts the
+    keys alone are compared first, and if few are new, nothing but their rows takes part in the load."""
+    if target is None or fits_broadcast(log.select(hk)) or fits_broadcast(target.select(hk)) or stored_buckets(target, hk):
+        return load_keyed(log, target, hk, tie)
+    new = absent_from(log.select(hk), target, [hk], ()).distinct().limit(few + 1).collect()
+    if len(new) > few:
+        return load_keyed(log, target, hk, tie)
+    if not new:
+        return log.where(F.lit(False))
+    named = literal_rows(log, new, [hk])
+    return first_write(log.join(F.broadcast(named), same(log, named, [hk], "_k_"), "left_semi"), hk, tie, None)
+
+
 def load_unambiguous(log: DataFrame, target: DataFrame | None, hk: str) -> DataFrame:
     """``load_keyed`` for links: a log whose copies of a key disagree is refused first. Without a key that comes again
     there is nothing to refuse."""

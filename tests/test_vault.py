@@ -308,3 +308,20 @@ def test_a_log_whose_keys_come_once_is_not_shuffled(spark):
     for known in ("probe", None, dedup.repeated_hashes(again, "hk", few=2)):
         assert rows_of(dedup.first_write(again, "hk", repeated=known).select("hk", "v")) == want
     assert len(dedup.repeated_hashes(again, "hk")) == 2 and dedup.repeated_hashes(again, "hk", few=1) is None
+
+
+def test_a_log_that_comes_again_is_told_apart_by_its_keys(spark, tmp_path):
+    """Without broadcasts, as for tables too large for them."""
+    columns = "hk string, load_dts timestamp, rec_src string, v int"
+    rows = spark.createDataFrame([("k", day(2), "s", 2), ("j", day(1), "s", 3)], columns)
+    more = rows.unionByName(spark.createDataFrame([("n", day(2), "s", 5), ("n", day(1), "s", 4), (None, day(1), "s", 6)], columns))
+    rows.write.parquet(f"{tmp_path}/held")
+    held, limit = spark.read.parquet(f"{tmp_path}/held"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        none = load.load_again(rows, held, "hk")
+        assert "Exchange" not in plan(none) and none.count() == 0 and none.columns == rows.columns
+        for few in (10, 2, 1):  # all new keys named, at the limit, above it
+            assert rows_of(load.load_again(more, held, "hk", few=few).select("hk", "v")) == [("n", 4), (None, 6)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
