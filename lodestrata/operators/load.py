@@ -182,19 +182,22 @@ def load_out_of_order(log: DataFrame, target: DataFrame | None, hk: str, mas_key
     with the one stored last: of A, B, A each is stored once, and neither a replay of all of them nor one of the first two
     adds a row. A late version is stored if it differs from the one before it; what is stored stays, so the version after
     a late one may repeat it. ``sub_seq`` goes on from the rows stored of the same load. NULL clocks come first; copies of a
-    version are one. ``skew`` is passed to ``split_points``: large keys are scanned in chunks.
+    version are one. ``skew`` is passed to ``split_points``: large keys are scanned in chunks. Whether there are any is
+    asked of log and table as they are, before copies collapse, and for keys alone: no load of a small key is large.
     """
     keys = [hk] + ([mas_key] if mas_key else [])
-    rows = collapse_copies(log, keys).drop("_copies").withColumn("_late", F.lit(True))
+    rows, probe = collapse_copies(log, keys).drop("_copies").withColumn("_late", F.lit(True)), log.select(*keys)
     if target is not None:
         held = named_in(target.select(*keys, *VERSION, "sub_seq"), log, hk).withColumn("_late", F.lit(False))
-        rows = rows.unionByName(held, allowMissingColumns=True)
+        rows, probe = rows.unionByName(held, allowMissingColumns=True), probe.unionByName(target.select(*keys))
     order, in_load = [*VERSION, "_late"], ["_late", *VERSION[1:]]
-    after = ordered_scan(rows, keys, order, prev={"_prev": F.col("hashdiff")}, points=split_points(rows, keys, order, **skew))
+    large = large_keys(probe, keys, **skew)[0] is not None
+    points = split_points(rows, keys, order, **skew) if large else None
+    within = split_points(rows, [*keys, "load_dts"], in_load, **skew) if large else None
+    after = ordered_scan(rows, keys, order, prev={"_prev": F.col("hashdiff")}, points=points)
     new = F.col("_late") & ~F.col("hashdiff").eqNullSafe(F.col("_prev"))
     numbered = ordered_scan(after.where(~F.col("_late") | new), [*keys, "load_dts"], in_load, sums={"_nr": F.col("_late").cast("int")},
-                            maxima={"_top": F.when(~F.col("_late"), F.col("sub_seq"))},
-                            points=split_points(rows, [*keys, "load_dts"], in_load, **skew))
+                            maxima={"_top": F.when(~F.col("_late"), F.col("sub_seq"))}, points=within)
     number = F.coalesce(F.col("_top"), F.lit(-1)) + F.col("_nr")
     return numbered.where("_late").withColumn("sub_seq", number.cast("int")).select(*log.columns)
 

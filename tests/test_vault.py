@@ -325,3 +325,10 @@ def test_a_log_that_comes_again_is_told_apart_by_its_keys(spark, tmp_path):
             assert rows_of(load.load_again(more, held, "hk", few=few).select("hk", "v")) == [("n", 4), (None, 6)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_load_without_large_keys_asks_for_no_cuts(spark, monkeypatch):
+    rows = log(spark, ("k", None, "A", day(1), day(1)), ("k", None, "B", day(2), day(2)))
+    want = stored(load.load_out_of_order(rows, rows.limit(1), "hk"))
+    monkeypatch.setattr(load, "split_points", None)
+    assert stored(load.load_out_of_order(rows, rows.limit(1), "hk")) == want
