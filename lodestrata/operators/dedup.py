@@ -46,19 +46,34 @@ def first_write(df: DataFrame, hk: str, tie: Sequence[str | Column] = (), repeat
     return with_hash_in(df, hk, repeated, "left_anti").unionByName(first(with_hash_in(df, hk, repeated, "left_semi")))
 
 
-def repeated_hashes(df: DataFrame, hk: str, few: int = FEW) -> list[int] | None:
+def repeated_hashes(df: DataFrame, hk: str | Sequence[str], few: int = FEW) -> list[int] | None:
     """64-bit hashes that come more than once among the keys, or None if they are more than ``few``. A key that comes
     again has such a hash; one that comes once has it by chance, and is then looked at with the others. Only hashes
-    are shuffled."""
-    again = df.select(F.xxhash64(hk).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    are shuffled. A key may have several columns."""
+    again = df.select(_hash_of(df, hk).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     found = [r[0] for r in again.select("_hash").limit(few + 1).collect()]
     return None if len(found) > few else found
 
 
-def with_hash_in(df: DataFrame, hk: str, hashes: Sequence[int], how: str) -> DataFrame:
+def with_hash_in(df: DataFrame, hk: str | Sequence[str], hashes: Sequence[int], how: str) -> DataFrame:
     """Rows whose key's hash is among the hashes (``left_semi``), or is not (``left_anti``)."""
     named = df.sparkSession.createDataFrame([(h,) for h in hashes], "_hash long")
-    return df.join(F.broadcast(named), F.xxhash64(df[hk]) == named["_hash"], how)
+    return df.join(F.broadcast(named), _hash_of(df, hk) == named["_hash"], how)
+
+
+def _hash_of(df: DataFrame, hk: str | Sequence[str]) -> Column:
+    return F.xxhash64(*[df[c] for c in ([hk] if isinstance(hk, str) else hk)])
+
+
+def distinct_keys(df: DataFrame, keys: Sequence[str], repeated: Sequence[int] | None = None) -> DataFrame:
+    """Each key once. ``repeated`` holds the hashes that ``repeated_hashes`` found among these keys, or among more
+    rows than these: only keys with such a hash meet in a shuffle. None is a plain ``distinct`` of all."""
+    rows = df.select(*keys)
+    if repeated is None:
+        return rows.distinct()
+    if not repeated:
+        return rows
+    return with_hash_in(rows, keys, repeated, "left_anti").unionByName(with_hash_in(rows, keys, repeated, "left_semi").distinct())
 
 
 def key_multiplicity(log: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions.keys import row_digest, zero_key
+from lodestrata.operators.dedup import distinct_keys
 from lodestrata.operators.history import current
 
 # Tolerances in currency units, and the end of the ghost row's day.
@@ -158,19 +159,22 @@ def unaccounted(rows: DataFrame, manifest: DataFrame) -> DataFrame:
     return per.join(manifest.select("manifest_id").distinct(), "manifest_id", "left_anti")
 
 
-def expected_keys(feed: DataFrame, dedup_by: Sequence[str]) -> DataFrame:
-    """Distinct source keys; NULL and absent parts stay apart from each other."""
-    return feed.select(*dedup_by).distinct().agg(F.count(F.lit(1)).alias("expected"))
+def expected_keys(feed: DataFrame, dedup_by: Sequence[str], repeated: Sequence[int] | None = None) -> DataFrame:
+    """Distinct source keys; NULL and absent parts stay apart from each other. ``repeated`` as for ``distinct_keys``."""
+    return distinct_keys(feed, dedup_by, repeated).agg(F.count(F.lit(1)).alias("expected"))
 
 
 def landing_variance(feed: DataFrame, dedup_by: Sequence[str], landed: DataFrame, hk: str,
-                     quarantined: DataFrame, superseded: DataFrame) -> DataFrame:
-    """Signed difference between the keys the feed holds and those that arrived somewhere."""
+                     quarantined: DataFrame, superseded: DataFrame, repeated_in_feed: Sequence[int] | None = None,
+                     repeated_landed: Sequence[int] | None = None) -> DataFrame:
+    """Signed difference between the keys the feed holds and those that arrived somewhere. Where ``repeated_hashes``
+    of the feed's keys or of the landed ones (or of the log they come from) are known, keys that come once are counted
+    without a shuffle."""
     def n(df):
         return df.agg(F.count(F.lit(1))).scalar()
     real = landed.where(F.col("load_dts") > F.lit(AFTER_GHOST).cast("timestamp"))
-    out = expected_keys(feed, dedup_by).withColumns({
-        "landed": n(real.select(hk).distinct()), "quarantined": n(quarantined), "superseded": n(superseded)})
+    out = expected_keys(feed, dedup_by, repeated_in_feed).withColumns({
+        "landed": n(distinct_keys(real, [hk], repeated_landed)), "quarantined": n(quarantined), "superseded": n(superseded)})
     variance = F.col("expected") - (F.col("landed") + F.col("quarantined") - F.col("superseded"))
     return out.withColumn("variance", variance).withColumn(
         "status", F.when(F.col("expected") == 0, NOT_EVALUATED).when(variance == 0, PASSED).otherwise(FAILED))

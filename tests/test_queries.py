@@ -1,5 +1,6 @@
 """Every registered query against its oracle, and the shape of the plans."""
 
+import datetime
 import re
 
 import duckdb
@@ -7,7 +8,8 @@ import pytest
 
 from conftest import DATA, TABLES, rows_of
 import __spark_entry__ as entry
-from lodestrata.plans import catalog
+from lodestrata.operators import dedup
+from lodestrata.plans import catalog, flagship
 
 QUERIES, ORACLES = {k: q for k, q in entry.queries().items() if k in catalog.queries()}, catalog.oracles()
 ROWS_ONLY = {"key9_xxhash64", "fn5_crc32", "agg27_crc32"}
@@ -119,6 +121,27 @@ def test_order_lines_meet_in_no_window_when_their_keys_come_once(spark):
     assert "Window" not in plan(QUERIES["flagship"](spark, DATA))
 
 
+def test_order_lines_are_counted_without_a_shuffle_when_their_keys_come_once(spark):
+    text = plan(QUERIES["flagship"](spark, DATA))
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#", text) == ["o_orderkey"]
+
+
+def test_order_lines_that_come_again_are_counted_once(spark, tmp_path, monkeypatch):
+    """Two lines are equal, two differ in what is no key, two in a key that is missing in one; one is quarantined, and its copy."""
+    columns = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+               "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+    at = datetime.datetime(1996, 1, 1)
+    lines = [(1, 1, 1, 1, 5.0), (1, 1, 1, 1, 5.0), (1, 1, 1, 2, 5.0), (1, 1, 1, 2, 6.0), (2, 1, 1, 1, 5.0), (2, None, 1, 1, 5.0), (3, 1, 1, 1, 50.0), (3, 1, 1, 1, 50.0), (4, 1, 1, 1, 5.0)]
+    spark.createDataFrame([(*x, 1.0, 0.0, 0.0, "N", "O", at) for x in lines], columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders = [(n, 1, "O", 1.0, at, "1-URGENT") for n in (1, 2, 2, 3)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    want = [("hub_order", 3, 3, 0, 0), ("nhl_order_line", 6, 4, 3, 0)]
+    asked = dedup.repeated_hashes
+    for few in (10, 1):  # all hashes that come again are named, or are too many
+        monkeypatch.setattr(flagship, "repeated_hashes", lambda df, hk: asked(df, hk, few))
+        assert rows_of(QUERIES["flagship"](spark, str(tmp_path)).select("entity", "expected", "landed", "quarantined", "superseded")) == want
+
+
 def test_lines_are_counted_by_number_before_their_keys_are_derived(spark, tmp_path):
     lines = [(1, 1, 1), (1, 1, 1), (2, 1, 1), (None, 1, 1), (3, 9, 1), (3, None, 1), (4, 1, None)]
     spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
