@@ -3,6 +3,7 @@
 import os
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +102,21 @@ def test_large_keys_in_chunks_load_the_same(spark):
     for held_rows in (None, target):
         plain, cut = (rows_of(load.load_out_of_order(log(spark, *rows), held_rows, "hk", **skew).select(*names)) for skew in ({}, {"floor": 5, "probe": 1.0}))
         assert plain == cut and plain
+
+
+@pytest.mark.parametrize("kind", ["append", "quarantine"])
+def test_a_file_holds_a_parents_digest_once_and_a_digest_in_32_bytes(spark, tmp_path, kind):
+    """Of 40,000 parents whose digests take more than 1 MB, three lines each, in no order."""
+    root, n = str(tmp_path), 120_000
+    digest = lambda c: F.unhex(F.sha2(c.cast("string"), 256))
+    rows = spark.range(0, n, 1, 1).select(digest(F.col("id")).alias("hk"), digest(F.pmod(F.xxhash64("id"), F.lit(40_000))).alias("parent_hk"),
+                                          F.when(F.col("id") % 7 > 0, F.col("id")).alias("v"))
+    rows.write.parquet(f"{root}/in")
+    feed, path = feeds.stream(spark, f"{root}/in"), f"{root}/data"
+    run = {"append": lambda: flows.append_flow(feed, path, root, "f"),
+           "quarantine": lambda: flows.quarantine_flow(feed, [("all", F.lit(True))], feed.columns, path, f"{root}/bad", root, "f")}[kind]
+    run().awaitTermination()
+    kept = flows.read_batches(spark, path)
+    assert kept.exceptAll(rows).count() == 0 and kept.count() == n
+    size = dict(duckdb.sql(f"SELECT path_in_schema, sum(total_compressed_size) FROM parquet_metadata('{path}/**/*.parquet') GROUP BY 1").fetchall())
+    assert size["hk"] < 33 * n and size["parent_hk"] < 33 * 40_000 + 3 * n
