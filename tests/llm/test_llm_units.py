@@ -233,6 +233,25 @@ def test_a_benchmark_in_blocks(spark, monkeypatch):
     assert [(r[0], r[1], r[4]) for r in whole] == [(1, True, ["i0"]), (2, True, ["i30"]), (3, False, [])]
 
 
+@pytest.mark.parametrize("block", [4_000_000, 100])
+def test_only_a_sieve_of_a_benchmark_is_broadcast(spark, monkeypatch, block):
+    """Of 60 texts, each in two items, next to nothing stands in documents: neither texts nor seeds are sent out, and each text is searched for once."""
+    rng, sent, kept = np.random.default_rng(0), [], []
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, n)) for n in rng.integers(3, 30, 60)]
+    docs = [f"some words {texts[7]} and {texts[8].upper()}", f"{' '.join(texts[9].split()[:-1])} x", "", None, " ".join(texts[10].split()[::-1])]
+    broadcast, saved = F.broadcast, decontamination.saved
+    monkeypatch.setattr(F, "broadcast", lambda df: sent.append(df) or broadcast(df))
+    monkeypatch.setattr(decontamination, "saved", lambda df, name: kept.append((name, saved(df, name))) or kept[-1][1])
+    monkeypatch.setattr(decontamination, "BLOCK_TOKENS", block)
+    out = decontamination.contamination(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"),
+                                        spark.createDataFrame([(i, texts[i % 60]) for i in range(120)], "item_id long, text string"))
+    want = [[7, 8, 67, 68], [9, 69] if len(texts[9].split()) >= 8 else [], [], [], []]
+    assert [r["items"] for r in sorted(out.collect(), key=lambda r: r["doc"])] == want
+    assert sent and all(df.columns == ["_bucket", "_bits"] and df.count() <= 1 << decontamination.BUCKET_BITS for df in sent)
+    assert all(len(r["_bits"]) == decontamination.WORDS for df in sent for r in df.collect())
+    assert [df.count() for name, df in kept if name == "items"] == [60] and (sum(name == "seeds" for name, _ in kept) > 1) == (block == 100)
+
+
 @pytest.mark.parametrize("spread, target", [(0.05, 0.7), (0.1, 0.7), (0.1, 0.5), (0.3, 0.95)])
 def test_domains_hard_to_tell_apart_meet_their_targets(spark, spread, target):
     rng = np.random.default_rng(5)
